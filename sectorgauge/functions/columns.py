@@ -58,9 +58,14 @@ def kpi_identifier(parts: Iterable[str]) -> Column:
 
 
 def yeo_johnson(x: Column, lam: Column) -> Column:
-    """Yeo-Johnson power transform (Yeo & Johnson, 2000)."""
-    upper = F.when(lam == 0, F.log1p(x)).otherwise((F.pow(x + 1, lam) - 1) / lam)
-    lower = F.when(lam == 2, -F.log1p(-x)).otherwise(
-        -(F.pow(1 - x, 2 - lam) - 1) / (2 - lam)
+    """Yeo-Johnson power transform (Yeo & Johnson, 2000).
+
+    ``expm1`` instead of a power minus one: it stays exact for exponents next to
+    the logarithmic cases.
+    """
+    upper = F.when(lam == 0, F.log1p(x)).otherwise(F.expm1(lam * F.log1p(x)) / lam)
+    rest = 2 - lam
+    lower = F.when(rest == 0, -F.log1p(-x)).otherwise(
+        -F.expm1(rest * F.log1p(-x)) / rest
     )
     return F.when(x >= 0, upper).otherwise(lower)
