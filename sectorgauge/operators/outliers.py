@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
-from sectorgauge.functions.columns import group_label, yes_no
-from sectorgauge.operators.power import yeo_johnson_transform
+from sectorgauge.functions.columns import group_label, yeo_johnson, yes_no
+from sectorgauge.operators.power import yeo_johnson_lambda
 from sectorgauge.operators.ranking import rank_in_groups
 
 MONTHLY_COLUMNS = [
@@ -62,53 +62,54 @@ def with_peer_profile(kpis: DataFrame, profile: DataFrame) -> DataFrame:
 def flag_monthly_outliers(kpis: DataFrame, settings: Settings) -> DataFrame:
     """Flags for monthly KPIs; ``kpis`` is the stored join of KPIs and profile.
 
-    Days-to-cash KPIs are power-transformed and ranked within their sector, with
-    no size rule. All others are ranked within their peer group, and groups below
-    the minimum size are flagged as a whole. A NULL peer group is one group.
+    Days-to-cash KPIs are judged within their sector on power-transformed values,
+    with no size rule. All others are judged within their peer group, and groups
+    below the minimum size are flagged as a whole. A NULL peer group is one group.
+
+    The transform is increasing, so ranks are the same before and after it and the
+    quartile fences can be transformed instead of every group: all KPIs share one
+    ranking pass over the plain values, and the exponents join in afterwards.
     """
     is_d2c = F.col("aggregate").startswith("D2C")
-    by_group = kpis.withColumn("peer", group_label("G", F.col("group_id")))
+    by_group = group_label("G", F.col("group_id"))
+    by_sector = group_label("S", F.col("sectorcode"))
+    placed = kpis.withColumn("peer", F.when(is_d2c, by_sector).otherwise(by_group))
     keys = ["entryperiod", "aggregate", "peer"]
 
-    grouped = rank_in_groups(
-        by_group.filter(~is_d2c), keys, "value", "division", settings
-    ).select(
-        "*",
-        F.col("value").alias("sort_value"),
-        F.col("group_rows").alias("size_of_group_per_period"),
-        (F.col("group_rows") < settings.min_group).alias("too_small"),
-    )
-
-    d2c = by_group.filter(is_d2c)
-    sizes = d2c.groupBy(*keys).agg(
-        F.count("division").alias("size_of_group_per_period")
-    )
-    by_sector = (
-        d2c.join(sizes, keys)
-        .drop("peer")
-        .withColumn("peer", group_label("S", F.col("sectorcode")))
+    days = placed.filter(is_d2c)
+    exponents = yeo_johnson_lambda(days, keys, "value", settings).drop("length")
+    sizes = days.groupBy("entryperiod", "aggregate", by_group.alias("group_label")).agg(
+        F.count("division").alias("companies")
     )
-    transformed = yeo_johnson_transform(by_sector, keys, "value", settings)
-    sectored = rank_in_groups(
-        transformed.withColumnRenamed("value_t", "sort_value").drop("lambda", "length"),
-        keys,
-        "sort_value",
-        "division",
-        settings,
-    ).withColumn("too_small", F.lit(False))
-
-    ranked = grouped.unionByName(sectored).withColumn(
-        "iqr", F.coalesce(F.col("q3") - F.col("q1"), F.lit(0.0))
+    # Both right sides hold one row per group; the planner picks the join.
+    ranked = (
+        rank_in_groups(placed, keys, "value", "division", settings)
+        .join(exponents, keys, "left")
+        .withColumn("group_label", by_group)
+        .join(sizes, ["entryperiod", "aggregate", "group_label"], "left")
     )
+
+    def judged(column: str) -> Column:
+        x = F.col(column)
+        return F.when(is_d2c, yeo_johnson(x, F.col("lambda"))).otherwise(x)
+
+    fenced = ranked.select(
+        *[c for c in ranked.columns if c not in ("q1", "q3")],
+        judged("value").alias("sort_value"),
+        judged("q1").alias("q1"),
+        judged("q3").alias("q3"),
+        F.coalesce("companies", "group_rows").alias("size_of_group_per_period"),
+    ).withColumn("iqr", F.coalesce(F.col("q3") - F.col("q1"), F.lit(0.0)))
+    too_small = ~is_d2c & (F.col("size_of_group_per_period") < settings.min_group)
     value = F.col("sort_value")
     return (
-        ranked.withColumn(
+        fenced.withColumn(
             "is_1point5_iqr_outlier",
-            yes_no(F.col("too_small") | beyond_fences(value, settings.inner_fence)),
+            yes_no(too_small | beyond_fences(value, settings.inner_fence)),
         )
         .withColumn(
             "is_3point0_iqr_outlier",
-            yes_no(F.col("too_small") | beyond_fences(value, settings.outer_fence)),
+            yes_no(too_small | beyond_fences(value, settings.outer_fence)),
         )
         .withColumn("kpi", F.col("aggregate"))
         .select(*MONTHLY_COLUMNS)
