@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.chain import PUBLISHED_AT, Chain
 from checks.domain import check_settings
+from sectorgauge.functions.columns import amount
 from sectorgauge.operators import (
     company_kpis,
     divisions,
@@ -127,7 +128,7 @@ def ledger_join(c: Chain) -> DataFrame:
         ledger.with_ledger_code(ledger.account_months(current), codes)
         .groupBy("division", "entryperiod", "rgscode", "hastype310")
         .agg(
-            F.sum("amount").cast("double").alias("amount"),
+            amount(F.sum("cents")).alias("amount"),
             F.sum("transactions").alias("transactions"),
         )
     )

@@ -7,9 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(28,2)"
-
-
 def month_of(date: Column) -> Column:
     """``yyyy-MM`` of a date, timestamp or ISO text."""
     return F.substring(date.cast("string"), 1, 7)
@@ -37,9 +34,17 @@ def sum_if(condition: Column, value: Column) -> Column:
     return F.sum(F.when(condition, value))
 
 
-def money(value: Column) -> Column:
-    """Cents-exact amount, so that sums do not depend on row order."""
-    return value.cast(MONEY)
+def cents(value: Column) -> Column:
+    """Whole cents of an amount: exact sums in any row order, at the cost of a long.
+
+    A sum beyond the range of a long fails (ANSI mode); it never wraps silently.
+    """
+    return F.rint(value * 100.0).cast("bigint")
+
+
+def amount(total_cents: Column) -> Column:
+    """Cents back to an amount."""
+    return total_cents / F.lit(100.0)
 
 
 def yes_no(condition: Column) -> Column:
@@ -63,9 +68,7 @@ def yeo_johnson(x: Column, lam: Column) -> Column:
     ``expm1`` instead of a power minus one: it stays exact for exponents next to
     the logarithmic cases.
     """
-    upper = F.when(lam == 0, F.log1p(x)).otherwise(F.expm1(lam * F.log1p(x)) / lam)
-    rest = 2 - lam
-    lower = F.when(rest == 0, -F.log1p(-x)).otherwise(
-        -F.expm1(rest * F.log1p(-x)) / rest
-    )
-    return F.when(x >= 0, upper).otherwise(lower)
+    size = F.log1p(F.abs(x))
+    power = F.when(x >= 0, lam).otherwise(2 - lam)
+    grown = F.when(power == 0, size).otherwise(F.expm1(power * size) / power)
+    return F.signum(x) * grown

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
-from sectorgauge.functions.columns import money, sum_if
+from sectorgauge.functions.columns import amount, cents, sum_if
 
 # Ledger codes behind each KPI.
 REVENUE_CODES = ("WOmz", "WOvb")
@@ -35,17 +35,18 @@ def kpis_wide(measures: DataFrame) -> DataFrame:
     division serves both the grouping and the running cash position.
     """
     used = (*REVENUE_CODES, *COST_CODES, *CASH_CODES, *D2C_KPIS)
-    code, value = F.col("aggregate"), F.col("value")
+    code, value, in_cents = F.col("aggregate"), F.col("value"), F.col("cents")
     rows = (
         measures.filter(~F.col("type").like("%310"))
         .filter(code.isin(*used))
         .distinct()
         .repartition("division")
+        .withColumn("cents", F.when(~code.isin(*D2C_KPIS), cents(value)))
     )
     sums = rows.groupBy("division", "entryperiod").agg(
-        (-sum_if(code.isin(*REVENUE_CODES), money(value))).cast("double").alias("revenue"),
-        sum_if(code.isin(*COST_CODES), money(value)).cast("double").alias("cost"),
-        sum_if(code.isin(*CASH_CODES), money(value)).alias("cash"),
+        amount(-sum_if(code.isin(*REVENUE_CODES), in_cents)).alias("revenue"),
+        amount(sum_if(code.isin(*COST_CODES), in_cents)).alias("cost"),
+        sum_if(code.isin(*CASH_CODES), in_cents).alias("cash"),
         F.count_if(code.isin(*CASH_CODES)).alias("cash_rows"),
         *[F.max(F.when(code == k, value)).alias(k.lower()) for k in D2C_KPIS],
     )
@@ -60,10 +61,10 @@ def kpis_wide(measures: DataFrame) -> DataFrame:
         "revenue",
         "cost",
         F.expr("try_divide(revenue - cost, revenue)").alias("profitability"),
-        F.when(F.col("cash_rows") > 0, F.sum("cash").over(to_date).cast("double")).alias(
+        F.when(F.col("cash_rows") > 0, amount(F.sum("cash").over(to_date))).alias(
             "cash_position"
         ),
-        F.col("cash").cast("double").alias("cash_monthly"),
+        amount(F.col("cash")).alias("cash_monthly"),
         *[k.lower() for k in D2C_KPIS],
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
-from sectorgauge.functions.columns import money, month_start
+from sectorgauge.functions.columns import amount, cents, month_start
 
 # The ledger codes of every statement element.
 PROFIT_AND_LOSS = {
@@ -93,7 +93,7 @@ def element_measures(measures: DataFrame) -> DataFrame:
 
 def _monthly_sums() -> list[Column]:
     """Per element its movement; per balance element also the reversed closing part."""
-    code, value = F.col("aggregate"), money(F.col("value"))
+    code, value = F.col("aggregate"), F.col("cents")
     sums = []
     for element, codes in (PROFIT_AND_LOSS | BALANCE_SHEET).items():
         sums.append(F.sum(F.when(code.isin(*codes), value)).alias(element))
@@ -120,6 +120,7 @@ def statement_elements(
     """
     monthly = (
         element_measures(measures)
+        .withColumn("cents", cents(F.col("value")))
         .groupBy("division", "entryperiod")
         .agg(*_monthly_sums())
     )
@@ -133,15 +134,13 @@ def statement_elements(
 
     def running(name: str, window) -> Column:
         frame = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return F.sum(F.coalesce(F.col(f"`{name}`"), F.lit(0).cast("decimal(28,2)"))).over(
-            frame
-        )
+        return F.sum(F.coalesce(F.col(f"`{name}`"), F.lit(0))).over(frame)
 
     cumulative = [
-        running(e, in_year).cast("double").alias(e)
+        amount(running(e, in_year)).alias(e)
         for e in (*PROFIT_AND_LOSS, NET_INCOME)
     ] + [
-        (running(e, to_date) + running(f"{e}*", in_year)).cast("double").alias(e)
+        amount(running(e, to_date) + running(f"{e}*", in_year)).alias(e)
         for e in BALANCE_SHEET
     ]
     pairs = ", ".join(f"'{e}', `{e}`" for e in ELEMENTS)

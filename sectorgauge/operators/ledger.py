@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
-from sectorgauge.functions.columns import MONEY, money, month_of, yes_no
+from sectorgauge.functions.columns import amount, cents, month_of, yes_no
 
 CODE_LENGTH = 10
 
@@ -72,8 +72,9 @@ def account_months(transactions: DataFrame) -> DataFrame:
     Runs before the account join: what is joined is account-months, so an account
     with a third of all transactions arrives as a few hundred rows.
     """
+    exact_cents = (F.col("amountdc").cast("decimal(18,2)") * 100).cast("bigint")
     return transactions.groupBy("glaccount", "entryperiod", "hastype310").agg(
-        F.sum(F.col("amountdc").cast("decimal(18,2)")).cast(MONEY).alias("amount"),
+        F.sum(exact_cents).alias("cents"),
         F.count("amountdc").alias("transactions"),
     )
 
@@ -83,7 +84,7 @@ def with_ledger_code(months: DataFrame, codes: DataFrame) -> DataFrame:
     return months.join(
         codes.withColumnRenamed("id", "glaccount"), "glaccount", "inner"
     ).select(
-        "division", "entryperiod", "rgscode", "hastype310", "amount", "transactions"
+        "division", "entryperiod", "rgscode", "hastype310", "cents", "transactions"
     )
 
 
@@ -100,19 +101,23 @@ def roll_up(coded: DataFrame, settings: Settings) -> DataFrame:
     One shuffle on (division, entryperiod) serves all levels: rows fan out to
     their levels after it.
     """
-    prefix_lengths = F.array(*[F.lit(n) for n in settings.levels])
-    fitting = F.filter(prefix_lengths, lambda n: F.length("rgscode") >= n)
+    levels = sorted(settings.levels)
+    fitting = F.lit(None).cast("array<int>")
+    for count, shortest in enumerate(levels, start=1):
+        fitting = F.when(
+            F.length("rgscode") >= shortest, F.array(*[F.lit(n) for n in levels[:count]])
+        ).otherwise(fitting)
     return (
         coded.repartition("division", "entryperiod")
         .withColumn("prefix_length", F.explode(fitting))
         .withColumn("aggregate", F.expr("substring(rgscode, 1, prefix_length)"))
         .groupBy("division", "entryperiod", "aggregate", "hastype310")
-        .agg(F.sum("amount").alias("amount"), F.sum("transactions").alias("transactions"))
+        .agg(F.sum("cents").alias("cents"), F.sum("transactions").alias("transactions"))
         .select(
             "division",
             "entryperiod",
             "aggregate",
-            F.col("amount").cast("double").alias("value"),
+            amount(F.col("cents")).alias("value"),
             "transactions",
             level_label(F.col("aggregate"), F.col("hastype310")).alias("type"),
         )
@@ -132,7 +137,7 @@ def bad_divisions(measures: DataFrame, settings: Settings) -> DataFrame:
     return (
         measures.filter(F.col("aggregate").isin(*settings.bad_codes))
         .groupBy("division", "aggregate")
-        .agg(F.sum(money(F.col("value"))).alias("total"))
+        .agg(amount(F.sum(cents(F.col("value")))).alias("total"))
         .filter(F.col("total") < settings.negative_limit)
         .select("division")
         .distinct()
@@ -148,12 +153,14 @@ def drop_bad_divisions(measures: DataFrame, settings: Settings) -> DataFrame:
     """
     division = Window.partitionBy("division")
     totals = [
-        F.sum(
-            F.when(
-                (F.col("aggregate") == code) & F.col("type").startswith("RGSL"),
-                money(F.col("value")),
-            )
-        ).over(division)
+        amount(
+            F.sum(
+                F.when(
+                    (F.col("aggregate") == code) & F.col("type").startswith("RGSL"),
+                    cents(F.col("value")),
+                )
+            ).over(division)
+        )
         for code in settings.bad_codes
     ]
     flagged = measures.withColumn("lowest_total", F.least(*totals))

@@ -24,15 +24,20 @@ def yeo_johnson_lambda(
     last = round(settings.lambda_max * per_unit)
     x = F.col(value)
     lam = F.col("grid").cast("double") / F.lit(float(per_unit))
+    # On the grid a power is zero or far from it, so exp - 1 is exact enough.
+    power = F.when(F.col("side") >= 0, lam).otherwise(2 - lam)
+    grown = F.when(power == 0, F.col("size")).otherwise(
+        (F.exp(power * F.col("size")) - 1) / power
+    )
     scored = (
-        df.select(
-            *keys, value, F.explode(F.sequence(F.lit(first), F.lit(last))).alias("grid")
-        )
+        df.filter(x.isNotNull())
+        .select(*keys, F.signum(x).alias("side"), F.log1p(F.abs(x)).alias("size"))
+        .withColumn("grid", F.explode(F.sequence(F.lit(first), F.lit(last))))
         .groupBy(*keys, "grid")
         .agg(
-            F.count(value).alias("n"),
-            F.var_pop(yeo_johnson(x, lam)).alias("variance"),
-            F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("log_jacobian"),
+            F.count("size").alias("n"),
+            F.var_pop(F.col("side") * grown).alias("variance"),
+            F.sum(F.col("side") * F.col("size")).alias("log_jacobian"),
         )
         .withColumn(
             "llf",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
-from sectorgauge.functions.columns import money
+from sectorgauge.functions.columns import amount, cents
 
 # The elements of short-term solvency.
 QUICK_ELEMENTS = (
@@ -113,19 +113,19 @@ def statement_ratios(elements: DataFrame, settings: Settings) -> DataFrame:
     One grouping computes sixteen conditional sums and the flag; the result is
     then stacked. A ratio has a row when any of its elements is present.
     """
-    amount = money(F.col(_AMOUNT))
     inputs = _ratio_inputs()
     aggregates = []
     for name, (up, down, needed) in inputs.items():
         sign = -1 if name == "solvability" else 1
         aggregates += [
-            F.sum(F.when(up, amount * sign)).cast("double").alias(f"{name}_num"),
-            F.sum(F.when(down, amount * sign)).cast("double").alias(f"{name}_den"),
+            amount(sign * F.sum(F.when(up, F.col("cents")))).alias(f"{name}_num"),
+            amount(sign * F.sum(F.when(down, F.col("cents")))).alias(f"{name}_den"),
             (F.count_if(needed) > 0).alias(f"{name}_any"),
         ]
     negative = _is("Stock-D", "Cash-D") & (F.col(_AMOUNT) < settings.negative_limit)
     rows = (
         elements.filter(F.col(_AMOUNT) != 0)
+        .withColumn("cents", cents(F.col(_AMOUNT)))
         .groupBy("division", "entryperiod")
         .agg(
             *aggregates,
