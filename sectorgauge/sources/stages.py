@@ -18,12 +18,12 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def stage_root(spark: SparkSession) -> str:
     """The shared folder of the session; a scratch folder only in local mode."""
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if root is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="sectorgauge-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sectorgauge-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
