@@ -14,6 +14,7 @@ import duckdb
 from pyspark.sql import SparkSession
 
 from checks import oracle, registry
+from checks.chain import Chain
 
 TABLES = ("supplier", "part", "lineitem", "orders", "events")
 
@@ -40,9 +41,9 @@ def rows_of(columns: list[str], rows) -> Counter:
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
-def compare(spark: SparkSession, con, key: str, sf_dir: str) -> tuple[bool, str]:
+def compare(chain: Chain, con, key: str) -> tuple[bool, str]:
     started = time.time()
-    df = registry.run(key, spark, sf_dir)
+    df = registry.QUERIES[key](chain)
     got = rows_of(df.columns, df.collect())
     took = time.time() - started
     result = con.execute(oracle.sql(key))
@@ -75,11 +76,12 @@ def local_session() -> SparkSession:
 def main(args: list[str]) -> int:
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     keys = args[1:] or list(registry.QUERIES)
-    spark, con = local_session(), connect(sf_dir)
+    # Keys share the stages of one chain, as the jobs share stored tables.
+    chain, con = Chain(local_session(), sf_dir), connect(sf_dir)
     failed = 0
     for key in keys:
         try:
-            ok, note = compare(spark, con, key, sf_dir)
+            ok, note = compare(chain, con, key)
         except Exception as error:  # report and go on with the next key
             ok, note = False, f"{type(error).__name__}: {str(error)[:400]}"
         failed += not ok

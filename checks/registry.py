@@ -26,6 +26,7 @@ from sectorgauge.operators import (
     snapshots,
 )
 from sectorgauge.operators.company_kpis import D2C_KPIS
+from sectorgauge.sources.stages import stage
 
 Query = Callable[[Chain], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -151,7 +152,9 @@ def bad_divisions(c: Chain) -> DataFrame:
 
 @query("bad_division_filter")
 def bad_division_filter(c: Chain) -> DataFrame:
-    return rounded(ledger.drop_bad_divisions(_all_ledger(c), c.settings), value=4)
+    measures = stage(_all_ledger(c), "all-ledger")
+    bad = ledger.bad_divisions(measures, c.settings)
+    return rounded(ledger.drop_bad_divisions(measures, bad), value=4)
 
 
 # ---------------------------------------------------------------------- invoices

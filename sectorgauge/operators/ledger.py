@@ -98,8 +98,9 @@ def level_label(code: Column, closing: Column) -> Column:
 def roll_up(coded: DataFrame, settings: Settings) -> DataFrame:
     """Sum account-months into every code level that the code is long enough for.
 
-    One shuffle on (division, entryperiod) serves all levels: rows fan out to
-    their levels after it.
+    One grouping serves all levels. Rows fan out to their levels inside the scan
+    of the join result and are combined there, so a division with a large share of
+    all accounts enters the shuffle as sums per code.
     """
     levels = sorted(settings.levels)
     fitting = F.lit(None).cast("array<int>")
@@ -108,8 +109,7 @@ def roll_up(coded: DataFrame, settings: Settings) -> DataFrame:
             F.length("rgscode") >= shortest, F.array(*[F.lit(n) for n in levels[:count]])
         ).otherwise(fitting)
     return (
-        coded.repartition("division", "entryperiod")
-        .withColumn("prefix_length", F.explode(fitting))
+        coded.withColumn("prefix_length", F.explode(fitting))
         .withColumn("aggregate", F.expr("substring(rgscode, 1, prefix_length)"))
         .groupBy("division", "entryperiod", "aggregate", "hastype310")
         .agg(F.sum("cents").alias("cents"), F.sum("transactions").alias("transactions"))
@@ -144,26 +144,6 @@ def bad_divisions(measures: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def drop_bad_divisions(measures: DataFrame, settings: Settings) -> DataFrame:
-    """Remove all measures of bad divisions.
-
-    Totals ride on a window over the division instead of an anti join against
-    ``bad_divisions``, which would compute the ledger a second time. A division
-    holds at most codes x months rows here, never raw transactions.
-    """
-    division = Window.partitionBy("division")
-    totals = [
-        amount(
-            F.sum(
-                F.when(
-                    (F.col("aggregate") == code) & F.col("type").startswith("RGSL"),
-                    cents(F.col("value")),
-                )
-            ).over(division)
-        )
-        for code in settings.bad_codes
-    ]
-    flagged = measures.withColumn("lowest_total", F.least(*totals))
-    return flagged.filter(
-        F.coalesce(F.col("lowest_total") >= settings.negative_limit, F.lit(True))
-    ).drop("lowest_total")
+def drop_bad_divisions(measures: DataFrame, bad: DataFrame) -> DataFrame:
+    """Remove all measures of the given divisions."""
+    return measures.join(bad, "division", "left_anti")

@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame
 from sectorgauge.config import Settings
 from sectorgauge.operators.divisions import eligible_divisions
 from sectorgauge.operators.ledger import (
+    bad_divisions,
     choose_account_codes,
     drop_bad_divisions,
     ledger_measures,
 )
 from sectorgauge.operators.payments import days_to_cash
+from sectorgauge.sources.stages import stage
 
 
 def raw_measures(
@@ -26,11 +28,15 @@ def raw_measures(
     Eligibility is tested on the account dimension, before the ledger join, and
     on the aggregated days to cash, so excluded companies never reach the large
     shuffles of the roll-up.
+
+    The ledger measures are stored before the bad divisions are looked up in them:
+    reading two codes again is cheaper than computing the ledger twice.
     """
     eligible = eligible_divisions(lookup)
     codes = choose_account_codes(accounts, settings).join(
         eligible, "division", "left_semi"
     )
-    ledger = ledger_measures(transactions, codes, settings)
+    ledger = stage(ledger_measures(transactions, codes, settings), "ledger")
+    bad = bad_divisions(ledger, settings)
     d2c = days_to_cash(invoices, settings).join(eligible, "division", "left_semi")
-    return drop_bad_divisions(ledger.unionByName(d2c), settings)
+    return drop_bad_divisions(ledger.unionByName(d2c), bad)
