@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import logging
 import sys
 
 from sectorgauge.config import Settings
@@ -20,14 +21,13 @@ STAGES = {
     "elements": jobs.run_elements,
     "ratios": jobs.run_ratios,
     "cells": jobs.run_cells,
-    "all": jobs.run_all,
 }
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sectorgauge", description=__doc__)
     p.add_argument(
-        "job", choices=[*STAGES, "publish", "publish-both", "roll-back", "lookup", "scan"]
+        "job", choices=[*STAGES, "all", "publish", "publish-both", "roll-back", "lookup", "scan"]
     )
     p.add_argument("--source", help="folder of the domain tables", required=True)
     p.add_argument("--target", help="folder of the results", required=True)
@@ -44,15 +44,19 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     settings = Settings(
         as_of=args.as_of or dt.date.today(), publish_lag_months=args.months_to_end
     )
     paths = jobs.Paths(args.source, args.target, args.postfix)
     spark = get_session(f"sectorgauge {args.job}")
     if args.job == "measures":
-        jobs.run_measures(spark, paths, settings, args.sample)
+        print(jobs.run_measures(spark, paths, settings, args.sample), "rows")
+    elif args.job == "all":
+        jobs.run_all(spark, paths, settings)
     elif args.job in STAGES:
-        STAGES[args.job](spark, paths, settings)
+        print(STAGES[args.job](spark, paths, settings), "rows")
     elif args.job == "lookup":
         found = jobs.lookup_series(
             spark, paths, settings, args.sectorcode, args.kpi, args.history

@@ -7,6 +7,7 @@ own. Paths are explicit; nothing is read from a default place.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +15,15 @@ from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
 from sectorgauge.operators import serving, snapshots
+from sectorgauge.operators.divisions import consent_report
 from sectorgauge.operators.elements import statement_elements
 from sectorgauge.plans.monthly import flagged_kpis, sector_series
 from sectorgauge.plans.raw import raw_measures
 from sectorgauge.plans.statements import cube_cells, flagged_ratios
 from sectorgauge.sources import schemas, tables
 
+log = logging.getLogger(__name__)
+
 SERIES_SERVICE = "series"
 RATIO_SERVICE = "ratios"
 VERSION = tables.VERSION
@@ -67,8 +71,10 @@ def _required(df: DataFrame | None, table: str) -> DataFrame:
 
 def run_measures(
     spark: SparkSession, paths: Paths, settings: Settings, sample: float | None = None
-) -> None:
+) -> int:
     """Bookkeeping and invoices to monthly measures."""
+    lookup = _lookup(spark, paths)
+    log.info("divisions that share no data: %s", consent_report(lookup).first()["refused"])
     measures = raw_measures(
         tables.read_table(spark, paths.domain("gl_account"), schemas.GL_ACCOUNT),
         tables.sample_rows(
@@ -76,17 +82,19 @@ def run_measures(
             sample,
         ),
         tables.read_invoices(spark, paths.domain("invoice_dso")),
-        _lookup(spark, paths),
+        lookup,
         settings,
     )
-    tables.write_table(tables.check_columns(measures, schemas.MEASURES), paths.measures)
+    return tables.write_table(
+        tables.check_columns(measures, schemas.MEASURES), paths.measures
+    )
 
 
-def run_company_kpis(spark: SparkSession, paths: Paths, settings: Settings) -> None:
+def run_company_kpis(spark: SparkSession, paths: Paths, settings: Settings) -> int:
     """Measures to flagged company KPIs."""
     measures = tables.read_table(spark, paths.measures, schemas.MEASURES)
     flagged = flagged_kpis(measures, _lookup(spark, paths), settings)
-    tables.write_snapshot(
+    return tables.write_snapshot(
         tables.check_columns(flagged, schemas.FLAGGED_KPIS),
         paths.result("division_level"),
         settings.as_of.isoformat(),
@@ -94,37 +102,37 @@ def run_company_kpis(spark: SparkSession, paths: Paths, settings: Settings) -> N
     )
 
 
-def run_sector_series(spark: SparkSession, paths: Paths, settings: Settings) -> None:
+def run_sector_series(spark: SparkSession, paths: Paths, settings: Settings) -> int:
     """Latest flagged KPIs to the published sector series."""
     flagged = _required(
         tables.read_snapshot(spark, paths.result("division_level"), schemas.FLAGGED_KPIS),
         "division_level",
     )
     series = sector_series(flagged, _lookup(spark, paths), settings)
-    tables.write_snapshot(
+    return tables.write_snapshot(
         tables.check_columns(series, schemas.SERIES),
         paths.result("aggregated"),
         settings.as_of.isoformat(),
     )
 
 
-def run_elements(spark: SparkSession, paths: Paths, settings: Settings) -> None:
+def run_elements(spark: SparkSession, paths: Paths, settings: Settings) -> int:
     """Measures and fiscal calendars to statement elements."""
     measures = tables.read_table(spark, paths.measures, schemas.MEASURES)
     periods = tables.read_table(
         spark, paths.domain("financial_period"), schemas.FINANCIAL_PERIOD
     )
     elements = statement_elements(measures, periods, settings)
-    tables.write_table(
+    return tables.write_table(
         tables.check_columns(elements, schemas.ELEMENTS), paths.result("elements")
     )
 
 
-def run_ratios(spark: SparkSession, paths: Paths, settings: Settings) -> None:
+def run_ratios(spark: SparkSession, paths: Paths, settings: Settings) -> int:
     """Elements to flagged company ratios."""
     elements = tables.read_table(spark, paths.result("elements"), schemas.ELEMENTS)
     flagged = flagged_ratios(elements, _lookup(spark, paths), settings)
-    tables.write_snapshot(
+    return tables.write_snapshot(
         tables.check_columns(flagged, schemas.FLAGGED_RATIOS),
         paths.result("ratios"),
         settings.as_of.isoformat(),
@@ -132,14 +140,14 @@ def run_ratios(spark: SparkSession, paths: Paths, settings: Settings) -> None:
     )
 
 
-def run_cells(spark: SparkSession, paths: Paths, settings: Settings) -> None:
+def run_cells(spark: SparkSession, paths: Paths, settings: Settings) -> int:
     """Latest flagged ratios to cube cells."""
     flagged = _required(
         tables.read_snapshot(spark, paths.result("ratios"), schemas.FLAGGED_RATIOS),
         "ratios",
     )
     cells = cube_cells(flagged, _lookup(spark, paths), settings).distinct()
-    tables.write_snapshot(
+    return tables.write_snapshot(
         tables.check_columns(cells, schemas.CELLS),
         paths.result("cells"),
         settings.as_of.isoformat(),
@@ -157,7 +165,7 @@ def run_all(spark: SparkSession, paths: Paths, settings: Settings) -> None:
         run_ratios,
         run_cells,
     ):
-        job(spark, paths, settings)
+        log.info("%s: %d rows", job.__name__, job(spark, paths, settings))
 
 
 # ------------------------------------------------------------------ publication

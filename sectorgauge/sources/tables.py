@@ -60,9 +60,15 @@ def read_snapshot(
     return read_table(spark, f"{root}/{column}={chosen}", schema)
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Replace a table."""
+def write_table(df: DataFrame, path: str) -> int:
+    """Replace a table; returns the number of rows stored."""
     df.write.mode("overwrite").parquet(path)
+    return _stored_rows(df, path)
+
+
+def _stored_rows(df: DataFrame, path: str) -> int:
+    """Row count from the file footers; no column is read."""
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def write_snapshot(
@@ -71,11 +77,12 @@ def write_snapshot(
     date: str,
     partition_by: str | None = None,
     column: str = SNAPSHOT,
-) -> str:
+) -> int:
     """Write one dated snapshot, replacing a previous one of the same date.
 
     Rows are rebalanced on the partition column before the write: small
-    partitions become one file, large ones are split over several tasks.
+    partitions become one file, large ones are split over several tasks. Returns
+    the number of rows stored.
     """
     path = f"{root}/{column}={date}"
     if partition_by is None:
@@ -84,7 +91,7 @@ def write_snapshot(
         df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(
             partition_by
         ).parquet(path)
-    return path
+    return _stored_rows(df, path)
 
 
 def read_bookmarks(spark: SparkSession, root: str) -> DataFrame:

@@ -63,6 +63,9 @@ def test_stages_are_stored_with_their_schema(spark, done, small):
     ]:
         stored = tables.read_snapshot(spark, done.result(table), schema)
         assert stored.count() > 0, table
+    assert jobs.run_cells(spark, done, small) == tables.read_snapshot(
+        spark, done.result("cells"), schemas.CELLS
+    ).count()
     assert tables.latest_date(spark, done.result("cells")) == "2001-11-01"
 
 
@@ -176,6 +179,14 @@ class FakeSession:
         self.checkpoint = f"file:{folder}"
 
 
+def test_an_empty_result_is_a_snapshot_too(spark, tmp_path, small):
+    empty = spark.createDataFrame([], schemas.CELLS)
+    assert tables.write_snapshot(empty, f"{tmp_path}/c", "2001-01-01", "entryperiod") == 0
+    assert tables.read_snapshot(spark, f"{tmp_path}/c", schemas.CELLS).count() == 0
+    assert tables.write_table(empty, f"{tmp_path}/t") == 0
+    assert tables.read_snapshot(spark, f"{tmp_path}/none", schemas.CELLS) is None
+
+
 def test_stage_folder_is_the_one_the_cluster_names():
     assert stages.stage_root(FakeSession("yarn", "hdfs:/shared/")) == "hdfs:/shared"
     assert stages.stage_root(FakeSession("yarn", None, "hdfs:/own")) == "hdfs:/own"
