@@ -37,13 +37,11 @@ from {supplier}
 
 COMPANY_COUNT = "select count(*) as n from {supplier}"
 
-CODED_PART = (
-    """
+CODED_PART = """
 select p_partkey as id, 1 + p_partkey % n as company, p_size,
        cast(floor(p_partkey / n) % 20 as int) as i
-from {part}, {company_count}
+from (select *, (select n from {company_count}) as n from {part}) p
 """
-)
 
 GL_ACCOUNT = f"""
 select id, cast(company as string) as division,
@@ -81,7 +79,7 @@ select cast(1 + o_custkey % n as string) as division,
        cast(floor(o_orderkey / 2) as bigint) as paymentid,
        o_orderkey as uniqueinvoicenumber,
        cast(floor(o_orderkey / 3) as bigint) as matchid
-from {orders}, {company_count}
+from (select *, (select n from {company_count}) as n from {orders}) o
 """
 
 # Check SQL only: Spark expands the calendar with sequences instead (below).
@@ -140,7 +138,7 @@ class Domain:
 
     @property
     def _company_count(self) -> DataFrame:
-        return F.broadcast(self.spark.sql(COMPANY_COUNT, supplier=self.table("supplier")))
+        return self.spark.sql(COMPANY_COUNT, supplier=self.table("supplier"))
 
     @property
     def _coded_part(self) -> DataFrame:

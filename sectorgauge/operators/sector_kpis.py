@@ -32,11 +32,12 @@ def average_kpis(flagged: DataFrame, settings: Settings) -> DataFrame:
     """Rows that enter an averaged sector KPI: (division, entryperiod, kpi, unit, value).
 
     Days to cash enter as they are. Cash flows enter as 100 or 0, so that their
-    mean is the percentage of companies with a positive one.
+    mean is the percentage of companies with a positive one. Rows are picked by
+    ``kpi``, the folder column of the stored table, so other KPIs are not read.
     """
     inner_ok = F.col("is_1point5_iqr_outlier") == "N"
     outer_ok = F.col("is_3point0_iqr_outlier") == "N"
-    name, value = F.col("aggregate"), F.col("value")
+    name, value = F.col("kpi"), F.col("value")
     d2c = (name == "D2C_30d") & inner_ok
     position = (name == "CashFlowPosition") & outer_ok
     monthly = (name == "CashFlowMonthly") & outer_ok
@@ -44,7 +45,8 @@ def average_kpis(flagged: DataFrame, settings: Settings) -> DataFrame:
     def percent(condition: Column) -> Column:
         return F.when(condition, F.lit(100.0)).otherwise(F.lit(0.0))
 
-    return flagged.filter(d2c | position | monthly).select(
+    averaged = name.isin("D2C_30d", "CashFlowPosition", "CashFlowMonthly")
+    return flagged.filter(averaged & (d2c | position | monthly)).select(
         "division",
         "entryperiod",
         F.when(d2c, F.lit("d2c_30d_mean"))
@@ -93,7 +95,7 @@ def revenue_year_on_year(flagged: DataFrame) -> DataFrame:
     )
     return (
         flagged.filter(
-            (F.col("aggregate") == "Revenue") & (F.col("is_3point0_iqr_outlier") == "N")
+            (F.col("kpi") == "Revenue") & (F.col("is_3point0_iqr_outlier") == "N")
         )
         .select(
             "division",

@@ -69,7 +69,9 @@ def quality_report(documents: DataFrame, settings: Settings) -> DataFrame:
     growth within -100 and 100, both over more than ``min_population`` companies,
     in every month. A missing value is a violation.
     """
-    points = documents.select("kpi", F.explode_outer("data").alias("p"))
+    points = documents.select(
+        "kpi_identifier", "kpi", F.explode_outer("data").alias("p")
+    )
     value, enough = F.col("p.value"), F.col("p.population") > settings.min_population
     days_ok = (value > 0) & (value < 70) & enough
     growth_ok = (value > -100) & (value < 100) & enough
@@ -79,15 +81,11 @@ def quality_report(documents: DataFrame, settings: Settings) -> DataFrame:
 
     expected = len(settings.sectors) * len(settings.kpis)
     counts = points.agg(
+        F.count_distinct("kpi_identifier").alias("series"),
         violations("d2c_30d_mean", days_ok).alias("bad_days"),
         violations("total_growth_lastyear", growth_ok).alias("bad_growth"),
     )
-    # Two one-row results side by side.
-    series = documents.agg(F.count(F.lit(1)).alias("series"))
-    both = series.withColumn("row", F.lit(1)).join(
-        F.broadcast(counts.withColumn("row", F.lit(1))), "row"
-    )
-    return both.select(
+    return counts.select(
         "series",
         F.lit(expected).cast("bigint").alias("expected_series"),
         "bad_days",
@@ -170,9 +168,10 @@ def scan_ratios(documents: DataFrame) -> DataFrame:
 
 def reconcile(published: DataFrame, loaded: DataFrame) -> DataFrame:
     """Whether as many rows arrived as were published."""
-    one = F.lit(1)
-    left = published.agg(F.count(one).alias("published")).withColumn("row", one)
-    right = loaded.agg(F.count(one).alias("loaded")).withColumn("row", one)
-    return left.join(F.broadcast(right), "row").select(
-        "published", "loaded", (F.col("published") == F.col("loaded")).alias("matches")
+    sides = published.select(F.lit(False).alias("arrived")).union(
+        loaded.select(F.lit(True))
     )
+    return sides.agg(
+        F.count_if(~F.col("arrived")).alias("published"),
+        F.count_if("arrived").alias("loaded"),
+    ).withColumn("matches", F.col("published") == F.col("loaded"))

@@ -86,7 +86,7 @@ def run_measures(
         settings,
     )
     return tables.write_table(
-        tables.check_columns(measures, schemas.MEASURES), paths.measures
+        tables.check_columns(measures, schemas.MEASURES), paths.measures, "aggregate"
     )
 
 

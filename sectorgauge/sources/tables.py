@@ -60,8 +60,14 @@ def read_snapshot(
     return read_table(spark, f"{root}/{column}={chosen}", schema)
 
 
-def write_table(df: DataFrame, path: str) -> int:
-    """Replace a table; returns the number of rows stored."""
+def write_table(df: DataFrame, path: str, sort_by: str | None = None) -> int:
+    """Replace a table; returns the number of rows stored.
+
+    ``sort_by`` orders the rows of each file, so that readers of few values of the
+    column skip most row groups.
+    """
+    if sort_by is not None:
+        df = df.sortWithinPartitions(sort_by)
     df.write.mode("overwrite").parquet(path)
     return _stored_rows(df, path)
 

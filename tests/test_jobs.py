@@ -85,6 +85,16 @@ def test_partition_filters_prune_folders(spark, done):
     assert "PartitionFilters: [isnotnull(eurocurrency" in plan
 
 
+def test_growth_reads_the_revenue_folder_only(spark, done):
+    from sectorgauge.operators.sector_kpis import average_kpis, revenue_year_on_year
+
+    flagged = tables.read_snapshot(spark, done.result("division_level"), schemas.FLAGGED_KPIS)
+    plan = revenue_year_on_year(flagged)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(kpi" in plan and "Revenue" in plan
+    plan = average_kpis(flagged, check_settings())._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [kpi" in plan.toString()
+
+
 def test_publish_lookup_and_roll_back(spark, done, small, rows):
     first = jobs.publish_both(spark, done, small, NOW)
     assert first.success, first.message

@@ -3,7 +3,7 @@ import pytest
 from sectorgauge.operators import divisions, sector_kpis
 
 FLAGGED = (
-    "division string, entryperiod string, aggregate string, value double, "
+    "division string, entryperiod string, kpi string, value double, "
     "is_1point5_iqr_outlier string, is_3point0_iqr_outlier string"
 )
 ROWS = "division string, entryperiod string, kpi string, unit string, value double"
@@ -15,8 +15,8 @@ LOOKUP = (
 )
 
 
-def flag(division, value, aggregate="D2C_30d", period="2018-01", narrow="N", wide="N"):
-    return (division, period, aggregate, float(value), narrow, wide)
+def flag(division, value, kpi="D2C_30d", period="2018-01", narrow="N", wide="N"):
+    return (division, period, kpi, float(value), narrow, wide)
 
 
 def test_dimension_filters(table, rows):
