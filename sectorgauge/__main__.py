@@ -34,6 +34,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     p.add_argument("--postfix", default="", help="suffix of the measures table")
     p.add_argument("--sample", type=float, help="share of transactions, for a trial run")
+    p.add_argument(
+        "--types",
+        action="append",
+        default=[],
+        metavar="TABLE=COLUMNS",
+        help="columns of an input table, where its files hold other types",
+    )
     p.add_argument("--months-to-end", type=int, default=3)
     p.add_argument("--service", choices=[jobs.SERIES_SERVICE, jobs.RATIO_SERVICE])
     p.add_argument("--sectorcode", default="")
@@ -49,7 +56,8 @@ def main(argv: list[str] | None = None) -> int:
     settings = Settings(
         as_of=args.as_of or dt.date.today(), publish_lag_months=args.months_to_end
     )
-    paths = jobs.Paths(args.source, args.target, args.postfix)
+    types = dict(entry.split("=", 1) for entry in args.types)
+    paths = jobs.Paths(args.source, args.target, args.postfix, types)
     spark = get_session(f"sectorgauge {args.job}")
     if args.job == "measures":
         print(jobs.run_measures(spark, paths, settings, args.sample), "rows")

@@ -97,13 +97,15 @@ def rank_in_groups(
 ) -> DataFrame:
     """Add ``group_rows``, ``percentile``, ``q1`` and ``q3`` to every row.
 
-    ``keys`` must not be NULL and ``df`` should be a stored table: it is read for
-    the group sizes, the ordinary groups and the hot groups. Without hot groups
-    the adaptive planner drops the third branch.
+    ``keys`` must not be NULL and ``df`` should be a stored table: its group sizes
+    are looked at first, and one window serves all groups if none is hot.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
+    hot = sizes.filter(F.col("group_rows") > settings.hot_group_rows)
+    if hot.isEmpty():
+        return _rank_whole(df, keys, value, settings)
     # Bounded by (table rows / hot_group_rows), so it may be broadcast.
-    hot = F.broadcast(sizes.filter(F.col("group_rows") > settings.hot_group_rows))
+    hot = F.broadcast(hot)
     ordinary = df.join(hot.select(*keys), keys, "left_anti")
     whole = _rank_whole(ordinary, keys, value, settings)
     sliced = _rank_sliced(df.join(hot, keys), keys, value, spread_by, settings)

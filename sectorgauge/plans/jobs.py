@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,15 +32,24 @@ VERSION = tables.VERSION
 
 @dataclass(frozen=True)
 class Paths:
-    """Folders of a run: domain tables below ``source``, results below ``target``."""
+    """Folders of a run: domain tables below ``source``, results below ``target``.
+
+    ``types`` replaces the declared columns of an input table whose files hold
+    other types, such as text for account ids.
+    """
 
     source: str
     target: str
     postfix: str = ""
+    types: Mapping[str, str] = field(default_factory=dict)
 
     def domain(self, table: str) -> str:
         return f"{self.source}/{table}"
 
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        schema = self.types.get(table, schemas.INPUTS[table])
+        return tables.read_table(spark, self.domain(table), schema)
+
     def result(self, table: str) -> str:
         return f"{self.target}/{table}"
 
@@ -57,12 +67,6 @@ class Outcome:
     rows: int = 0
 
 
-def _lookup(spark: SparkSession, paths: Paths) -> DataFrame:
-    return tables.read_table(
-        spark, paths.domain("division_lookup"), schemas.DIVISION_LOOKUP
-    )
-
-
 def _required(df: DataFrame | None, table: str) -> DataFrame:
     if df is None:
         raise FileNotFoundError(f"no snapshot of {table}")
@@ -73,15 +77,14 @@ def run_measures(
     spark: SparkSession, paths: Paths, settings: Settings, sample: float | None = None
 ) -> int:
     """Bookkeeping and invoices to monthly measures."""
-    lookup = _lookup(spark, paths)
+    lookup = paths.read(spark, "division_lookup")
     log.info("divisions that share no data: %s", consent_report(lookup).first()["refused"])
     measures = raw_measures(
-        tables.read_table(spark, paths.domain("gl_account"), schemas.GL_ACCOUNT),
-        tables.sample_rows(
-            tables.read_table(spark, paths.domain("gl_transaction"), schemas.GL_TRANSACTION),
-            sample,
+        paths.read(spark, "gl_account"),
+        tables.sample_rows(paths.read(spark, "gl_transaction"), sample),
+        paths.read(spark, "invoice_dso").withColumnRenamed(
+            "actualtimebetweeninvoiceandpayment", "atbip"
         ),
-        tables.read_invoices(spark, paths.domain("invoice_dso")),
         lookup,
         settings,
     )
@@ -93,7 +96,7 @@ def run_measures(
 def run_company_kpis(spark: SparkSession, paths: Paths, settings: Settings) -> int:
     """Measures to flagged company KPIs."""
     measures = tables.read_table(spark, paths.measures, schemas.MEASURES)
-    flagged = flagged_kpis(measures, _lookup(spark, paths), settings)
+    flagged = flagged_kpis(measures, paths.read(spark, "division_lookup"), settings)
     return tables.write_snapshot(
         tables.check_columns(flagged, schemas.FLAGGED_KPIS),
         paths.result("division_level"),
@@ -108,7 +111,7 @@ def run_sector_series(spark: SparkSession, paths: Paths, settings: Settings) ->
         tables.read_snapshot(spark, paths.result("division_level"), schemas.FLAGGED_KPIS),
         "division_level",
     )
-    series = sector_series(flagged, _lookup(spark, paths), settings)
+    series = sector_series(flagged, paths.read(spark, "division_lookup"), settings)
     return tables.write_snapshot(
         tables.check_columns(series, schemas.SERIES),
         paths.result("aggregated"),
@@ -119,9 +122,7 @@ def run_sector_series(spark: SparkSession, paths: Paths, settings: Settings) ->
 def run_elements(spark: SparkSession, paths: Paths, settings: Settings) -> int:
     """Measures and fiscal calendars to statement elements."""
     measures = tables.read_table(spark, paths.measures, schemas.MEASURES)
-    periods = tables.read_table(
-        spark, paths.domain("financial_period"), schemas.FINANCIAL_PERIOD
-    )
+    periods = paths.read(spark, "financial_period")
     elements = statement_elements(measures, periods, settings)
     return tables.write_table(
         tables.check_columns(elements, schemas.ELEMENTS), paths.result("elements")
@@ -131,7 +132,7 @@ def run_elements(spark: SparkSession, paths: Paths, settings: Settings) -> int:
 def run_ratios(spark: SparkSession, paths: Paths, settings: Settings) -> int:
     """Elements to flagged company ratios."""
     elements = tables.read_table(spark, paths.result("elements"), schemas.ELEMENTS)
-    flagged = flagged_ratios(elements, _lookup(spark, paths), settings)
+    flagged = flagged_ratios(elements, paths.read(spark, "division_lookup"), settings)
     return tables.write_snapshot(
         tables.check_columns(flagged, schemas.FLAGGED_RATIOS),
         paths.result("ratios"),
@@ -146,7 +147,7 @@ def run_cells(spark: SparkSession, paths: Paths, settings: Settings) -> int:
         tables.read_snapshot(spark, paths.result("ratios"), schemas.FLAGGED_RATIOS),
         "ratios",
     )
-    cells = cube_cells(flagged, _lookup(spark, paths), settings).distinct()
+    cells = cube_cells(flagged, paths.read(spark, "division_lookup"), settings).distinct()
     return tables.write_snapshot(
         tables.check_columns(cells, schemas.CELLS),
         paths.result("cells"),

@@ -22,6 +22,14 @@ FINANCIAL_PERIOD = (
     "division string, finyear int, finperiod int, startdate date, enddate date"
 )
 
+INPUTS = {
+    "gl_account": GL_ACCOUNT,
+    "gl_transaction": GL_TRANSACTION,
+    "invoice_dso": INVOICE_DSO,
+    "division_lookup": DIVISION_LOOKUP,
+    "financial_period": FINANCIAL_PERIOD,
+}
+
 # Stage tables.
 MEASURES = (
     "division string, entryperiod string, aggregate string, value double, "

@@ -30,6 +30,7 @@ def stage_root(spark: SparkSession) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the stage folder and return the stored table."""
     spark = df.sparkSession
-    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    run = spark.sparkContext.applicationId
+    path = f"{stage_root(spark)}/{run}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

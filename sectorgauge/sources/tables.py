@@ -23,13 +23,6 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*columns)
 
 
-def read_invoices(spark: SparkSession, path: str) -> DataFrame:
-    """Matched invoices, with the short name of the payment time."""
-    return read_table(spark, path, schemas.INVOICE_DSO).withColumnRenamed(
-        "actualtimebetweeninvoiceandpayment", "atbip"
-    )
-
-
 def sample_rows(df: DataFrame, fraction: float | None, seed: int = 42) -> DataFrame:
     """A trial run's share of the rows; everything when no fraction is given."""
     return df if fraction is None else df.sample(fraction=fraction, seed=seed)

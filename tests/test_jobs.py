@@ -150,6 +150,32 @@ def test_sample_run(spark, done, small):
     assert 0 < spark.read.parquet(trial.measures).count() < spark.read.parquet(done.measures).count()
 
 
+def test_input_files_with_other_types(spark, done, small, tmp_path, rows):
+    """Text for account and match ids, doubles for amounts."""
+    other = dataclasses.replace(
+        done,
+        source=str(tmp_path),
+        postfix="_other",
+        types={
+            "gl_account": schemas.GL_ACCOUNT.replace("id bigint", "id string"),
+            "gl_transaction": schemas.GL_TRANSACTION.replace(
+                "decimal(18,2)", "double"
+            ).replace("glaccount bigint", "glaccount string"),
+            "invoice_dso": schemas.INVOICE_DSO.replace("matchid bigint", "matchid string"),
+        },
+    )
+    text = {"gl_account": "id", "gl_transaction": "glaccount", "invoice_dso": "matchid"}
+    for table, column in text.items():
+        df = done.read(spark, table).withColumn(column, F.concat(F.lit("x"), column))
+        if table == "gl_transaction":
+            df = df.withColumn("amountdc", F.col("amountdc").cast("double"))
+        df.write.parquet(other.domain(table))
+    done.read(spark, "division_lookup").write.parquet(other.domain("division_lookup"))
+    jobs.run_measures(spark, other, small)
+    got, want = spark.read.parquet(other.measures), spark.read.parquet(done.measures)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_files_without_a_column_give_null(spark, tmp_path, rows):
     spark.sql("select 1 as ID, 'd' as DIVISION").write.parquet(f"{tmp_path}/t/p=1")
     spark.sql("select 2 as id, 'e' as division, 'WOmzNop' as RGSCode").write.parquet(
@@ -216,6 +242,8 @@ def test_stage_is_a_stored_table(spark, rows):
 
 def test_command_line():
     args = parser().parse_args(
-        ["publish", "--source", "a", "--target", "b", "--service", "series", "--as-of", "2019-06-15"]
+        ["publish", "--source", "a", "--target", "b", "--service", "series",
+         "--as-of", "2019-06-15", "--types", "gl_account=id string"]
     )
+    assert args.types == ["gl_account=id string"]
     assert args.as_of == dt.date(2019, 6, 15) and args.months_to_end == 3
