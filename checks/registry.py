@@ -211,18 +211,22 @@ _SECTOR_KEYS = ["entryperiod", "aggregate", "sectorcode"]
 
 
 def _d2c(c: Chain) -> DataFrame:
-    return _profiled(c).filter(F.col("aggregate").isin(*D2C_KPIS))
+    return stage(_profiled(c).filter(F.col("aggregate").isin(*D2C_KPIS)), "days")
 
 
 @query("yeo_johnson_lambda")
 def yeo_johnson_lambda(c: Chain) -> DataFrame:
-    found = power.yeo_johnson_lambda(_d2c(c), _SECTOR_KEYS, "value", c.settings)
+    found = power.yeo_johnson_lambda(
+        _d2c(c), _SECTOR_KEYS, "value", "division", c.settings
+    )
     return rounded(found, **{"lambda": 3})
 
 
 @query("yeo_johnson_transform")
 def yeo_johnson_transform(c: Chain) -> DataFrame:
-    moved = power.yeo_johnson_transform(_d2c(c), _SECTOR_KEYS, "value", c.settings)
+    moved = power.yeo_johnson_transform(
+        _d2c(c), _SECTOR_KEYS, "value", "division", c.settings
+    )
     return rounded(
         moved.select("division", "entryperiod", "aggregate", "value", "value_t", "length"),
         value=4,

@@ -77,7 +77,7 @@ def flag_monthly_outliers(kpis: DataFrame, settings: Settings) -> DataFrame:
     keys = ["entryperiod", "aggregate", "peer"]
 
     days = placed.filter(is_d2c)
-    exponents = yeo_johnson_lambda(days, keys, "value", settings).drop("length")
+    exponents = yeo_johnson_lambda(days, keys, "value", "division", settings).drop("length")
     sizes = days.groupBy("entryperiod", "aggregate", by_group.alias("group_label")).agg(
         F.count("division").alias("companies")
     )

@@ -9,15 +9,39 @@ from sectorgauge.config import Settings
 from sectorgauge.functions.columns import yeo_johnson
 
 
+def _deal_groups(
+    df: DataFrame, keys: list[str], spread_by: str, settings: Settings
+) -> DataFrame:
+    """Spread groups over all cores; hot groups over many partitions each.
+
+    Scoring a row costs far more than moving it, so the number of partitions
+    follows the cores and not the bytes.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
+    hot = sizes.filter(F.col("group_rows") > settings.hot_group_rows)
+    if hot.isEmpty():
+        return df.repartition(cores, *keys)
+    # Bounded by (table rows / hot_group_rows), so it may be broadcast.
+    marked = df.join(F.broadcast(hot), keys, "left")
+    part = F.when(
+        F.col("group_rows").isNotNull(),
+        F.pmod(F.xxhash64(spread_by), F.lit(settings.rank_slices)),
+    ).otherwise(F.lit(0))
+    return marked.withColumn("part", part).repartition(cores, *keys, "part")
+
+
 def yeo_johnson_lambda(
-    df: DataFrame, keys: list[str], value: str, settings: Settings
+    df: DataFrame, keys: list[str], value: str, spread_by: str, settings: Settings
 ) -> DataFrame:
     """Maximum-likelihood exponent per group, as (keys, lambda, length).
 
     The profile log-likelihood is a plain aggregate, so all exponents of a grid
-    are scored in one pass with map-side combine: a group of any size leaves a
-    scan task as one row per grid point. A parabola through the best point and
-    its neighbours gives the exponent between grid points. Constant groups get 1.
+    are scored in one pass. Ordinary groups are scored where one shuffle puts
+    them; a hot group leaves each task as one row per grid point. A parabola
+    through the best point and its neighbours gives the exponent between grid
+    points. Constant groups get 1. ``keys`` must not be NULL, and ``df`` should be
+    a stored table, since its group sizes are looked at first.
     """
     per_unit = settings.lambda_steps_per_unit
     first = round(settings.lambda_min * per_unit)
@@ -29,9 +53,11 @@ def yeo_johnson_lambda(
     grown = F.when(power == 0, F.col("size")).otherwise(
         (F.exp(power * F.col("size")) - 1) / power
     )
+    rows = df.filter(x.isNotNull()).select(
+        *keys, spread_by, F.signum(x).alias("side"), F.log1p(F.abs(x)).alias("size")
+    )
     scored = (
-        df.filter(x.isNotNull())
-        .select(*keys, F.signum(x).alias("side"), F.log1p(F.abs(x)).alias("size"))
+        _deal_groups(rows, keys, spread_by, settings)
         .withColumn("grid", F.explode(F.sequence(F.lit(first), F.lit(last))))
         .groupBy(*keys, "grid")
         .agg(
@@ -74,14 +100,14 @@ def yeo_johnson_lambda(
 
 
 def yeo_johnson_transform(
-    df: DataFrame, keys: list[str], value: str, settings: Settings
+    df: DataFrame, keys: list[str], value: str, spread_by: str, settings: Settings
 ) -> DataFrame:
     """Add ``value_t``, ``lambda`` and ``length`` to every row; keys must not be NULL.
 
     The exponents are one row per group. Their join carries no hint: the planner
     broadcasts them if they are small and splits a hot group if they are not.
     """
-    exponents = yeo_johnson_lambda(df, keys, value, settings)
+    exponents = yeo_johnson_lambda(df, keys, value, spread_by, settings)
     return df.join(exponents, keys).withColumn(
         "value_t", yeo_johnson(F.col(value), F.col("lambda"))
     )

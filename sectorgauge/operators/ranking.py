@@ -24,15 +24,16 @@ def _fences(percentile: Column, value: Column, settings: Settings) -> tuple[Colu
 
 
 def _rank_whole(df: DataFrame, keys: list[str], value: str, settings: Settings) -> DataFrame:
-    """One shuffle on the keys; every window below shares it."""
+    """One shuffle on the keys and one sort: the ordered window comes first."""
     group = Window.partitionBy(*keys)
-    ranked = df.select(
+    ranked = df.withColumn("percentile", F.percent_rank().over(group.orderBy(value)))
+    q1, q3 = _fences(F.col("percentile"), F.col(value), settings)
+    return ranked.select(
         "*",
         F.count(F.lit(1)).over(group).alias("group_rows"),
-        F.percent_rank().over(group.orderBy(value)).alias("percentile"),
+        q1.over(group).alias("q1"),
+        q3.over(group).alias("q3"),
     )
-    q1, q3 = _fences(F.col("percentile"), F.col(value), settings)
-    return ranked.select("*", q1.over(group).alias("q1"), q3.over(group).alias("q3"))
 
 
 def _rank_sliced(

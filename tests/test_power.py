@@ -1,3 +1,5 @@
+import dataclasses
+
 import numpy as np
 import pytest
 
@@ -39,9 +41,14 @@ def test_exponent_maximises_the_likelihood(spark, settings):
         "left": 60 - rng.gamma(2.0, 6.0, 400),
         "small": np.array([3.0, 9.0, 20.0, 21.0]),
     }
-    rows = [(g, float(v)) for g, x in groups.items() for v in x]
-    df = spark.createDataFrame(rows, "g string, value double")
-    found = power.yeo_johnson_lambda(df, ["g"], "value", settings).collect()
+    rows = [(g, str(i), float(v)) for g, x in groups.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "g string, division string, value double")
+    found = power.yeo_johnson_lambda(df, ["g"], "value", "division", settings).collect()
+    hot = dataclasses.replace(settings, hot_group_rows=100, rank_slices=8)
+    spread = power.yeo_johnson_lambda(df, ["g"], "value", "division", hot).collect()
+    assert {r.g: r["lambda"] for r in spread} == pytest.approx(
+        {r.g: r["lambda"] for r in found}, abs=1e-7
+    )
     fine = np.arange(-2, 2.00001, 0.0005)
     for row in found:
         x = groups[row["g"]]
@@ -53,8 +60,9 @@ def test_exponent_maximises_the_likelihood(spark, settings):
 
 
 def test_constant_and_single_groups_stay_as_they_are(table, rows, settings):
-    df = table("g string, value double", ("c", 5.0), ("c", 5.0), ("c", 5.0), ("s", 7.0))
-    moved = power.yeo_johnson_transform(df, ["g"], "value", settings)
+    schema = "g string, division string, value double"
+    df = table(schema, *[("c", d, 5.0) for d in "abc"], ("s", "d", 7.0))
+    moved = power.yeo_johnson_transform(df, ["g"], "value", "division", settings)
     assert rows(moved, "g", "lambda", "length") == [("c", 1.0, 3.0)] * 3 + [("s", 1.0, 1.0)]
     values = [r[0] for r in rows(moved, "value_t")]
     assert values == pytest.approx([5.0, 5.0, 5.0, 7.0])

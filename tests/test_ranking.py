@@ -59,3 +59,10 @@ def test_hot_slices_spread_a_single_value_over_tasks(spark, settings):
     plan = ranking.rank_in_groups(df, ["g"], "value", "division", sliced)
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "xxhash64(division" in text
+
+
+def test_ordinary_groups_need_one_shuffle_and_one_sort(spark, settings):
+    df = spark.createDataFrame(population("spread"), SCHEMA)
+    plan = ranking.rank_in_groups(df, ["g"], "value", "division", settings)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and text.count("Sort [") == 1
