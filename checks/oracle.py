@@ -626,7 +626,7 @@ VIEWS["served_rows"] = """
 select lower(sectorcode || '-' || kpi) as kpi_identifier, lower(sectorcode) as sectorcode, kpi,
        row_number() over (partition by sectorcode, kpi order by entryperiod) as position,
        count(*) over (partition by sectorcode, kpi) as points,
-       entryperiod, round(value, 2) as value, population, unit,
+       entryperiod, round(value, 2) as value, cast(population as double) as population, unit,
        round(deseasonalizedvalue, 2) as deseasonalizedvalue, round(trendvalue, 2) as trendvalue
 from served_points
 """
@@ -704,7 +704,8 @@ CHECKS["kpi_window"] = f"""
 select {_KPI} from kpis where entryperiod >= '1997-01' and entryperiod < '2000-05'
 """
 CHECKS["kpi_enriched"] = f"""
-select {_KPI}, sectorcode, group_id, size_of_merged_group from profiled_kpis
+select {_KPI}, sectorcode, cast(group_id as double) as group_id, size_of_merged_group
+from profiled_kpis
 """
 CHECKS["yeo_johnson_lambda"] = """
 select entryperiod, aggregate, sectorcode, round(lam, 3) as "lambda", length from exponents
@@ -715,7 +716,8 @@ select division, entryperiod, aggregate, round(value, 4) as value, round(value_t
 """
 CHECKS["mkt_outlier"] = """
 select division, entryperiod, aggregate, round(value, 4) as value, is_1point5_iqr_outlier,
-       is_3point0_iqr_outlier, round(percentile, 6) as percentile, group_id,
+       is_3point0_iqr_outlier, round(percentile, 6) as percentile,
+       cast(group_id as double) as group_id,
        size_of_merged_group, group_size as size_of_group_per_period, round(q1, 3) as q1,
        round(q3, 3) as q3, round(iqr, 3) as iqr
 from flagged_kpis
@@ -742,7 +744,10 @@ select division, entryperiod, round(revenue, 2) as revenue,
 """
 CHECKS["sector_total_growth"] = f"select {_POINT} from sector_growth"
 CHECKS["sector_points"] = f"select {_POINT} from points"
-CHECKS["kpi_densify"] = f"select {_POINT} from dense_points"
+CHECKS["kpi_densify"] = """
+select entryperiod, sectorcode, kpi, round(value, 4) as value,
+       cast(population as double) as population, unit from dense_points
+"""
 CHECKS["series_interpolate"] = """
 select sectorcode, kpi, entryperiod, round(value, 4) as value, round(filled, 6) as filled
 from filled
@@ -751,8 +756,8 @@ CHECKS["series_tail"] = """
 select sectorcode, kpi, entryperiod, round(filled, 6) as filled from history
 """
 CHECKS["seasonal_adjust"] = """
-select entryperiod, sectorcode, kpi, unit, population, round(value, 4) as value,
-       round(deseasonalizedvalue, 4) as deseasonalizedvalue from series
+select entryperiod, sectorcode, kpi, unit, cast(population as double) as population,
+       round(value, 4) as value, round(deseasonalizedvalue, 4) as deseasonalizedvalue from series
 """
 CHECKS["seasonal_trend"] = """
 select entryperiod, sectorcode, kpi, round(trendvalue, 4) as trendvalue from series
@@ -774,8 +779,9 @@ CHECKS["eol_negative_flag"] = "select division, entryperiod from negative_flag"
 CHECKS["eol_outlier"] = """
 select division, entryperiod, kpi, round(numerator, 2) as numerator,
        round(denominator, 2) as denominator, round(value, 4) as value, is_1point5_iqr_outlier,
-       is_3point0_iqr_outlier, round(percentile, 6) as percentile, group_id,
-       size_of_merged_group, group_size as size_of_group_per_period, round(q1, 4) as q1,
+       is_3point0_iqr_outlier, round(percentile, 6) as percentile,
+       cast(group_id as double) as group_id, size_of_merged_group,
+       cast(group_size as double) as size_of_group_per_period, round(q1, 4) as q1,
        round(q3, 4) as q3, round(iqr, 4) as iqr, negative_stock_cash
 from flagged_ratios
 """
@@ -788,7 +794,8 @@ CHECKS["eol_cube_mean"] = f"select {_CELL} from mean_cells"
 CHECKS["eol_latest_period"] = f"select {_CELL} from latest_cells"
 CHECKS["eol_publishable"] = f"select {_CELL} from median_cells where population > 3"
 CHECKS["serve_marketing_select"] = """
-select kpi, sectorcode, entryperiod, round(value, 4) as value, population, unit,
+select kpi, sectorcode, entryperiod, round(value, 4) as value,
+       cast(population as double) as population, unit,
        round(deseasonalizedvalue, 4) as deseasonalizedvalue, round(trendvalue, 4) as trendvalue
 from served_points
 """

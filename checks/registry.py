@@ -42,7 +42,11 @@ def query(key: str) -> Callable[[Query], Query]:
 
 
 def rounded(df: DataFrame, **places: int) -> DataFrame:
-    """Doubles rounded for comparison; the columns stay in place."""
+    """Doubles rounded for comparison; the columns stay in place.
+
+    Nullable whole numbers are given as doubles, so that tools which cannot hold a
+    missing integer read the same type from both engines.
+    """
     return df.select(
         *[
             F.round(F.col(c).cast("double"), places[c]).alias(c) if c in places else F.col(c)
@@ -204,7 +208,7 @@ def _profiled(c: Chain) -> DataFrame:
 
 @query("kpi_enriched")
 def kpi_enriched(c: Chain) -> DataFrame:
-    return rounded(_profiled(c), value=4)
+    return rounded(_profiled(c), value=4, group_id=0)
 
 
 _SECTOR_KEYS = ["entryperiod", "aggregate", "sectorcode"]
@@ -237,7 +241,13 @@ def yeo_johnson_transform(c: Chain) -> DataFrame:
 @query("mkt_outlier")
 def mkt_outlier(c: Chain) -> DataFrame:
     return rounded(
-        c.flagged_kpis.drop("kpi"), value=4, percentile=6, q1=3, q3=3, iqr=3
+        c.flagged_kpis.drop("kpi"),
+        value=4,
+        percentile=6,
+        group_id=0,
+        q1=3,
+        q3=3,
+        iqr=3,
     )
 
 
@@ -289,7 +299,7 @@ def sector_points(c: Chain) -> DataFrame:
 
 @query("kpi_densify")
 def kpi_densify(c: Chain) -> DataFrame:
-    return rounded(c.dense_points, value=4)
+    return rounded(c.dense_points, value=4, population=0)
 
 
 # ---------------------------------------------------------------------- seasonal
@@ -315,7 +325,9 @@ def series_tail(c: Chain) -> DataFrame:
 
 @query("seasonal_adjust")
 def seasonal_adjust(c: Chain) -> DataFrame:
-    return rounded(c.series.drop("trendvalue"), value=4, deseasonalizedvalue=4)
+    return rounded(
+        c.series.drop("trendvalue"), value=4, population=0, deseasonalizedvalue=4
+    )
 
 
 @query("seasonal_trend")
@@ -369,6 +381,8 @@ def eol_outlier(c: Chain) -> DataFrame:
         denominator=2,
         value=4,
         percentile=6,
+        group_id=0,
+        size_of_group_per_period=0,
         q1=4,
         q3=4,
         iqr=4,
@@ -405,6 +419,7 @@ def serve_marketing_select(c: Chain) -> DataFrame:
     return rounded(
         serving.published_points(c.series, c.settings),
         value=4,
+        population=0,
         deseasonalizedvalue=4,
         trendvalue=4,
     )
@@ -422,7 +437,7 @@ def _unfold(documents: DataFrame, column: str) -> DataFrame:
         (F.col("pos") + 1).cast("bigint").alias("position"),
         "p.entryperiod",
         F.col("p.value").cast("double").alias("value"),
-        F.col("p.population").cast("bigint").alias("population"),
+        F.col("p.population").cast("double").alias("population"),
         "p.unit",
         F.col("p.deseasonalizedvalue").cast("double").alias("deseasonalizedvalue"),
         F.col("p.trendvalue").cast("double").alias("trendvalue"),
