@@ -637,7 +637,7 @@ VIEWS["ratio_rows"] = """
 select lower(kpi || '-' || sectorcode || '-' || subsectorcode || '-' || sizedescription)
          as kpi_identifier, lower(kpi) as kpi, lower(sectorcode) as sector,
        lower(subsectorcode) as subsector, lower(sizedescription) as companysize,
-       round(value, 2) as value, population
+       round(value, 2) as value, cast(population as int) as population
 from latest_cells where population > 3
 """
 VIEWS["good_bookmarks"] = """
@@ -821,7 +821,7 @@ from served_points group by sectorcode, kpi
 """
 CHECKS["quality_gate"] = """
 select (select count(distinct kpi_identifier) from served_rows) as series,
-       28 as expected_series,
+       cast(28 as bigint) as expected_series,
        count(*) filter (where kpi = 'd2c_30d_mean' and not coalesce(
          value > 0 and value < 70 and population > 3, false)) as bad_days,
        count(*) filter (where kpi = 'total_growth_lastyear' and not coalesce(
