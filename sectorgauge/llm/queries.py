@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sectorgauge.llm import byte_cnn, chat, decontaminate, mixing, ppm, quality_rules, shingles, token_files, urls
+from sectorgauge.llm import byte_cnn, chat, decontaminate, mixing, ppm, quality_rules, shingles, suffixes, token_files, urls
 from sectorgauge.llm.common import checksum_fold, read_table
 from sectorgauge.llm.oracle import ORACLE_SQL
 from sectorgauge.sources.stages import stage, stage_root
@@ -44,6 +44,18 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.remove_repeats(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"])
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return decontaminate.find_leaks(docs, items)
@@ -129,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_chat_formatting,
         op2_token_files,
+        op3_suffix_dedup,
         op4_decontamination,
         op5_mixing,
         op6_url_filter,
