@@ -24,6 +24,8 @@ SHARE_PERCENT = 150
 MAX_EPOCHS = 2
 #: Ranges of a source's keys: as many as this many hex digits tell apart.
 RANGE_DIGITS = 4
+#: Sources whose cuts may be broadcast; more are joined by shuffle.
+BROADCAST_SOURCES = 100_000
 
 
 def document_size(text: str = "text") -> Column:
@@ -113,6 +115,15 @@ def source_cuts(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return goals.join(cuts, same, "left").drop("s", "rest")
 
 
+def stored_cuts(sizes: DataFrame) -> DataFrame:
+    """``source_cuts``, stored; broadcast behind a check of the number of sources.
+
+    So documents aren't shuffled by source, of which one may have a third of them.
+    """
+    cuts = stage(source_cuts(sizes, source_targets(sizes)), "cuts")
+    return F.broadcast(cuts) if cuts.count() <= BROADCAST_SOURCES else cuts
+
+
 def taken_words() -> Column:
     """Words that the mix takes from a row with ``size``, ``key`` and its source's cut."""
     part = (
@@ -134,7 +145,7 @@ def sized(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` of every row."""
     sizes = sized(docs)
-    cuts = source_cuts(sizes, source_targets(sizes)).withColumnRenamed("source", "s")
+    cuts = stored_cuts(sizes).withColumnRenamed("source", "s")
     joined = sizes.join(cuts, F.col("source").eqNullSafe(F.col("s")))
     return joined.select("doc_id", "size", "source_size", "target", taken_words().alias("taken"))
 
@@ -142,7 +153,7 @@ def mix(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents: each row as often as its taken words fill it, rounded."""
     sizes = sized(docs)
-    cuts = source_cuts(sizes, source_targets(sizes))
+    cuts = stored_cuts(sizes)
     row = F.struct(*(F.col(c) for c in docs.columns))
     rows = docs.select(
         row.alias("row"), F.col("source").alias("s"), random_key().alias("key"), document_size().alias("size")
