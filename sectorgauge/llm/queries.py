@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sectorgauge.llm import byte_cnn, chat, decontaminate, mixing, ppm, quality_rules, shingles, suffixes, token_files, urls
-from sectorgauge.llm.common import checksum_fold, read_table
+from sectorgauge.llm.common import checksum_fold, read_table, text_of
 from sectorgauge.llm.oracle import ORACLE_SQL
 from sectorgauge.sources.stages import stage, stage_root
 
@@ -98,32 +98,32 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- stages of the pipeline
 
 
-def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    row = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
-    rows = docs.select(row, F.col("text"))
-    model = quality_rules.fit_label_model(quality_rules.text_statistics(rows, "row"))
-    judged = quality_rules.text_statistics(rows, "row").where(quality_rules.kept(model))
-    return judged.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+def without(docs: DataFrame, key: Column, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose key is in the one column of ``dropped``."""
+    dropped = stage(dropped.toDF("dropped_key").distinct(), "dropped")
+    if dropped.count() <= shingles.BROADCAST_IDS:
+        dropped = F.broadcast(dropped)
+    return docs.join(dropped, key == dropped["dropped_key"], "left_anti")
 
 
-def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id is in ``ids.drop_id``; rows without an id stay."""
-    if (ids := stage(ids, "drop")).count() <= shingles.BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, F.col("doc_id") == F.col("drop_id"), "left_anti")
+def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep; equal texts are judged alike."""
+    key = F.xxhash64(text_of())
+    stats = stage(quality_rules.text_statistics(docs.select("text", key.alias("key")), "key"), "stats")
+    model = quality_rules.fit_label_model(stats)
+    return without(docs, key, stats.where(~quality_rules.kept(model)).select("key"))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies."""
     found = shingles.jaccard_components(docs)
-    return without_ids(docs, found.where("component_id <> doc_id").select(F.col("doc_id").alias("drop_id")).distinct())
+    return without(docs, F.col("doc_id"), found.where("component_id <> doc_id").select("doc_id"))
 
 
 def drop_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a test item."""
     leaks = decontaminate.find_leaks(docs, read_table(spark, sf_dir, "benchmark"))
-    return without_ids(docs, leaks.select(F.col("doc_id").alias("drop_id")).distinct())
+    return without(docs, F.col("doc_id"), leaks.select("doc_id"))
 
 
 def mix_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
