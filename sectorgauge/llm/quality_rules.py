@@ -1,7 +1,7 @@
 """Quality rules as weak supervision.
 
 Rules vote bad (-1), abstain (0) or vote good (1) on every document. A two-class model
-with one vote distribution per rule and class is fitted by expectation-maximisation to
+with the accuracy of each rule's votes in each class is fitted by expectation-maximisation to
 the counts of the vote patterns, and a document stays if its posterior probability of
 being good is at least one half. Everything per document is a built-in function; the
 model sees a table of at most ``3 ** len(RULES)`` pattern counts.
@@ -25,6 +25,8 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SMOOTHING = 1.0
+#: Rules are written so that at most this share of their votes on good documents is bad.
+MAX_FALSE_ALARMS = 0.005
 ROUNDS = 40
 
 
@@ -69,7 +71,11 @@ def _repeat_words(docs: DataFrame) -> DataFrame:
 
 
 def text_statistics(docs: DataFrame, *carry: str) -> DataFrame:
-    """Counts that the rules need, one struct ``stats`` per row; ``carry`` columns stay."""
+    """Counts that the rules need, one struct ``stats`` per row; ``carry`` columns stay.
+
+    Store the result before filtering by it: the optimiser moves a filter below these
+    expressions and repeats them for each count that the filter names.
+    """
     text = F.col("_text")
     docs = docs.select(*carry, text_of().alias("_text"))
     carried = F.struct(*carry, F.lit(1).alias("_")).alias("_row")
@@ -114,7 +120,7 @@ def rule_votes() -> dict[str, Column]:
         "symbols": _band("n_symbols", "n_words", 5, 25),
         "repeats": _band("n_repeat_words", "n_words", 10, 30),
         "lines": F.when(F.col("stats.n_lines") < 2, 0).otherwise(
-            _band("n_dup_lines", "n_lines", 5, 30)
+            _band("n_dup_lines", "n_lines", 5, 60)
         ),
         "capitals": _band("n_upper", "n_letters", 10, 40),
         "shouting": _band("n_shouts", "n_words", 10, 40),
@@ -154,15 +160,18 @@ def fit_patterns(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUN
     """Expectation-maximisation over (votes, count) patterns.
 
     Starts from rules that are right more often than wrong and nine good documents in
-    ten. Without patterns the start is the model.
+    ten. Without patterns the start is the model. That a rule abstains says nothing of
+    the class, else the classes would be those with and without many lines. False alarms
+    are bounded, else the bad class would be one kind of junk, on which many rules agree,
+    and the other kinds would count as good.
     """
     width = len(RULES)
-    good = [{-1: 0.05, 0: 0.25, 1: 0.70} for _ in range(width)]
-    bad = [{-1: 0.45, 0: 0.25, 1: 0.30} for _ in range(width)]
+    good = [{-1: MAX_FALSE_ALARMS, 0: 1.0, 1: 1 - MAX_FALSE_ALARMS} for _ in range(width)]
+    bad = [{-1: 0.3, 0: 1.0, 1: 0.7} for _ in range(width)]
     share = 0.9
     total = sum(n for _, n in patterns)
     for _ in range(rounds if total else 0):
-        seen = {y: [{-1: SMOOTHING, 0: SMOOTHING, 1: SMOOTHING} for _ in range(width)] for y in (0, 1)}
+        seen = {y: [{-1: SMOOTHING, 1: SMOOTHING} for _ in range(width)] for y in (0, 1)}
         mass = {0: SMOOTHING, 1: SMOOTHING}
         for votes, n in patterns:
             odds = log(share / (1 - share)) + sum(
@@ -172,10 +181,14 @@ def fit_patterns(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUN
             for y, part in ((1, n * p), (0, n * (1 - p))):
                 mass[y] += part
                 for r, v in enumerate(votes):
-                    seen[y][r][v] += part
+                    if v:
+                        seen[y][r][v] += part
         good, bad = (
-            [{v: c / sum(row.values()) for v, c in row.items()} for row in seen[y]] for y in (1, 0)
+            [{0: 1.0} | {v: c / sum(row.values()) for v, c in row.items()} for row in seen[y]] for y in (1, 0)
         )
+        for row in good:
+            row[-1] = min(row[-1], MAX_FALSE_ALARMS)
+            row[1] = 1 - row[-1]
         share = mass[1] / (mass[0] + mass[1])
     return LabelModel(
         prior=log(share / (1 - share)),
