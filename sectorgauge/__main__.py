@@ -10,6 +10,8 @@ import datetime as dt
 import logging
 import sys
 
+from pyspark.sql import DataFrame
+
 from sectorgauge.config import Settings
 from sectorgauge.plans import jobs
 from sectorgauge.session import get_session
@@ -46,9 +48,19 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--sectorcode", default="")
     p.add_argument("--kpi", default="")
     p.add_argument("--history", default="")
+    p.add_argument("--output", help="folder for the rows of lookup and scan; else they are printed")
     return p
 
 
+def give(found: DataFrame, output: str | None) -> None:
+    """All rows: written to ``output`` as JSON lines, or printed one by one."""
+    if output:
+        found.write.mode("overwrite").json(output)
+    else:
+        for row in found.toJSON().toLocalIterator():
+            print(row)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(message)s")
@@ -59,6 +71,8 @@ def main(argv: list[str] | None = None) -> int:
     types = dict(entry.split("=", 1) for entry in args.types)
     paths = jobs.Paths(args.source, args.target, args.postfix, types)
     spark = get_session(f"sectorgauge {args.job}")
+    if args.sample is not None and args.job != "measures":
+        raise SystemExit("--sample is an option of measures")
     if args.job == "measures":
         print(jobs.run_measures(spark, paths, settings, args.sample), "rows")
     elif args.job == "all":
@@ -69,9 +83,9 @@ def main(argv: list[str] | None = None) -> int:
         found = jobs.lookup_series(
             spark, paths, settings, args.sectorcode, args.kpi, args.history
         )
-        found.show(truncate=False)
+        give(found, args.output)
     elif args.job == "scan":
-        jobs.scan_ratios(spark, paths).show(truncate=False)
+        give(jobs.scan_ratios(spark, paths), args.output)
     else:
         if args.job == "publish-both":
             outcome = jobs.publish_both(spark, paths, settings)

@@ -85,8 +85,3 @@ def company_kpis(measures: DataFrame, settings: Settings) -> DataFrame:
         )
         .filter(F.col("value").isNotNull())
     )
-
-
-def single_kpi(kpis: DataFrame, name: str) -> DataFrame:
-    """One KPI out of the stacked table."""
-    return kpis.filter(F.col("aggregate") == name)
