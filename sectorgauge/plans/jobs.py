@@ -213,13 +213,13 @@ def _load_series(
         spark, paths.result("aggregated"), schemas.SERIES, snapshot
     )
     if series is None:
-        return Outcome(False, "file not found")
+        return Outcome(False, f"snapshot {snapshot} has no files")
     documents = serving.series_documents(
         serving.published_points(series, settings), F.lit(now)
     )
     report = serving.quality_report(documents, settings).first()
     if not report["passed"]:
-        return Outcome(False, f"the data of {snapshot} is not as expected: {report.asDict()}")
+        return Outcome(False, f"snapshot {snapshot} misses the quality limits: {report.asDict()}")
     root = paths.result("serve_series")
     _store_documents(documents, root, False, schemas.SERIES_DOCUMENTS)
     return Outcome(True, rows=report["series"])
@@ -231,7 +231,7 @@ def _load_ratios(
     """Serve the latest month of one snapshot of the cells."""
     cells = tables.read_snapshot(spark, paths.result("cells"), schemas.CELLS, snapshot)
     if cells is None:
-        return Outcome(False, "file not found")
+        return Outcome(False, f"snapshot {snapshot} has no files")
     published = serving.publishable_cells(serving.latest_period(cells), settings)
     documents = serving.ratio_documents(published, F.lit(now))
     root = paths.result("serve_ratios")
@@ -284,9 +284,9 @@ def roll_back(
     own = F.col("servicename") == service
     good = bookmarks.filter(own & (F.col("status") == snapshots.OK)).limit(2).count()
     if good == 0:
-        return Outcome(False, "No data found to be rolled back")
+        return Outcome(False, "nothing was published that could be taken back")
     if good == 1:
-        return Outcome(False, "Only one record found, rollback cannot be performed")
+        return Outcome(False, "there is no earlier publication to go back to")
     target = snapshots.rollback_target(bookmarks.filter(own)).first()["s3key"]
     outcome = _LOADERS[service](spark, paths, settings, target, now)
     if outcome.success:

@@ -110,7 +110,7 @@ def test_publish_lookup_and_roll_back(spark, done, small, rows):
     assert registry.count() == 2
 
     refused = jobs.roll_back(spark, done, small, jobs.RATIO_SERVICE, NOW)
-    assert not refused.success and "Only one record" in refused.message
+    assert not refused.success and "no earlier publication" in refused.message
 
     # a later month with other cells, served and then withdrawn
     later = dataclasses.replace(small, as_of=dt.date(2001, 12, 1), min_population=1)
@@ -133,13 +133,13 @@ def test_publish_lookup_and_roll_back(spark, done, small, rows):
 
 def test_publication_is_refused_without_good_data(spark, done, small):
     absent = dataclasses.replace(small, as_of=dt.date(1990, 1, 1))
-    assert jobs.publish(spark, done, absent, jobs.SERIES_SERVICE, NOW).message == "file not found"
+    assert jobs.publish(spark, done, absent, jobs.SERIES_SERVICE, NOW).message.endswith("has no files")
     strict = dataclasses.replace(small, sectors=("ALL", "Z"))
     outcome = jobs.publish_both(spark, done, strict, NOW)
-    assert not outcome.success and outcome.message.startswith("series: the data of 2001-11-01")
+    assert not outcome.success and outcome.message.startswith("series: snapshot 2001-11-01")
     nothing = jobs.Paths(done.source, done.target + "/empty")
     refused = jobs.roll_back(spark, nothing, small, jobs.SERIES_SERVICE, NOW)
-    assert refused.message == "No data found to be rolled back"
+    assert refused.message.startswith("nothing was published")
     with pytest.raises(FileNotFoundError):
         jobs.run_cells(spark, nothing, small)
 
