@@ -159,7 +159,7 @@ from kpis k join domestic d on d.division = k.division
 
 # ----------------------------------------------------------- power transform
 VIEWS["d2c_kpis"] = "select * from profiled_kpis where aggregate like 'D2C%'"
-VIEWS["grid"] = "select unnest(range(-40, 41)) as g"
+VIEWS["grid"] = "select unnest(range(-1280, 1281)) as g"
 
 
 def _transform(x: str, lam: str) -> str:
@@ -172,18 +172,30 @@ def _transform(x: str, lam: str) -> str:
     )
 
 
-VIEWS["scored"] = f"""
+# Days are never negative, so one power is enough. Every exponent is tried; powers are taken
+# of the ratio to the group's largest (negative exponents: smallest) value, as plain ones
+# overflow. The added constant of the transform moves no variance.
+VIEWS["day_ratios"] = """
+select *, ln(1 + value) as size, max(ln(1 + value)) over w as high, min(ln(1 + value)) over w as low
+from d2c_kpis window w as (partition by entryperiod, aggregate, sectorcode)
+"""
+VIEWS["scored"] = """
 select entryperiod, aggregate, sectorcode, g, count(*) as n,
-       var_pop({_transform('value', '(cast(g as double) / 20)')}) as variance,
-       sum(sign(value) * ln(1 + abs(value))) as jacobian
-from d2c_kpis, grid group by entryperiod, aggregate, sectorcode, g
+       case when max(high) = min(low) then 0
+            else var_pop(case when g = 0 then size
+                              when g > 0 then exp(g / 20.0 * (size - high)) / (g / 20.0)
+                              else exp(g / 20.0 * (size - low)) / (g / 20.0) end) end as variance,
+       2 * g / 20.0 * max(case when g > 0 then high else low end) as log_scale,
+       sum(size) as jacobian
+from day_ratios, grid where g / 20.0 * high <= 600
+group by entryperiod, aggregate, sectorcode, g
 """
 VIEWS["likelihood"] = """
 select *, lag(llf) over w as before_llf, lead(llf) over w as after_llf,
        row_number() over (partition by entryperiod, aggregate, sectorcode
                           order by llf desc nulls last, g) as best
 from (select *, case when variance > 0 then
-             -n / cast(2 as double) * ln(variance) + (cast(g as double) / 20 - 1) * jacobian
+             -n / cast(2 as double) * (ln(variance) + log_scale) + (cast(g as double) / 20 - 1) * jacobian
              end as llf from scored)
 window w as (partition by entryperiod, aggregate, sectorcode order by g)
 """
@@ -213,9 +225,10 @@ select s.*, case when s.aggregate like 'D2C%' then t.value_t else s.value end as
 from sized_kpis s left join transformed t
   on s.division = t.division and s.entryperiod = t.entryperiod and s.aggregate = t.aggregate
 """
+# The transform is increasing; by plain values, ranks stay apart where doubles run out of digits.
 VIEWS["ranked_kpis"] = """
 select *, percent_rank() over (partition by entryperiod, aggregate, peer
-                               order by sort_value) as percentile
+                               order by value) as percentile
 from sortable_kpis
 """
 VIEWS["fenced_kpis"] = """
@@ -711,15 +724,24 @@ CHECKS["yeo_johnson_lambda"] = """
 select entryperiod, aggregate, sectorcode, round(lam, 3) as "lambda", length from exponents
 """
 CHECKS["yeo_johnson_transform"] = """
-select division, entryperiod, aggregate, round(value, 4) as value, round(value_t, 3) as value_t,
-       length from transformed
+select division, entryperiod, aggregate, round(value, 4) as value,
+       sign(value_t) * round(ln(1 + abs(value_t)), 4) as value_t, length from transformed
 """
-CHECKS["mkt_outlier"] = """
+
+
+def _fence(column: str) -> str:
+    # Powers of days can be of any size, so they are compared by their logarithm.
+    return (
+        f"case when aggregate like 'D2C%' then sign({column}) * round(ln(1 + abs({column})), 4)"
+        f" else round({column}, 3) end as {column}"
+    )
+
+
+CHECKS["mkt_outlier"] = f"""
 select division, entryperiod, aggregate, round(value, 4) as value, is_1point5_iqr_outlier,
        is_3point0_iqr_outlier, round(percentile, 6) as percentile,
        cast(group_id as double) as group_id,
-       size_of_merged_group, group_size as size_of_group_per_period, round(q1, 3) as q1,
-       round(q3, 3) as q3, round(iqr, 3) as iqr
+       size_of_merged_group, group_size as size_of_group_per_period, {", ".join(map(_fence, ("q1", "q3", "iqr")))}
 from flagged_kpis
 """
 _POINT = "entryperiod, sectorcode, kpi, round(value, 4) as value, population, unit"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.chain import PUBLISHED_AT, Chain
@@ -218,37 +218,33 @@ def _d2c(c: Chain) -> DataFrame:
     return stage(_profiled(c).filter(F.col("aggregate").isin(*D2C_KPIS)), "days")
 
 
+def _magnitude(column: str) -> Column:
+    """Powers of days can be of any size, so they are compared by their logarithm."""
+    x = F.col(column)
+    return F.signum(x) * F.round(F.log(1 + F.abs(x)), 4)
+
+
 @query("yeo_johnson_lambda")
 def yeo_johnson_lambda(c: Chain) -> DataFrame:
-    found = power.yeo_johnson_lambda(
-        _d2c(c), _SECTOR_KEYS, "value", "division", c.settings
-    )
+    found = power.yeo_johnson_lambda(_d2c(c), _SECTOR_KEYS, "value", c.settings)
     return rounded(found, **{"lambda": 3})
 
 
 @query("yeo_johnson_transform")
 def yeo_johnson_transform(c: Chain) -> DataFrame:
-    moved = power.yeo_johnson_transform(
-        _d2c(c), _SECTOR_KEYS, "value", "division", c.settings
-    )
-    return rounded(
-        moved.select("division", "entryperiod", "aggregate", "value", "value_t", "length"),
-        value=4,
-        value_t=3,
-    )
+    moved = power.yeo_johnson_transform(_d2c(c), _SECTOR_KEYS, "value", c.settings)
+    given = moved.select("division", "entryperiod", "aggregate", "value", "value_t", "length")
+    return rounded(given, value=4).withColumn("value_t", _magnitude("value_t"))
 
 
 @query("mkt_outlier")
 def mkt_outlier(c: Chain) -> DataFrame:
-    return rounded(
-        c.flagged_kpis.drop("kpi"),
-        value=4,
-        percentile=6,
-        group_id=0,
-        q1=3,
-        q3=3,
-        iqr=3,
-    )
+    is_d2c = F.col("aggregate").startswith("D2C")
+    fences = {
+        x: F.when(is_d2c, _magnitude(x)).otherwise(F.round(x, 3)) for x in ("q1", "q3", "iqr")
+    }
+    flagged = c.flagged_kpis.drop("kpi").withColumns(fences)
+    return rounded(flagged, value=4, percentile=6, group_id=0)
 
 
 # ------------------------------------------------------------------- sector KPIs

@@ -45,8 +45,7 @@ class Settings:
     high_quantile: float = 0.75
     inner_fence: float = 1.5
     outer_fence: float = 3.0
-    lambda_min: float = -2.0
-    lambda_max: float = 2.0
+    lambda_limit: float = 64.0
     lambda_steps_per_unit: int = 20
 
     # peer groups above this many rows are ranked slice by slice

@@ -2,112 +2,155 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
 from sectorgauge.functions.columns import yeo_johnson
 
+#: Distances between the exponents of one search pass, in steps of the grid.
+PASSES = (80, 10, 1)
+#: Exponents whose transform would exceed e to this power are not taken.
+GROWTH_LIMIT = 600.0
+
 
-def _deal_groups(
-    df: DataFrame, keys: list[str], spread_by: str, settings: Settings
+def _score(
+    rows: DataFrame, extents: DataFrame, centres: DataFrame, keys: list[str],
+    reach: int, step: int, settings: Settings,
 ) -> DataFrame:
-    """Spread groups over all cores; hot groups over many partitions each.
+    """Log-likelihood of the grid exponents around each group's centre.
 
-    Scoring a row costs far more than moving it, so the number of partitions
-    follows the cores and not the bytes.
+    Powers are divided by the group's largest one, and the constant of the side
+    whose power is below zero moves to the other side, so neither large nor small
+    exponents lose their digits.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
-    hot = sizes.filter(F.col("group_rows") > settings.hot_group_rows)
-    if hot.isEmpty():
-        return df.repartition(cores, *keys)
-    # Bounded by (table rows / hot_group_rows), so it may be broadcast.
-    marked = df.join(F.broadcast(hot), keys, "left")
-    part = F.when(
-        F.col("group_rows").isNotNull(),
-        F.pmod(F.xxhash64(spread_by), F.lit(settings.rank_slices)),
-    ).otherwise(F.lit(0))
-    return marked.withColumn("part", part).repartition(cores, *keys, "part")
+    per_unit = settings.lambda_steps_per_unit
+    last = round(settings.lambda_limit * per_unit)
+    nearby = F.sequence(F.col("centre") - reach, F.col("centre") + reach, F.lit(step))
+    within = F.filter(nearby, lambda g: F.abs(g) <= last)
+    lam = F.col("grid").cast("double") / F.lit(float(per_unit))
+    up, down, size = F.col("up"), F.col("down"), F.col("size")
+    largest = F.greatest(
+        up * F.when(up > 0, F.col("up_high")).otherwise(F.col("up_low")),
+        down * F.when(down > 0, F.col("down_high")).otherwise(F.col("down_low")),
+        F.when(F.col("up_high").isNotNull() & F.col("down_high").isNotNull(), F.lit(0.0)),
+    )
+    one = F.exp(-F.col("scale"))
+    between = 2 * one / (up * down)
+    rising = F.exp(up * size - F.col("scale")) / up
+    falling = -F.exp(down * size - F.col("scale")) / down
+    moved = (
+        F.when(up == 0, F.when(F.col("rises"), size * one).otherwise(falling + one / down))
+        .when(down == 0, F.when(F.col("rises"), rising - one / up).otherwise(-size * one))
+        .when(F.col("rises"), rising - F.when(lam > 1, between).otherwise(0.0))
+        .otherwise(falling + F.when(lam > 1, F.lit(0.0)).otherwise(between))
+    )
+    # No hint: one row per group, small or not.
+    return (
+        rows.join(extents.join(centres, keys), keys)
+        .withColumn("grid", F.explode(within))
+        .withColumns({"up": lam, "down": 2 - lam})
+        .withColumn("scale", largest)
+        .filter(F.col("scale") <= GROWTH_LIMIT)
+        .groupBy(*keys, "grid")
+        .agg(
+            F.var_pop(moved).alias("variance"),
+            F.max("scale").alias("scale"),
+            F.max("n").alias("n"),
+            F.max("log_jacobian").alias("log_jacobian"),
+        )
+        .filter(F.col("variance") > 0)
+        .select(
+            *keys,
+            "grid",
+            (
+                -F.col("n") / 2 * (F.log("variance") + 2 * F.col("scale"))
+                + (lam - 1) * F.col("log_jacobian")
+            ).alias("llf"),
+        )
+    )
 
 
 def yeo_johnson_lambda(
-    df: DataFrame, keys: list[str], value: str, spread_by: str, settings: Settings
+    df: DataFrame, keys: list[str], value: str, settings: Settings
 ) -> DataFrame:
     """Maximum-likelihood exponent per group, as (keys, lambda, length).
 
-    The profile log-likelihood is a plain aggregate, so all exponents of a grid
-    are scored in one pass. Ordinary groups are scored where one shuffle puts
-    them; a hot group leaves each task as one row per grid point. A parabola
-    through the best point and its neighbours gives the exponent between grid
-    points. Constant groups get 1. ``keys`` must not be NULL, and ``df`` should be
-    a stored table, since its group sizes are looked at first.
+    The profile log-likelihood is a plain aggregate and has one top, so the best
+    exponent of a grid is found in three passes of shrinking distance over the
+    whole range of ``Settings.lambda_limit``. Each pass combines its rows before
+    the shuffle: a group of any size leaves a task as one row per exponent. A
+    parabola through the best point and its neighbours gives the exponent between
+    grid points. Groups with one distinct value get 1; groups whose likelihood
+    still rises at the end of the range, or where the transform would exceed
+    ``GROWTH_LIMIT``, get the last exponent before it. ``keys`` must not be NULL.
     """
     per_unit = settings.lambda_steps_per_unit
-    first = round(settings.lambda_min * per_unit)
-    last = round(settings.lambda_max * per_unit)
-    x = F.col(value)
-    lam = F.col("grid").cast("double") / F.lit(float(per_unit))
-    # On the grid a power is zero or far from it, so exp - 1 is exact enough.
-    power = F.when(F.col("side") >= 0, lam).otherwise(2 - lam)
-    grown = F.when(power == 0, F.col("size")).otherwise(
-        (F.exp(power * F.col("size")) - 1) / power
-    )
+    x, size, rises = F.col(value), F.col("size"), F.col("rises")
     rows = df.filter(x.isNotNull()).select(
-        *keys, spread_by, F.signum(x).alias("side"), F.log1p(F.abs(x)).alias("size")
+        *keys, (x >= 0).alias("rises"), F.log1p(F.abs(x)).alias("size")
     )
-    scored = (
-        _deal_groups(rows, keys, spread_by, settings)
-        .withColumn("grid", F.explode(F.sequence(F.lit(first), F.lit(last))))
-        .groupBy(*keys, "grid")
-        .agg(
-            F.count("size").alias("n"),
-            F.var_pop(F.col("side") * grown).alias("variance"),
-            F.sum(F.col("side") * F.col("size")).alias("log_jacobian"),
-        )
-        .withColumn(
-            "llf",
-            F.when(
-                F.col("variance") > 0,
-                -F.col("n") / 2 * F.log("variance") + (lam - 1) * F.col("log_jacobian"),
-            ),
+    signed = F.when(rises, size).otherwise(-size)
+    extents = rows.groupBy(*keys).agg(
+        F.count(size).alias("n"),
+        F.min(signed).alias("lowest"),
+        F.max(signed).alias("highest"),
+        F.sum(signed).alias("log_jacobian"),
+        *(
+            side(F.when(which, size)).alias(name)
+            for name, which, side in (
+                ("up_low", rises, F.min),
+                ("up_high", rises, F.max),
+                ("down_low", ~rises, F.min),
+                ("down_high", ~rises, F.max),
+            )
+        ),
+    )
+    varied = extents.filter(F.col("lowest") < F.col("highest"))
+    order = F.struct("llf", -F.col("grid"))
+
+    def closer(centres: DataFrame, pass_: tuple[int, int]) -> DataFrame:
+        scored = _score(rows, varied, centres, keys, *pass_, settings)
+        return scored.groupBy(*keys).agg(F.max_by("grid", order).alias("centre"))
+
+    whole = round(settings.lambda_limit * per_unit)
+    reaches = (whole, *PASSES)
+    start = varied.select(*keys, F.lit(0).alias("centre"))
+    centres = reduce(closer, zip(reaches[:-2], PASSES[:-1]), start)
+    scored = _score(rows, varied, centres, keys, reaches[-2] + 1, PASSES[-1], settings)
+    by_grid = Window.partitionBy(*keys).orderBy("grid")
+    best = (
+        scored.withColumns(
+            {"before": F.lag("llf").over(by_grid), "after": F.lead("llf").over(by_grid)}
         )
+        .groupBy(*keys)
+        .agg(F.max_by(F.struct("grid", "before", "llf", "after"), order).alias("best"))
     )
-    grid_order = Window.partitionBy(*keys).orderBy("grid")
-    neighbours = scored.select(
+    return extents.join(best, keys, "left").select(
         *keys,
-        "grid",
-        "n",
-        "llf",
-        F.lag("llf").over(grid_order).alias("before"),
-        F.lead("llf").over(grid_order).alias("after"),
-    )
-    best = neighbours.groupBy(*keys).agg(
-        F.max("n").alias("length"),
-        F.max_by(
-            F.struct("grid", "before", "llf", "after"),
-            F.when(F.col("llf").isNotNull(), F.struct("llf", -F.col("grid"))),
-        ).alias("best"),
+        F.coalesce(_peak(per_unit), F.lit(1.0)).alias("lambda"),
+        F.col("n").cast("double").alias("length"),
     )
+
+
+def _peak(per_unit: int) -> Column:
+    """Top of the parabola through the best grid point and its neighbours."""
     bend = F.col("best.before") - 2 * F.col("best.llf") + F.col("best.after")
     step = F.when(bend < 0, (F.col("best.before") - F.col("best.after")) / (2 * bend))
-    exponent = (F.col("best.grid") + F.coalesce(step, F.lit(0.0))) / float(per_unit)
-    return best.select(
-        *keys,
-        F.coalesce(exponent, F.lit(1.0)).alias("lambda"),
-        F.col("length").cast("double").alias("length"),
-    )
+    return (F.col("best.grid") + F.coalesce(step, F.lit(0.0))) / float(per_unit)
 
 
 def yeo_johnson_transform(
-    df: DataFrame, keys: list[str], value: str, spread_by: str, settings: Settings
+    df: DataFrame, keys: list[str], value: str, settings: Settings
 ) -> DataFrame:
     """Add ``value_t``, ``lambda`` and ``length`` to every row; keys must not be NULL.
 
     The exponents are one row per group. Their join carries no hint: the planner
     broadcasts them if they are small and splits a hot group if they are not.
     """
-    exponents = yeo_johnson_lambda(df, keys, value, spread_by, settings)
+    exponents = yeo_johnson_lambda(df, keys, value, settings)
     return df.join(exponents, keys).withColumn(
         "value_t", yeo_johnson(F.col(value), F.col("lambda"))
     )
