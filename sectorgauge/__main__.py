@@ -26,6 +26,31 @@ STAGES = {
 }
 
 
+KEEP = object()
+
+
+def day(text: str) -> str:
+    return dt.date.fromisoformat(text).isoformat()
+
+
+def month(text: str) -> str:
+    return dt.date.fromisoformat(f"{text}-01").strftime("%Y-%m")
+
+
+def year_or_none(text: str) -> int | None:
+    return None if text == "none" else int(text)
+
+
+#: Limits of ``Settings`` outside which rows are left out.
+LIMITS = {
+    "entry_from": (day, "first entry date"),
+    "entry_before": (day, "entries from this date on are left out"),
+    "kpi_start": (month, "first month of the company KPIs"),
+    "element_start": (month, "first month of the elements"),
+    "fin_year_max": (year_or_none, "last fiscal year, or none"),
+}
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sectorgauge", description=__doc__)
     p.add_argument(
@@ -44,6 +69,8 @@ def parser() -> argparse.ArgumentParser:
         help="columns of an input table, where its files hold other types",
     )
     p.add_argument("--months-to-end", type=int, default=3)
+    for option, (kind, what) in LIMITS.items():
+        p.add_argument(f"--{option.replace('_', '-')}", type=kind, help=what, default=KEEP)
     p.add_argument("--service", choices=[jobs.SERIES_SERVICE, jobs.RATIO_SERVICE])
     p.add_argument("--sectorcode", default="")
     p.add_argument("--kpi", default="")
@@ -52,6 +79,15 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def settings_of(args: argparse.Namespace) -> Settings:
+    given = {name: getattr(args, name) for name in LIMITS}
+    return Settings(
+        as_of=args.as_of or dt.date.today(),
+        publish_lag_months=args.months_to_end,
+        **{name: value for name, value in given.items() if value is not KEEP},
+    )
+
+
 def give(found: DataFrame, output: str | None) -> None:
     """All rows: written to ``output`` as JSON lines, or printed one by one."""
     if output:
@@ -65,9 +101,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
-    settings = Settings(
-        as_of=args.as_of or dt.date.today(), publish_lag_months=args.months_to_end
-    )
+    settings = settings_of(args)
     types = dict(entry.split("=", 1) for entry in args.types)
     paths = jobs.Paths(args.source, args.target, args.postfix, types)
     spark = get_session(f"sectorgauge {args.job}")
