@@ -23,7 +23,8 @@ ACCOUNT_CODES = (
 DIVISION_LOOKUP = """
 select cast(s_suppkey as string) as division,
        case when s_suppkey % 20 = 0 then 'BE' else 'NL' end as country,
-       substr('CFGIMN', cast(1 + s_nationkey % 6 as int), 1) as sectorcode,
+       case when s_suppkey % 19 = 8 then null
+            else substr('CFGIMN', cast(1 + s_nationkey % 6 as int), 1) end as sectorcode,
        cast(67 + s_suppkey % 5 as string) as subsectorcode,
        case when s_acctbal < 0 then null when s_acctbal < 3500 then 'Small'
             when s_acctbal < 7000 then 'Medium' else 'Large' end as sizedescription,
@@ -31,7 +32,7 @@ select cast(s_suppkey as string) as division,
             else 'True' end as allow_data_sharing,
        case when s_suppkey % 17 = 0 then null else cast(s_nationkey % 6 as int) end as group_id,
        cast(100 + s_nationkey % 6 as bigint) as size_of_merged_group,
-       '1' as eurocurrency
+       case when s_suppkey % 23 = 7 then '0' else '1' end as eurocurrency
 from {supplier}
 """
 

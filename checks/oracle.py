@@ -158,7 +158,11 @@ from kpis k join domestic d on d.division = k.division
 """
 
 # ----------------------------------------------------------- power transform
-VIEWS["d2c_kpis"] = "select * from profiled_kpis where aggregate like 'D2C%'"
+# Companies without a sector are one group.
+VIEWS["d2c_kpis"] = """
+select * replace (coalesce(sectorcode, '-') as sectorcode)
+from profiled_kpis where aggregate like 'D2C%'
+"""
 VIEWS["grid"] = "select unnest(range(-1280, 1281)) as g"
 
 
@@ -670,6 +674,13 @@ CHECKS["latest_snapshot"] = """
 select cast(o_orderdate as date)::varchar as syscreated, o_orderkey, o_totalprice from orders
 where cast(o_orderdate as date) = (select max(cast(o_orderdate as date)) from orders)
 """
+CHECKS["table_round_trip"] = """
+select id, division, rgscode, cast(null as varchar) as added from gl_account
+"""
+CHECKS["snapshot_round_trip"] = """
+select uniqueinvoicenumber, 2 * atbip as atbip, paymentmethod from invoice_dso
+where paymentmethod = 'B'
+"""
 CHECKS["account_code_choice"] = "select id, division, rgscode from account_code"
 CHECKS["ledger_dedup"] = """
 select id, type, entrydate, glaccount, cast(amountdc as double) as amountdc from current_tx
@@ -713,6 +724,7 @@ for _key, _names in {
 }.items():
     CHECKS[_key] = f"select {_KPI} from kpis where aggregate in {_names}"
 CHECKS["kpi_union"] = f"select {_KPI} from kpis"
+CHECKS["kpi_repeated_measures"] = CHECKS["kpi_union"]
 CHECKS["kpi_window"] = f"""
 select {_KPI} from kpis where entryperiod >= '1997-01' and entryperiod < '2000-05'
 """
@@ -747,6 +759,7 @@ from flagged_kpis
 _POINT = "entryperiod, sectorcode, kpi, round(value, 4) as value, population, unit"
 CHECKS["sector_override"] = "select division, sectorcode from sectors"
 CHECKS["sector_kpi_mean"] = f"select {_POINT} from sector_means where kpi = 'd2c_30d_mean'"
+CHECKS["sector_kpi_finite"] = CHECKS["sector_kpi_mean"]
 CHECKS["sector_kpi_median"] = """
 select entryperiod, 'ALL' as sectorcode, aggregate as kpi,
        round(quantile_disc(value, 0.5), 4) as value, count(*) as population, 'days' as unit
@@ -784,6 +797,11 @@ select entryperiod, sectorcode, kpi, unit, cast(population as double) as populat
 CHECKS["seasonal_trend"] = """
 select entryperiod, sectorcode, kpi, round(trendvalue, 4) as trendvalue from series
 """
+CHECKS["legacy_period"] = """
+select case when entryperiod < '1997-01' then '2016-12' else entryperiod end as entryperiod,
+       count(*) as measures
+from measures where not (aggregate like 'W%' and type like '%310%') group by 1
+"""
 CHECKS["fiscal_year_bounds"] = """
 select division, finyear, cast(startdate as varchar) as startdate,
        cast(enddate as varchar) as enddate from fiscal_years where finyear <= 1999

@@ -27,7 +27,8 @@ from sectorgauge.operators import (
     snapshots,
 )
 from sectorgauge.operators.company_kpis import D2C_KPIS
-from sectorgauge.sources.stages import stage
+from sectorgauge.sources import tables
+from sectorgauge.sources.stages import new_folder, stage
 
 Query = Callable[[Chain], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,14 +73,42 @@ def scan_partition_filter(c: Chain) -> DataFrame:
     )
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+
+
 @query("latest_snapshot")
 def latest_snapshot(c: Chain) -> DataFrame:
-    dated = c.table("orders").select(
-        F.col("o_orderdate").cast("date").cast("string").alias("syscreated"),
-        "o_orderkey",
-        "o_totalprice",
-    )
-    return snapshots.latest_snapshot(dated)
+    """Oldest and newest day written as snapshots, newest first; the newest is read."""
+    day = F.col("o_orderdate").cast("date").cast("string")
+    orders = c.table("orders").select(day.alias("day"), "o_orderkey", "o_totalprice")
+    root = new_folder(c.spark, "snapshots")
+    for date in orders.agg(F.max("day"), F.min("day")).first():
+        tables.write_snapshot(orders.filter(F.col("day") == date).drop("day"), root, date)
+    newest = tables.read_snapshot(c.spark, root, _ddl(orders.drop("day")))
+    return newest.withColumn(tables.SNAPSHOT, F.lit(tables.latest_date(c.spark, root)))
+
+
+@query("table_round_trip")
+def table_round_trip(c: Chain) -> DataFrame:
+    """Overwritten, with other case and order in the files, and a column they lack."""
+    path = new_folder(c.spark, "round-trip")
+    accounts = c.gl_account
+    tables.write_table(accounts, path)
+    tables.write_table(accounts.select(F.col("rgscode").alias("RGSCode"), "division", "id"), path, "division")
+    return tables.read_table(c.spark, path, "id bigint, division string, rgscode string, added string")
+
+
+@query("snapshot_round_trip")
+def snapshot_round_trip(c: Chain) -> DataFrame:
+    """A dated snapshot in folders by value; a filter on them prunes folders."""
+    root = new_folder(c.spark, "round-trip")
+    days = c.invoice_dso.select("uniqueinvoicenumber", "atbip", "paymentmethod")
+    for times in (1, 2):
+        days = days.withColumn("atbip", F.col("atbip") * times)
+        tables.write_snapshot(days, root, "2001-11-01", "paymentmethod")
+    stored = tables.read_snapshot(c.spark, root, _ddl(days))
+    return stored.filter(F.col("paymentmethod") == "B")
 
 
 @query("eligible_divisions")
@@ -134,7 +163,7 @@ def ledger_join(c: Chain) -> DataFrame:
         ledger.with_ledger_code(ledger.account_months(current), codes)
         .groupBy("division", "entryperiod", "rgscode", "hastype310")
         .agg(
-            amount(F.sum("cents")).alias("amount"),
+            amount(F.sum("units")).alias("amount"),
             F.sum("transactions").alias("transactions"),
         )
     )
@@ -165,7 +194,7 @@ def bad_division_filter(c: Chain) -> DataFrame:
 # ---------------------------------------------------------------------- invoices
 @query("dso_match_class")
 def dso_match_class(c: Chain) -> DataFrame:
-    return payments.match_classes(c.invoice_dso)
+    return payments.match_classes(c.invoice_dso, c.settings)
 
 
 @query("dso_by_term")
@@ -196,6 +225,13 @@ QUERIES["kpi_d2c"] = _kpi(*D2C_KPIS)
 QUERIES["kpi_union"] = _kpi(*company_kpis.KPI_COLUMNS)
 
 
+@query("kpi_repeated_measures")
+def kpi_repeated_measures(c: Chain) -> DataFrame:
+    """Every measure twice: the KPIs must not move."""
+    doubled = c.measures.union(c.measures)
+    return rounded(company_kpis.company_kpis(doubled, c.settings), value=4)
+
+
 @query("kpi_window")
 def kpi_window(c: Chain) -> DataFrame:
     narrow = check_settings(kpi_start="1997-01", as_of=dt.date(2000, 5, 20))
@@ -215,7 +251,9 @@ _SECTOR_KEYS = ["entryperiod", "aggregate", "sectorcode"]
 
 
 def _d2c(c: Chain) -> DataFrame:
-    return stage(_profiled(c).filter(F.col("aggregate").isin(*D2C_KPIS)), "days")
+    """Keys of groups are never NULL: companies without a sector are one group."""
+    days = _profiled(c).filter(F.col("aggregate").isin(*D2C_KPIS))
+    return stage(days.fillna("-", ["sectorcode"]), "days")
 
 
 def _magnitude(column: str) -> Column:
@@ -259,6 +297,17 @@ def sector_kpi_mean(c: Chain) -> DataFrame:
     return _averages(c, "d2c_30d_mean")
 
 
+@query("sector_kpi_finite")
+def sector_kpi_finite(c: Chain) -> DataFrame:
+    """Every row once more, without a number: the means must not move."""
+    flagged = c.flagged_kpis
+    odd = F.array(*[F.lit(float(x)) for x in ("nan", "inf", "-inf")], F.lit(None).cast("double"))
+    without = flagged.withColumn("value", F.get(odd, (F.abs(F.hash("division")) % 4).cast("int")))
+    rows = sector_kpis.average_kpis(flagged.union(without), c.settings)
+    points = rows.filter(F.col("kpi") == "d2c_30d_mean")
+    return rounded(sector_kpis.sector_average(points, c.sectors), value=4)
+
+
 @query("sector_positive_cash")
 def sector_positive_cash(c: Chain) -> DataFrame:
     return _averages(c, "positive_cash_flow%")
@@ -333,6 +382,13 @@ def seasonal_trend(c: Chain) -> DataFrame:
 
 
 # -------------------------------------------------------------------- statements
+@query("legacy_period")
+def legacy_period(c: Chain) -> DataFrame:
+    early = F.when(F.col("entryperiod") < "1997-01", "2005-2016").otherwise(F.col("entryperiod"))
+    repaired = elements.element_measures(c.measures.withColumn("entryperiod", early))
+    return repaired.groupBy("entryperiod").agg(F.count(F.lit(1)).alias("measures"))
+
+
 @query("fiscal_year_bounds")
 def fiscal_year_bounds(c: Chain) -> DataFrame:
     capped = check_settings(fin_year_max=1999)

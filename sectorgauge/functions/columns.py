@@ -34,17 +34,27 @@ def sum_if(condition: Column, value: Column) -> Column:
     return F.sum(F.when(condition, value))
 
 
-def cents(value: Column) -> Column:
-    """Whole cents of an amount: exact sums in any row order, at the cost of a long.
+#: Decimals of an amount that count.
+DECIMALS = 4
+_UNIT = 10**DECIMALS
+
+
+def units(value: Column) -> Column:
+    """Whole ten-thousandths of an amount: exact sums in any row order, in a long.
 
     A sum beyond the range of a long fails (ANSI mode); it never wraps silently.
     """
-    return F.rint(value * 100.0).cast("bigint")
+    return F.rint(value * float(_UNIT)).cast("bigint")
+
+
+def exact_units(value: Column) -> Column:
+    """The same of a stored decimal, without a way through floating point."""
+    return (value.cast(f"decimal(18,{DECIMALS})") * _UNIT).cast("bigint")
 
 
-def amount(total_cents: Column) -> Column:
-    """Cents back to an amount."""
-    return total_cents / F.lit(100.0)
+def amount(total_units: Column) -> Column:
+    """Units back to an amount."""
+    return total_units / F.lit(float(_UNIT))
 
 
 def yes_no(condition: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
-from sectorgauge.functions.columns import amount, cents, sum_if
+from sectorgauge.functions.columns import amount, units, sum_if
 
 # Ledger codes behind each KPI.
 REVENUE_CODES = ("WOmz", "WOvb")
@@ -30,23 +30,23 @@ KPI_COLUMNS = {
 def kpis_wide(measures: DataFrame) -> DataFrame:
     """One row per division and month with all KPIs side by side.
 
-    One pass over the measures instead of one per KPI. After the de-duplication a
-    division has at most a dozen rows per month, so a single shuffle on the
-    division serves both the grouping and the running cash position.
+    One pass over the measures instead of one per KPI. A division has a few
+    dozen rows per month, so a single shuffle on the division serves the
+    de-duplication, the grouping and the running cash position.
     """
     used = (*REVENUE_CODES, *COST_CODES, *CASH_CODES, *D2C_KPIS)
-    code, value, in_cents = F.col("aggregate"), F.col("value"), F.col("cents")
+    code, value, in_units = F.col("aggregate"), F.col("value"), F.col("units")
     rows = (
         measures.filter(~F.col("type").like("%310"))
         .filter(code.isin(*used))
-        .distinct()
         .repartition("division")
-        .withColumn("cents", F.when(~code.isin(*D2C_KPIS), cents(value)))
+        .distinct()
+        .withColumn("units", F.when(~code.isin(*D2C_KPIS), units(value)))
     )
     sums = rows.groupBy("division", "entryperiod").agg(
-        amount(-sum_if(code.isin(*REVENUE_CODES), in_cents)).alias("revenue"),
-        amount(sum_if(code.isin(*COST_CODES), in_cents)).alias("cost"),
-        sum_if(code.isin(*CASH_CODES), in_cents).alias("cash"),
+        amount(-sum_if(code.isin(*REVENUE_CODES), in_units)).alias("revenue"),
+        amount(sum_if(code.isin(*COST_CODES), in_units)).alias("cost"),
+        sum_if(code.isin(*CASH_CODES), in_units).alias("cash"),
         F.count_if(code.isin(*CASH_CODES)).alias("cash_rows"),
         *[F.max(F.when(code == k, value)).alias(k.lower()) for k in D2C_KPIS],
     )

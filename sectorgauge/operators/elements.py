@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
-from sectorgauge.functions.columns import amount, cents, month_start
+from sectorgauge.functions.columns import amount, units, month_start
 
 # The ledger codes of every statement element.
 PROFIT_AND_LOSS = {
@@ -93,7 +93,7 @@ def element_measures(measures: DataFrame) -> DataFrame:
 
 def _monthly_sums() -> list[Column]:
     """Per element its movement; per balance element also the reversed closing part."""
-    code, value = F.col("aggregate"), F.col("cents")
+    code, value = F.col("aggregate"), F.col("units")
     sums = []
     for element, codes in (PROFIT_AND_LOSS | BALANCE_SHEET).items():
         sums.append(F.sum(F.when(code.isin(*codes), value)).alias(element))
@@ -120,7 +120,7 @@ def statement_elements(
     """
     monthly = (
         element_measures(measures)
-        .withColumn("cents", cents(F.col("value")))
+        .withColumn("units", units(F.col("value")))
         .groupBy("division", "entryperiod")
         .agg(*_monthly_sums())
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
-from sectorgauge.functions.columns import amount, cents, month_of, yes_no
+from sectorgauge.functions.columns import amount, exact_units, month_of, units, yes_no
 
 CODE_LENGTH = 10
 
@@ -72,9 +72,8 @@ def account_months(transactions: DataFrame) -> DataFrame:
     Runs before the account join: what is joined is account-months, so an account
     with a third of all transactions arrives as a few hundred rows.
     """
-    exact_cents = (F.col("amountdc").cast("decimal(18,2)") * 100).cast("bigint")
     return transactions.groupBy("glaccount", "entryperiod", "hastype310").agg(
-        F.sum(exact_cents).alias("cents"),
+        F.sum(exact_units(F.col("amountdc"))).alias("units"),
         F.count("amountdc").alias("transactions"),
     )
 
@@ -84,7 +83,7 @@ def with_ledger_code(months: DataFrame, codes: DataFrame) -> DataFrame:
     return months.join(
         codes.withColumnRenamed("id", "glaccount"), "glaccount", "inner"
     ).select(
-        "division", "entryperiod", "rgscode", "hastype310", "cents", "transactions"
+        "division", "entryperiod", "rgscode", "hastype310", "units", "transactions"
     )
 
 
@@ -112,12 +111,12 @@ def roll_up(coded: DataFrame, settings: Settings) -> DataFrame:
         coded.withColumn("prefix_length", F.explode(fitting))
         .withColumn("aggregate", F.expr("substring(rgscode, 1, prefix_length)"))
         .groupBy("division", "entryperiod", "aggregate", "hastype310")
-        .agg(F.sum("cents").alias("cents"), F.sum("transactions").alias("transactions"))
+        .agg(F.sum("units").alias("units"), F.sum("transactions").alias("transactions"))
         .select(
             "division",
             "entryperiod",
             "aggregate",
-            amount(F.col("cents")).alias("value"),
+            amount(F.col("units")).alias("value"),
             "transactions",
             level_label(F.col("aggregate"), F.col("hastype310")).alias("type"),
         )
@@ -137,7 +136,7 @@ def bad_divisions(measures: DataFrame, settings: Settings) -> DataFrame:
     return (
         measures.filter(F.col("aggregate").isin(*settings.bad_codes))
         .groupBy("division", "aggregate")
-        .agg(amount(F.sum(cents(F.col("value")))).alias("total"))
+        .agg(amount(F.sum(units(F.col("value")))).alias("total"))
         .filter(F.col("total") < settings.negative_limit)
         .select("division")
         .distinct()

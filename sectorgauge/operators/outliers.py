@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
-from sectorgauge.functions.columns import group_label, yeo_johnson, yes_no
-from sectorgauge.operators.power import yeo_johnson_lambda
+from sectorgauge.functions.columns import group_label, yes_no
+from sectorgauge.operators.power import with_transformed, yeo_johnson_lambda
 from sectorgauge.operators.ranking import rank_in_groups
 
 MONTHLY_COLUMNS = [
@@ -77,21 +77,20 @@ def flag_monthly_outliers(kpis: DataFrame, settings: Settings) -> DataFrame:
     keys = ["entryperiod", "aggregate", "peer"]
 
     days = placed.filter(is_d2c)
-    exponents = yeo_johnson_lambda(days, keys, "value", settings).drop("length")
+    exponents = yeo_johnson_lambda(days, keys, "value", settings)
     sizes = days.groupBy("entryperiod", "aggregate", by_group.alias("group_label")).agg(
         F.count("division").alias("companies")
     )
     # Both right sides hold one row per group; the planner picks the join.
+    plain = rank_in_groups(placed, keys, "value", "division", settings)
     ranked = (
-        rank_in_groups(placed, keys, "value", "division", settings)
-        .join(exponents, keys, "left")
+        with_transformed(plain, exponents, keys, "value", "q1", "q3")
         .withColumn("group_label", by_group)
         .join(sizes, ["entryperiod", "aggregate", "group_label"], "left")
     )
 
     def judged(column: str) -> Column:
-        x = F.col(column)
-        return F.when(is_d2c, yeo_johnson(x, F.col("lambda"))).otherwise(x)
+        return F.when(is_d2c, F.col(f"{column}_t")).otherwise(F.col(column))
 
     fenced = ranked.select(
         *[c for c in ranked.columns if c not in ("q1", "q3")],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
@@ -25,64 +25,69 @@ def prepare_invoices(invoices: DataFrame) -> DataFrame:
     )
 
 
-def match_classes(invoices: DataFrame) -> DataFrame:
-    """Distinct invoices and payments per match, and whether the match is usable.
+def match_months(invoices: DataFrame, settings: Settings) -> DataFrame:
+    """Rows per match and month with the class of the match and sums by term band.
 
     Usable: exactly one payment, for one invoice (``single``) or several (``multi``).
-    """
-    return (
-        prepare_invoices(invoices)
-        .groupBy("division", "matchid")
-        .agg(
-            F.count_distinct("uniqueinvoicenumber").alias("invoices"),
-            F.count_distinct("paymentid").alias("payments"),
-        )
-        .withColumn(
-            "match_class",
-            F.when(
-                (F.col("payments") == 1) & (F.col("invoices") >= 1),
-                F.when(F.col("invoices") == 1, "single").otherwise("multi"),
-            ).otherwise("unusable"),
-        )
-    )
-
-
-def days_to_cash(invoices: DataFrame, settings: Settings) -> DataFrame:
-    """Mean days between invoice and payment per division, month and term band.
 
     Lines collapse to (division, match, month) with a map-side combine before any
     match is looked at as a whole, so a match holding a third of all lines is
     reduced to one row per month; "one payment" is then min = max, which needs
     neither a distinct count nor a join back to the lines.
     """
-    bands = {"all": F.lit(True)} | {
-        f"{t}d": F.abs(F.col("paymentdays") - t) < settings.term_tolerance
-        for t in settings.term_days
-    }
     usable = (F.col("paymentmethod") == settings.payment_method) & (
         F.col("days_to_cash") >= 0
     )
     lines = prepare_invoices(invoices).filter(F.col("matchid").isNotNull())
+    ends = {"payment": "paymentid", "invoice": "uniqueinvoicenumber"}
     by_month = lines.groupBy("division", "matchid", "entryperiod").agg(
-        F.min("paymentid").alias("first_payment"),
-        F.max("paymentid").alias("last_payment"),
-        F.count("uniqueinvoicenumber").alias("invoices"),
-        *[F.count_if(usable & b).alias(f"n_{k}") for k, b in bands.items()],
+        *[F.min(c).alias(f"first_{k}") for k, c in ends.items()],
+        *[F.max(c).alias(f"last_{k}") for k, c in ends.items()],
+        *[F.count_if(usable & b).alias(f"n_{k}") for k, b in term_bands(settings).items()],
         *[
             F.sum(F.when(usable & b, F.col("days_to_cash"))).alias(f"days_{k}")
-            for k, b in bands.items()
+            for k, b in term_bands(settings).items()
         ],
     )
     match = Window.partitionBy("division", "matchid")
-    single_payment = by_month.select(
-        "*",
-        F.min("first_payment").over(match).alias("match_first"),
-        F.max("last_payment").over(match).alias("match_last"),
-        F.sum("invoices").over(match).alias("match_invoices"),
-    ).filter(
-        (F.col("match_first") == F.col("match_last")) & (F.col("match_invoices") > 0)
+
+    def one(k: str) -> Column:
+        return F.min(f"first_{k}").over(match) == F.max(f"last_{k}").over(match)
+
+    # Null unless the match has a payment and an invoice at all.
+    kind = F.when(one("invoice"), "single").when(~one("invoice"), "multi")
+    return by_month.withColumn(
+        "match_class", F.coalesce(F.when(one("payment"), kind), F.lit("unusable"))
     )
-    per_division = single_payment.groupBy("division", "entryperiod").agg(
+
+
+def match_classes(invoices: DataFrame, settings: Settings) -> DataFrame:
+    """Distinct invoices and payments per match, and whether the match is usable."""
+    counts = (
+        prepare_invoices(invoices)
+        .groupBy("division", "matchid")
+        .agg(
+            F.count_distinct("uniqueinvoicenumber").alias("invoices"),
+            F.count_distinct("paymentid").alias("payments"),
+        )
+    )
+    classes = match_months(invoices, settings).select("division", "matchid", "match_class")
+    return counts.join(classes.distinct(), ["division", "matchid"])
+
+
+def term_bands(settings: Settings) -> dict[str, Column]:
+    """Name and condition of each band of payment terms."""
+    return {"all": F.lit(True)} | {
+        f"{t}d": F.abs(F.col("paymentdays") - t) < settings.term_tolerance
+        for t in settings.term_days
+    }
+
+
+def days_to_cash(invoices: DataFrame, settings: Settings) -> DataFrame:
+    """Mean days between invoice and payment per division, month and term band."""
+    bands = term_bands(settings)
+    usable = match_months(invoices, settings).filter(F.col("match_class") != "unusable")
+    per_division = usable.groupBy("division", "entryperiod").agg(
         *[F.sum(f"n_{k}").alias(f"n_{k}") for k in bands],
         *[F.sum(f"days_{k}").alias(f"days_{k}") for k in bands],
     )

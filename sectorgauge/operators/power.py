@@ -142,15 +142,23 @@ def _peak(per_unit: int) -> Column:
     return (F.col("best.grid") + F.coalesce(step, F.lit(0.0))) / float(per_unit)
 
 
-def yeo_johnson_transform(
-    df: DataFrame, keys: list[str], value: str, settings: Settings
+def with_transformed(
+    df: DataFrame, exponents: DataFrame, keys: list[str], *columns: str
 ) -> DataFrame:
-    """Add ``value_t``, ``lambda`` and ``length`` to every row; keys must not be NULL.
+    """Add ``lambda``, ``length`` and, per column, its transform named ``<column>_t``.
 
-    The exponents are one row per group. Their join carries no hint: the planner
-    broadcasts them if they are small and splits a hot group if they are not.
+    Keys must not be NULL; groups without an exponent get NULL. The exponents are one
+    row per group. Their join carries no hint: the planner broadcasts them if they
+    are small and splits a hot group if they are not.
     """
-    exponents = yeo_johnson_lambda(df, keys, value, settings)
-    return df.join(exponents, keys).withColumn(
-        "value_t", yeo_johnson(F.col(value), F.col("lambda"))
+    joined = df.join(exponents, keys, "left")
+    return joined.withColumns(
+        {f"{c}_t": yeo_johnson(F.col(c), F.col("lambda")) for c in columns}
     )
+
+
+def yeo_johnson_transform(
+    df: DataFrame, keys: list[str], value: str, settings: Settings
+) -> DataFrame:
+    """Every row with its value transformed by its own group's exponent."""
+    return with_transformed(df, yeo_johnson_lambda(df, keys, value, settings), keys, value)

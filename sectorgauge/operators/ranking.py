@@ -48,8 +48,9 @@ def _rank_sliced(
     v = F.col(value)
     steps = [i / settings.rank_slices for i in range(1, settings.rank_slices)]
     cuts = df.groupBy(*keys).agg(F.percentile_approx(v, steps, 1000).alias("cuts"))
-    # One row per hot group: at most (table rows / hot_group_rows) of them.
-    cut = df.join(F.broadcast(cuts), keys)
+    # One row per hot group, so their number grows with the data: no hint. The adaptive
+    # planner broadcasts by measured size and otherwise splits the hot groups.
+    cut = df.join(cuts, keys)
     below = F.size(F.filter("cuts", lambda c: c < v))
     tied = F.array_contains("cuts", v)
     sliced = cut.withColumn(
@@ -88,7 +89,7 @@ def _rank_sliced(
     )
     q1, q3 = _fences(F.col("percentile"), v, settings)
     fences = ranked.groupBy(*keys).agg(q1.alias("q1"), q3.alias("q3"))
-    return ranked.join(F.broadcast(fences), keys).drop(
+    return ranked.join(fences, keys).drop(
         "slice", "part", "rows_below", "rows_before"
     )
 
@@ -105,8 +106,6 @@ def rank_in_groups(
     hot = sizes.filter(F.col("group_rows") > settings.hot_group_rows)
     if hot.isEmpty():
         return _rank_whole(df, keys, value, settings)
-    # Bounded by (table rows / hot_group_rows), so it may be broadcast.
-    hot = F.broadcast(hot)
     ordinary = df.join(hot.select(*keys), keys, "left_anti")
     whole = _rank_whole(ordinary, keys, value, settings)
     sliced = _rank_sliced(df.join(hot, keys), keys, value, spread_by, settings)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
-from sectorgauge.functions.columns import amount, cents
+from sectorgauge.functions.columns import amount, units
 
 # The elements of short-term solvency.
 QUICK_ELEMENTS = (
@@ -107,34 +107,47 @@ def _ratio_value() -> Column:
     )
 
 
-def statement_ratios(elements: DataFrame, settings: Settings) -> DataFrame:
-    """All ratios per division and month, with the negative stock/cash flag.
+def ratio_months(elements: DataFrame, settings: Settings) -> DataFrame:
+    """Both sides of all ratios per division and month, and the negative stock/cash flag.
 
-    One grouping computes sixteen conditional sums and the flag; the result is
-    then stacked. A ratio has a row when any of its elements is present.
+    One grouping computes sixteen conditional sums and the flag.
     """
     inputs = _ratio_inputs()
     aggregates = []
     for name, (up, down, needed) in inputs.items():
         sign = -1 if name == "solvability" else 1
         aggregates += [
-            amount(sign * F.sum(F.when(up, F.col("cents")))).alias(f"{name}_num"),
-            amount(sign * F.sum(F.when(down, F.col("cents")))).alias(f"{name}_den"),
+            amount(sign * F.sum(F.when(up, F.col("units")))).alias(f"{name}_num"),
+            amount(sign * F.sum(F.when(down, F.col("units")))).alias(f"{name}_den"),
             (F.count_if(needed) > 0).alias(f"{name}_any"),
         ]
     negative = _is("Stock-D", "Cash-D") & (F.col(_AMOUNT) < settings.negative_limit)
-    rows = (
+    return (
         elements.filter(F.col(_AMOUNT) != 0)
-        .withColumn("cents", cents(F.col(_AMOUNT)))
+        .withColumn("units", units(F.col(_AMOUNT)))
         .groupBy("division", "entryperiod")
         .agg(
             *aggregates,
             F.when(F.count_if(negative) > 0, "Y").otherwise("N").alias("negative_stock_cash"),
         )
     )
+
+
+def negative_stock_cash(elements: DataFrame, settings: Settings) -> DataFrame:
+    """Division months with a negative stock or cash balance, one row each."""
+    flagged = ratio_months(elements, settings).filter(F.col("negative_stock_cash") == "Y")
+    return flagged.select("division", "entryperiod", "negative_stock_cash")
+
+
+def statement_ratios(elements: DataFrame, settings: Settings) -> DataFrame:
+    """All ratios per division and month, with the negative stock/cash flag.
+
+    A ratio has a row when any of its elements is present.
+    """
+    inputs = _ratio_inputs()
     stacked = ", ".join(f"'{n}', {n}_num, {n}_den, {n}_any" for n in inputs)
     return (
-        rows.select(
+        ratio_months(elements, settings).select(
             "division",
             "entryperiod",
             F.expr(
@@ -155,15 +168,3 @@ def statement_ratios(elements: DataFrame, settings: Settings) -> DataFrame:
             "negative_stock_cash",
         )
     )
-
-
-def negative_stock_cash(elements: DataFrame, settings: Settings) -> DataFrame:
-    """Division months with a negative stock or cash balance, one row each."""
-    return (
-        elements.filter(
-            _is("Stock-D", "Cash-D") & (F.col(_AMOUNT) < settings.negative_limit)
-        )
-        .select("division", "entryperiod")
-        .distinct()
-        .withColumn("negative_stock_cash", F.lit("Y"))
-    )

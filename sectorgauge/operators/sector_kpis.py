@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
-from sectorgauge.functions.columns import amount, cents, is_finite, month_number
+from sectorgauge.functions.columns import amount, units, is_finite, month_number
 
 ALL = "ALL"
 SERIES_COLUMNS = ["entryperiod", "sectorcode", "kpi", "value", "population", "unit"]
@@ -115,8 +115,8 @@ def total_growth(growth: DataFrame, sectors: DataFrame) -> DataFrame:
     grown = _by_sector(
         members,
         ["entryperiod"],
-        amount(F.sum(cents(F.col("revenue")))).alias("revenue"),
-        amount(F.sum(cents(F.col("lastyear_revenue")))).alias("lastyear_revenue"),
+        amount(F.sum(units(F.col("revenue")))).alias("revenue"),
+        amount(F.sum(units(F.col("lastyear_revenue")))).alias("lastyear_revenue"),
         F.count("division").alias("population"),
     )
     return grown.select(

@@ -1,4 +1,4 @@
-"""Snapshot registry: latest snapshot, bookmarks, rollback."""
+"""Snapshot registry: bookmarks, rollback."""
 
 from __future__ import annotations
 
@@ -11,12 +11,6 @@ OK, CORRUPTED = "OK", "Corrupted"
 BOOKMARK_COLUMNS = ["s3key", "servicename", "status", "created", "updated"]
 
 
-def latest_snapshot(snapshots: DataFrame, column: str = "syscreated") -> DataFrame:
-    """Rows of the most recent snapshot; its date is a one-row result."""
-    newest = snapshots.agg(F.max(column).alias(column))
-    return snapshots.join(F.broadcast(newest), column)
-
-
 def append_bookmark(bookmarks: DataFrame, incoming: DataFrame) -> DataFrame:
     """Registry with new entries; an entry for a known snapshot replaces the old one."""
     kept = bookmarks.join(
@@ -53,16 +47,13 @@ def mark_rolled_back(bookmarks: DataFrame, now: dt.datetime) -> DataFrame:
 
     Services without a second good snapshot are left alone.
     """
-    # One row per service.
     services = rollback_target(bookmarks).select("servicename")
     withdrawn = (
         _newest_ok(bookmarks, 1)
-        .join(F.broadcast(services), "servicename", "left_semi")
+        .join(services, "servicename", "left_semi")
         .select("servicename", "s3key", F.lit(True).alias("withdrawn"))
     )
-    marked = bookmarks.join(
-        F.broadcast(withdrawn), ["servicename", "s3key"], "left"
-    )
+    marked = bookmarks.join(withdrawn, ["servicename", "s3key"], "left")
     return marked.select(
         "s3key",
         "servicename",

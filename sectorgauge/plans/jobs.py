@@ -22,6 +22,7 @@ from sectorgauge.plans.monthly import flagged_kpis, sector_series
 from sectorgauge.plans.raw import raw_measures
 from sectorgauge.plans.statements import cube_cells, flagged_ratios
 from sectorgauge.sources import schemas, tables
+from sectorgauge.sources.stages import removed_after
 
 log = logging.getLogger(__name__)
 
@@ -157,7 +158,7 @@ def run_cells(spark: SparkSession, paths: Paths, settings: Settings) -> int:
 
 
 def run_all(spark: SparkSession, paths: Paths, settings: Settings) -> None:
-    """All stages of both lines, in their order."""
+    """All stages of both lines, in their order; each job's stages go when it ends."""
     for job in (
         run_measures,
         run_company_kpis,
@@ -166,7 +167,8 @@ def run_all(spark: SparkSession, paths: Paths, settings: Settings) -> None:
         run_ratios,
         run_cells,
     ):
-        log.info("%s: %d rows", job.__name__, job(spark, paths, settings))
+        with removed_after(spark):
+            log.info("%s: %d rows", job.__name__, job(spark, paths, settings))
 
 
 # ------------------------------------------------------------------ publication

@@ -10,10 +10,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -27,10 +31,35 @@ def stage_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder below the session's own, for one stored table."""
+    path = f"{stage_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the stage folder and return the stored table."""
-    spark = df.sparkSession
-    run = spark.sparkContext.applicationId
-    path = f"{stage_root(spark)}/{run}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def removed_after(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the stages made inside the block when it ends; gives their folders.
+
+    For jobs, whose results are stored tables: a DataFrame that still reads a stage
+    can't be used after the block.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(token)
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

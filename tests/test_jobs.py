@@ -240,6 +240,15 @@ def test_stage_is_a_stored_table(spark, rows):
     assert "/numbers-" in folder and stages.stage_root(spark).removeprefix("file:") in folder
 
 
+def test_stages_of_a_job_are_removed(spark, rows):
+    kept = stages.stage(spark.range(1), "kept")
+    with stages.removed_after(spark) as made:
+        stages.stage(spark.range(3), "numbers")
+    assert len(made) == 1 and rows(kept) == [(0,)]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(made[0])
+
+
 def test_command_line():
     args = parser().parse_args(
         ["publish", "--source", "a", "--target", "b", "--service", "series",

@@ -1,4 +1,5 @@
 import dataclasses
+from decimal import Decimal
 
 import pytest
 
@@ -12,8 +13,6 @@ TX = (
 
 def tx(id="a", type="20", modified=1, ingested=1, deleted="N", amount="1.00", account=1,
        date="2018-03-05"):
-    from decimal import Decimal
-
     return (id, type, modified, ingested, deleted, Decimal(amount), account, date)
 
 
@@ -77,17 +76,26 @@ def test_account_code_choice(table, rows, settings, customer, model, expected):
 
 CODED = (
     "division string, entryperiod string, rgscode string, hastype310 string, "
-    "cents bigint, transactions bigint"
+    "units bigint, transactions bigint"
 )
 
 
+def test_amounts_keep_four_decimals(table, rows, settings):
+    schema = "glaccount bigint, entryperiod string, hastype310 string, amountdc decimal(18,4)"
+    parts = [Decimal("0.0049"), Decimal("0.0049"), Decimal("-1.0001")]
+    months = ledger.account_months(table(schema, *[(1, "2018-01", "N", x) for x in parts]))
+    codes = table("id bigint, division string, rgscode string", (1, "d", "WOmz"))
+    got = ledger.roll_up(ledger.with_ledger_code(months, codes), settings)
+    assert rows(got, "value", "transactions") == [(-0.9903, 3)]
+
+
 def test_roll_up_levels_by_code_length(table, rows, settings):
     df = table(
         CODED,
-        ("d", "2018-01", "WOmzNop", "N", 1000, 1),
-        ("d", "2018-01", "WOmzNopOpo", "N", 250, 2),
-        ("d", "2018-01", "WOm", "N", 999, 9),
-        ("d", "2018-01", "WOmzNopOpo", "Y", 50, 1),
+        ("d", "2018-01", "WOmzNop", "N", 100000, 1),
+        ("d", "2018-01", "WOmzNopOpo", "N", 25000, 2),
+        ("d", "2018-01", "WOm", "N", 99900, 9),
+        ("d", "2018-01", "WOmzNopOpo", "Y", 5000, 1),
     )
     got = rows(ledger.roll_up(df, settings), "aggregate", "type", "value", "transactions")
     assert got == [

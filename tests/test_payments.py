@@ -12,7 +12,7 @@ def line(match, invoice, payment, days=10, term=30, method="B", date="2018-03-09
     return (division, date, days, method, term, payment, invoice, match)
 
 
-def test_match_classes(table, rows):
+def test_match_classes(table, rows, settings):
     df = table(
         INVOICES,
         line(1, 1, 1),
@@ -22,7 +22,7 @@ def test_match_classes(table, rows):
         line(5, 1, None),
         line(6, None, 1),
     )
-    assert rows(payments.match_classes(df), "matchid", "match_class") == [
+    assert rows(payments.match_classes(df, settings), "matchid", "match_class") == [
         (1, "single"), (2, "multi"), (3, "unusable"), (4, "unusable"),
         (5, "unusable"), (6, "unusable"),
     ]

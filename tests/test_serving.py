@@ -161,11 +161,6 @@ def test_bookmarking_a_snapshot_again_replaces_its_entry(table, rows):
     ]
 
 
-def test_latest_snapshot(table, rows):
-    df = table("syscreated string, v int", ("2019-01-01", 1), ("2019-02-01", 2), ("2019-02-01", 3))
-    assert rows(snapshots.latest_snapshot(df), "v") == [(2,), (3,)]
-
-
 def test_settings_months():
     from sectorgauge import Settings
 
