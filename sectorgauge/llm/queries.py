@@ -15,6 +15,8 @@ from sectorgauge.sources.stages import stage, stage_root
 
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
+#: Words of a shingle and least similarity in percent, of the pipeline's near copies.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 #: A conversation whose texts are made of control strings.
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
@@ -92,7 +94,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shingles.jaccard_components(read_table(spark, sf_dir, "documents"))
+    return shingles.jaccard_components(read_table(spark, sf_dir, "documents"), shingles.WORDS, shingles.PERCENT)
 
 
 # ---------------------------------------------------------------- stages of the pipeline
@@ -116,7 +118,7 @@ def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies."""
-    found = shingles.jaccard_components(docs)
+    found = shingles.jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT)
     return without(docs, F.col("doc_id"), found.where("component_id <> doc_id").select("doc_id"))
 
 

@@ -1,11 +1,12 @@
 """N-gram Jaccard join: T-occurrence search with DivideSkip over candidate groups.
 
-1. Texts become sets of hashed three-word shingles; documents with the same set are one
-   class, and everything below is about classes.
-2. Two sets of similarity 0.9 differ in few shingles for their size. The shingles of a
-   set are split by hash into more segments than two such sets can differ in, so some
-   segments of both are equal, and equal segments make a candidate link. No shingle,
-   however frequent, makes a candidate by itself.
+1. Texts become sets of hashed shingles of some words; documents with the same set are
+   one class, and everything below is about classes.
+2. Two sets of the wanted similarity differ in few shingles for their size. The shingles
+   of a set are split by hash into more segments than two such sets can differ in, so some
+   segments of both are equal. There are spare segments, so each set leaves out its most
+   frequent ones, such as empty ones and those of a common line; an equal segment among
+   the others makes a candidate link.
 3. Candidate links fall into groups, by connected components. A group is cut into chunks
    of at most ``CHUNK`` classes and every pair of chunks is searched, so a group of any
    size is searched whole and no task holds more than two chunks.
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from hashlib import blake2b
 from heapq import merge
 from itertools import groupby
@@ -35,26 +36,30 @@ from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sectorgauge.llm.common import text_of
 from sectorgauge.llm.components import connected_components
 from sectorgauge.sources.stages import stage
 
-WORDS = 3
-PERCENT = 90
+#: Words of a shingle and least similarity in percent, of the query.
+WORDS, PERCENT = 3, 90
+#: Most words of a shingle.
+MAX_WORDS = 16
 #: Bytes that are hashed at once.
 PIECE = 1 << 20
 #: Classes of a group that are searched at once.
 CHUNK = 1024
 #: Ids that may be broadcast; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
+#: Parts of all segments, counted one after another so that less is on disk at once.
+PARTS = 4
 #: Weight of the longest list in the choice of long lists.
 MU = 0.0085
 
 _U = np.uint64
-_RANDOM = np.random.default_rng(20).integers(0, 1 << 63, 256 + WORDS, dtype=np.uint64) * _U(2) + _U(1)
+_RANDOM = np.random.default_rng(20).integers(0, 1 << 63, 256 + MAX_WORDS, dtype=np.uint64) * _U(2) + _U(1)
 _BYTE = _RANDOM[:256].copy()
 _BYTE[65:91] = _BYTE[97:123]  # A-Z hash as a-z
 _PLACE = _RANDOM[256:]
@@ -87,7 +92,7 @@ def _hash_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mix(np.add.reduceat(_BYTE[data[solid]] * powers[inside], begins)), solid[begins]
 
 
-def shingle_sets(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable[bytes], width: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text.
 
     Short texts are hashed together, long ones in pieces cut at white space.
@@ -95,16 +100,16 @@ def shingle_sets(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
     held, size = [], 0
     for text in texts:
         if len(text) > PIECE:
-            yield from _sets_of(held)
+            yield from _sets_of(held, width)
             held, size = [], 0
-            yield _set_of(np.concatenate([_hash_words(p)[0] for p in _pieces(text)]))
+            yield _set_of(np.concatenate([_hash_words(p)[0] for p in _pieces(text)]), width)
             continue
         held.append(text)
         size += len(text)
         if size >= PIECE:
-            yield from _sets_of(held)
+            yield from _sets_of(held, width)
             held, size = [], 0
-    yield from _sets_of(held)
+    yield from _sets_of(held, width)
 
 
 def _pieces(text: bytes) -> Iterator[np.ndarray]:
@@ -117,19 +122,19 @@ def _pieces(text: bytes) -> Iterator[np.ndarray]:
         at = end
 
 
-def _sets_of(texts: list[bytes]) -> Iterator[np.ndarray]:
+def _sets_of(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
     if not texts:
         return
     data = np.frombuffer(b"\n".join(texts), np.uint8)
     words, starts = _hash_words(data)
     ends = np.cumsum([len(t) + 1 for t in texts])
     cuts = np.searchsorted(starts, ends)
-    yield from (_set_of(words[a:z]) for a, z in zip([0, *cuts[:-1]], cuts, strict=True))
+    yield from (_set_of(words[a:z], width) for a, z in zip([0, *cuts[:-1]], cuts, strict=True))
 
 
-def _set_of(words: np.ndarray) -> np.ndarray:
-    """Distinct shingles of a text's words; of fewer than three, the whole as one."""
-    width = min(WORDS, words.size)
+def _set_of(words: np.ndarray, width: int) -> np.ndarray:
+    """Distinct shingles of a text's words; of fewer than ``width``, the whole as one."""
+    width = min(width, words.size)
     if not width:
         return words
     n = words.size - width + 1
@@ -155,62 +160,73 @@ def _band_ends(limit: int = 1 << 40) -> list[int]:
     return ends
 
 
-def segments(shingles: np.ndarray) -> np.ndarray:
-    """Hashes of the set's segments, for its band of sizes and the next if it can matter.
+def segments(shingles: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
+    """``spare, hashes`` of the set's segments, for its band of sizes and the next if it can matter.
 
     Two linked sets lie in one band or in neighbours, and take the band of the larger.
-    With sizes up to ``u`` they differ in at most ``d = 2u / 19`` shingles. Of ``d + 2``
-    segments two are equal, so equal empty segments count only in sets that have two.
+    With sizes up to ``u`` they differ in at most ``d`` shingles, ``2u / 19`` for 90
+    percent. Of ``d + 1 + spare`` segments ``spare + 1`` are equal, so each set can leave
+    out any ``spare`` of them by one order of all segments, and one equal segment stays
+    in both. ``spare`` is below 0 in the next band, to tell the two apart.
     """
     n, ends = shingles.size, _band_ends()
     band = bisect_left(ends, n)
     found = []
     for k in (band, band + 1):
-        if k > band and n * 100 < PERCENT * (ends[band] + 1):
+        if k > band and n * 100 < percent * (ends[band] + 1):
             break
-        differ = (200 - 2 * PERCENT) * ends[k] // (100 + PERCENT)
+        differ = (200 - 2 * percent) * ends[k] // (100 + percent)
         if differ == 0:
             continue  # only equal sets can be linked
-        m = differ + 2
+        spare = 1 + differ // 2
+        m = differ + 1 + spare
         segment = ((shingles >> _U(32)) % _U(m)).astype(np.int64)
         order = np.argsort(segment, kind="stable")
         filled, first = np.unique(segment[order], return_index=True)
         sums = np.zeros(m, _U)
         sums[filled] = np.add.reduceat(mix(shingles[order] ^ _BASE), first)
-        wanted = np.arange(m) if m - filled.size >= 2 else filled
-        found.append(mix(sums[wanted] + mix(wanted.astype(_U) + _U(k << 40))))
-    return np.concatenate(found) if found else np.zeros(0, _U)
+        found.append((spare if k == band else -spare, mix(sums + mix(np.arange(m, dtype=_U) + _U(k << 40)))))
+    return found
 
 
-CLASSES = "doc_id long, n_shingles long, class long, segments array<long>"
+CLASSES = "doc_id long, n_shingles long, class long, bands array<struct<part:int,spare:int,segments:array<long>>>"
+_BAND = pa.struct([("part", pa.int32()), ("spare", pa.int32()), ("segments", pa.list_(pa.int64()))])
 _CLASSES = pa.schema(
-    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.int64()), ("segments", pa.list_(pa.int64()))]
+    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.int64()), ("bands", pa.list_(_BAND))]
 )
 
 
+def _bands(lists: list[list[tuple[int, np.ndarray]]]) -> pa.Array:
+    bands = [(p, spare, x[p::PARTS]) for found in lists for spare, x in found for p in range(PARTS)]
+    flat = np.concatenate([np.zeros(0, _U), *(x for _, _, x in bands)]).view(np.int64)
+    ends = np.cumsum([0, *(x.size for _, _, x in bands)])
+    inner = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+    numbers = [pa.array([b[j] for b in bands], pa.int32()) for j in (0, 1)]
+    both = pa.StructArray.from_arrays([*numbers, inner], fields=list(_BAND))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(PARTS * len(x) for x in lists)]), pa.int32()), both)
+
+
 def _texts(column: pa.Array) -> Iterator[bytes]:
     return (t.as_buffer().to_pybytes() for t in column.cast(pa.binary()))
 
 
-def document_classes(docs: DataFrame) -> DataFrame:
+def document_classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``CLASSES`` of every row, stored; the class of an empty set is null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, classes, lists, offsets = [], [], [], [0]
-            for s in shingle_sets(_texts(batch.column(1))):
+            sizes, classes, lists = [], [], []
+            for s in shingle_sets(_texts(batch.column(1)), width):
                 sizes.append(s.size)
                 classes.append(class_of(s) if s.size else None)
-                lists.append(segments(s))
-                offsets.append(offsets[-1] + lists[-1].size)
+                lists.append(segments(s, percent))
             if sizes:
-                flat = np.concatenate(lists).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
                         pa.array(sizes, pa.int64()),
                         pa.array(classes, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
+                        _bands(lists),
                     ],
                     schema=_CLASSES,
                 )
@@ -219,16 +235,33 @@ def document_classes(docs: DataFrame) -> DataFrame:
     return stage(slim.mapInArrow(run, CLASSES), "classes")
 
 
+def shared_segments(classes: DataFrame, part: int) -> DataFrame:
+    """``class, spare, segment, n`` of the segments of a part that two classes have, stored."""
+    sets = classes.select("class", F.explode("bands").alias("band")).where(F.col("band.part") == part)
+    pairs = sets.select("class", "band.spare", F.explode("band.segments").alias("segment"))
+    ends = pairs.groupBy("segment").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
+    shared = ends.where("low <> high").select(F.col("segment").alias("s"), "n")
+    held = pairs.join(shared, F.col("segment") == F.col("s")).select("class", "spare", "segment", "n").distinct()
+    held = stage(held, "shared")
+    del sets, pairs, ends, shared
+    classes.sparkSession._jvm.System.gc()  # Spark removes shuffle files once the driver forgets their plan
+    return held
+
+
 def candidate_groups(classes: DataFrame) -> DataFrame:
     """``class, grp`` of the classes with a candidate link.
 
-    A segment links all its classes to its smallest. Smallest and largest are combined
+    Every class leaves out its most frequent segments, as many as are spare. Each other
+    segment links all its classes to its smallest. Smallest and largest are combined
     before the shuffle; segments of one class go before the classes come back.
     """
-    pairs = classes.select("class", F.explode("segments").alias("segment"))
-    ends = pairs.groupBy("segment").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    shared = ends.where("low <> high").select(F.col("segment").alias("s"), "low")
-    edges = pairs.join(shared, F.col("segment") == F.col("s")).select("class", "low").distinct()
+    held = reduce(DataFrame.union, [shared_segments(classes, p) for p in range(PARTS)])
+    often = Window.partitionBy("class", "spare").orderBy(F.desc("n"), "segment")
+    rare = held.withColumn("place", F.row_number().over(often)).where(F.col("place") > F.abs("spare"))
+    rare = stage(rare.select("class", "segment"), "segments")
+    least = rare.groupBy("segment").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    least = least.where("low <> high").select(F.col("segment").alias("s"), "low")
+    edges = rare.join(least, F.col("segment") == F.col("s")).select("class", "low").distinct()
     found = connected_components(edges, "class", "low")
     heads = found.select(F.col("component").alias("vertex"), "component").distinct()
     return stage(
@@ -239,15 +272,16 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- T-occurrence search
 
 
-def linked(a: int, b: int, common: int) -> bool:
+def linked(a: int, b: int, common: int, percent: int) -> bool:
     """Whether sets of sizes ``a`` and ``b`` with ``common`` shingles are linked."""
-    return 100 * common >= PERCENT * (a + b - common)
+    return 100 * common >= percent * (a + b - common)
 
 
 class InvertedIndex:
     """Lists of set numbers by shingle, ascending."""
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], percent: int):
+        self.percent = percent
         self.sizes = [s.size for s in sets]
         shingles = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), self.sizes)
@@ -268,7 +302,7 @@ class InvertedIndex:
             ((a, z) for a, z in zip(self.first[at].tolist(), self.first[at + 1].tolist(), strict=True)),
             key=lambda r: r[1] - r[0],
         )
-        least = ceil(PERCENT * query.size / 100)
+        least = ceil(self.percent * query.size / 100)
         if len(ranges) < least:
             return
         n_long = min(len(ranges), least - 1, int(least / (MU * log2(ranges[-1][1] - ranges[-1][0] + 1) + 1)))
@@ -280,13 +314,13 @@ class InvertedIndex:
             if common < least - n_long or skip(number):
                 continue
             size = self.sizes[number]
-            needed = ceil(PERCENT * (query.size + size) / (100 + PERCENT))
+            needed = ceil(self.percent * (query.size + size) / (100 + self.percent))
             for k, (a, z) in enumerate(long_):
                 if common + n_long - k < needed:
                     break
                 place = bisect_left(owners, number, a, z)
                 common += place < z and owners[place] == number
-            if linked(query.size, size, common):
+            if linked(query.size, size, common, self.percent):
                 yield number
 
 
@@ -308,12 +342,12 @@ class Union:
         return a != b
 
 
-def links_between(index: list[np.ndarray], asking: list[np.ndarray] | None) -> Iterator[tuple[int, int]]:
+def links_between(index: list[np.ndarray], asking: list[np.ndarray] | None, percent: int) -> Iterator[tuple[int, int]]:
     """Links that connect what is connected: of ``index`` in itself, or to ``asking``.
 
     Numbers of ``asking`` start after those of ``index``.
     """
-    lists, own = InvertedIndex(index), asking is None
+    lists, own = InvertedIndex(index, percent), asking is None
     queries = index if own else asking
     union = Union(len(index) + (0 if own else len(queries)))
     for q, query in enumerate(queries):
@@ -342,7 +376,7 @@ def search_plan(groups: DataFrame, members: DataFrame) -> DataFrame:
     return stage(placed.join(known, "class").select("least", "class", "grp", "chunk", pairs.alias("pairs")), "search")
 
 
-def group_links(docs: DataFrame, plan: DataFrame) -> DataFrame:
+def group_links(docs: DataFrame, plan: DataFrame, width: int, percent: int) -> DataFrame:
     """``LINKS`` between classes of the same group, by the texts of ``docs``."""
     if plan.count() <= BROADCAST_IDS:
         plan = F.broadcast(plan)
@@ -355,7 +389,7 @@ def group_links(docs: DataFrame, plan: DataFrame) -> DataFrame:
         def stored() -> Iterator[tuple]:
             for batch in batches:
                 columns = [c.to_pylist() for c in batch.columns[:5]]
-                yield from zip(*columns, shingle_sets(_texts(batch.column(5))), strict=True)
+                yield from zip(*columns, shingle_sets(_texts(batch.column(5)), width), strict=True)
 
         for (_, i, j), rows in groupby(stored(), key=lambda r: r[:3]):
             names, sets = ([], []), ([], [])
@@ -366,7 +400,7 @@ def group_links(docs: DataFrame, plan: DataFrame) -> DataFrame:
             both = names[0] + names[1]
             if not sets[0] or (i != j and not sets[1]):
                 continue
-            found = [(both[a], both[b]) for a, b in links_between(sets[0], None if i == j else sets[1])]
+            found = [(both[a], both[b]) for a, b in links_between(sets[0], None if i == j else sets[1], percent)]
             if found:
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -374,12 +408,17 @@ def group_links(docs: DataFrame, plan: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, LINKS)
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row."""
-    classes = document_classes(docs)
+def jaccard_components(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row.
+
+    Shingles have ``width`` words, and a similarity of ``percent`` makes a link.
+    """
+    if not 1 <= width <= MAX_WORDS or not 0 < percent <= 100:
+        raise ValueError("width from 1 to %d and percent from 1 to 100 are needed" % MAX_WORDS)
+    classes = document_classes(docs, width, percent)
     groups = candidate_groups(classes.where("class is not null"))
     members = classes.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"))
-    links = group_links(docs, search_plan(groups, members))
+    links = group_links(docs, search_plan(groups, members), width, percent)
     found = connected_components(links, "a", "b").withColumnRenamed("vertex", "class")
     named = members.join(found, "class", "left").select(
         "class", "least", F.coalesce("component", "class").alias("component")
