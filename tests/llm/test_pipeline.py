@@ -17,7 +17,7 @@ def test_every_stage_does_its_part(spark):
             model = quality_rules.fit_label_model(stats)
             want = Counter(r["doc_id"] for r in stats.where(quality_rules.kept(model)).collect())
         elif name == "ngram_jaccard_join":
-            want = Counter(r["component_id"] for r in shingles.jaccard_components(docs).select("component_id").distinct().collect())
+            want = Counter(r["component_id"] for r in shingles.jaccard_components(docs, queries.NEAR_WORDS, queries.NEAR_PERCENT).select("component_id").distinct().collect())
         elif name == "benchmark_decontamination":
             items = spark.read.parquet(f"{folder}/benchmark.parquet")
             leaks = {r["doc_id"] for r in decontaminate.find_leaks(docs, items).collect()}
