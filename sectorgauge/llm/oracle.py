@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sectorgauge.llm import mixing, urls
+from sectorgauge.llm import centroids, mixing, urls
 
 _SPACES = r"[^\x20\x09-\x0D]+"
 
@@ -94,8 +94,47 @@ SELECT page_id, host, path, best.rule AS rule,
 FROM ruled LEFT JOIN opinions o ON o.a = ruled.node
 """
 
+
+def _centroids(rounds: int = centroids.ROUNDS, clusters: int = centroids.CLUSTERS) -> str:
+    """One row a vector and dimension; every round a pair of named subqueries."""
+    size, scale = centroids.DIMENSIONS, centroids.SCALE
+    parts = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR) NULLS LAST, embedding) AS rid, vec_id, embedding
+  FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}
+), cells AS MATERIALIZED (
+  SELECT rid, unnest(range({size})) AS dim, floor({scale} * unnest(embedding)::DOUBLE)::BIGINT AS x FROM kept
+), c0 AS MATERIALIZED (SELECT rid - 1 AS cluster, dim, x FROM cells WHERE rid <= {clusters})"""
+    ]
+    for k in range(rounds + 1):
+        parts.append(
+            f"""a{k} AS MATERIALIZED (
+  SELECT rid, min(struct_pack(distance, cluster)) AS best FROM (
+    SELECT v.rid, c.cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance
+    FROM cells v JOIN c{k} c USING (dim) GROUP BY v.rid, c.cluster)
+  GROUP BY rid)"""
+        )
+        if k < rounds:
+            parts.append(
+                f"""c{k + 1} AS MATERIALIZED (
+  SELECT c.cluster, c.dim, coalesce(((s - ((s % n) + n) % n) // n)::BIGINT, c.x) AS x
+  FROM c{k} c LEFT JOIN (
+    SELECT best.cluster AS cluster, dim, sum(x) AS s, count(*) AS n
+    FROM cells JOIN a{k} USING (rid) GROUP BY best.cluster, dim) m USING (cluster, dim))"""
+            )
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, best.cluster::INTEGER AS cluster, best.distance AS distance,
+  (sum(best.distance) OVER (PARTITION BY best.cluster))::BIGINT AS cluster_inertia,
+  (sum(best.distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM kept JOIN a{rounds} USING (rid) JOIN (
+  SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY dim)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster
+) ON cluster = best.cluster"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": _CHAT,
     "op5_mixing": _MIXING,
     "op6_url_filter": _URLS,
+    "op13_centroid_clustering": _centroids(),
 }
