@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sectorgauge.llm import centroids, mixing, urls
+from sectorgauge.llm import centroids, mixing, phrases, urls
 
 _SPACES = r"[^\x20\x09-\x0D]+"
 
@@ -95,6 +95,42 @@ FROM ruled LEFT JOIN opinions o ON o.a = ruled.node
 """
 
 
+_PHRASES = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), placed AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, range(1, {phrases.LONGEST + 1}) t(k)
+), counted AS MATERIALIZED (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM placed GROUP BY ALL
+), candidates AS MATERIALIZED (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE k > 1 AND f >= {phrases.LEAST}
+), inner_phrases AS (
+  SELECT lang, a, w, m, unnest(range(1, k - m + 2)) AS i FROM candidates, range(2, {phrases.LONGEST}) t(m) WHERE m < k
+), covered AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM inner_phrases GROUP BY ALL
+), cuts AS (
+  SELECT c.*, j, array_to_string(w[1:j], ' ') AS first_part, array_to_string(w[j + 1:], ' ') AS rest
+  FROM candidates c, range(1, {phrases.LONGEST}) t(j) WHERE j < k
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, min(struct_pack(
+    score := (({phrases.SCALE}::HUGEINT * c.a) // (x.f + y.f))::BIGINT, j := j, l := x.f, r := y.f)) AS cut
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = first_part
+  JOIN counted y ON y.lang = c.lang AND y.phrase = rest GROUP BY ALL
+), ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY lang ORDER BY cut.score DESC, a DESC, encode(phrase)) AS rank
+  FROM scored s LEFT JOIN covered v USING (lang, phrase)
+  WHERE 100 * coalesce(longer, 0)::HUGEINT < {phrases.COVERED_PERCENT} * a
+)
+SELECT lang, rank, phrase, a, cut.l AS l, cut.r AS r, n, cut.score AS score
+FROM ranked JOIN (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang) USING (lang)
+WHERE rank <= {phrases.TOP}
+"""
+
+
 def _centroids(rounds: int = centroids.ROUNDS, clusters: int = centroids.CLUSTERS) -> str:
     """One row a vector and dimension; every round a pair of named subqueries."""
     size, scale = centroids.DIMENSIONS, centroids.SCALE
@@ -136,5 +172,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": _CHAT,
     "op5_mixing": _MIXING,
     "op6_url_filter": _URLS,
+    "op12_phrase_collocations": _PHRASES,
     "op13_centroid_clustering": _centroids(),
 }
