@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sectorgauge.llm import byte_cnn, centroids, chat, decontaminate, mixing, phrases, ppm, quality_rules, shingles, suffixes, token_files, urls
+from sectorgauge.llm import byte_cnn, centroids, chat, decontaminate, mixing, phrases, ppm, quality_rules, shingles, string_kernel, suffixes, token_files, urls
 from sectorgauge.llm.common import checksum_fold, read_table, text_of
 from sectorgauge.llm.oracle import ORACLE_SQL
 from sectorgauge.sources.stages import stage, stage_root
@@ -97,6 +97,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingles.jaccard_components(read_table(spark, sf_dir, "documents"), shingles.WORDS, shingles.PERCENT)
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return string_kernel.identify_languages(read_table(spark, sf_dir, "documents"))
+
+
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read_table(spark, sf_dir, "documents"))
 
@@ -159,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_lm_scoring,
         op9_quality_classifier,
         op10_ngram_jaccard_join,
+        op11_language_id,
         op12_phrase_collocations,
         op13_centroid_clustering,
     )

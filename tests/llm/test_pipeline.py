@@ -37,5 +37,5 @@ def test_names_are_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {x.partition("_")[0] for x in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {x.partition("_")[0] for x in names} and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= names
