@@ -32,15 +32,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sectorgauge.llm.common import LOWER, UPPER, text_of
-from sectorgauge.sources.stages import stage
+from sectorgauge.sources.stages import removed_after, stage
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: A longer candidate with this share of the occurrences replaces a shorter one.
 COVERED_PERCENT = 80
 SCALE = 2_000_000
-#: Bytes of text in a block, and bits for a code within one.
-BLOCK = 1 << 23
-CODE_BITS = 23
+#: Bytes of text that a task gathers before the language with most of them becomes a
+#: block, and bits for a code within a block.
+BLOCK = 12 << 20
+CODE_BITS = 28
 ENDS = b".,;:!?\n\x0b\x0c\r"
 
 _PLAIN = bytes.maketrans(UPPER.encode() + b"\t" + ENDS, LOWER.encode() + b" " + b"\n" * len(ENDS))
@@ -122,15 +123,14 @@ def longer(groups: np.ndarray, grams: np.ndarray) -> np.ndarray:
 
 def _read_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, list[bytes]] = {}
-    size = 0
-    block = TaskContext.get().partitionId() << 20
+    sizes: dict[str, int] = {}
+    block = TaskContext.get().partitionId() << 15
 
-    def flush() -> Iterator[pa.RecordBatch]:
+    def flush(lang: str) -> Iterator[pa.RecordBatch]:
         nonlocal block
-        for lang, texts in held.items():
-            slots, words, counts = word_relation(texts)
-            if not slots.size:
-                continue
+        sizes.pop(lang)
+        slots, words, counts = word_relation(held.pop(lang))
+        if slots.size:
             yield pa.RecordBatch.from_pylist([{"block": block, "slots": slots.tobytes()}], _PIECES)
             m = len(words)
             places = (block << CODE_BITS) + np.arange(m)
@@ -138,17 +138,16 @@ def _read_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             columns = [pa.nulls(m, pa.int64()), none, pa.array(places), langs, words, pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, schema=_PIECES)
             block += 1
-        held.clear()
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
             for part in cut_text(text.as_buffer().to_pybytes().translate(_PLAIN)):
                 held.setdefault(lang, []).append(part)
-                size += len(part) + 1
-                if size >= BLOCK:
-                    yield from flush()
-                    size = 0
-    yield from flush()
+                sizes[lang] = sizes.get(lang, 0) + len(part) + 1
+                if sum(sizes.values()) >= BLOCK:
+                    yield from flush(max(sizes, key=sizes.__getitem__))
+    for lang in list(held):
+        yield from flush(lang)
 
 
 def _grams_of(row: dict, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -232,27 +231,45 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
 
     ``gram`` is an array of word ids; ids belong to a language. ``n`` counts all words.
     """
+    spark = docs.sparkSession
     slim = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")), text_of())
-    pieces = stage(slim.mapInArrow(_read_texts, PIECES), "pieces")
-    groups = pieces.where("place is not null")
-    totals = stage(groups.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    counted = groups.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    words = stage(counted.withColumn("id", F.monotonically_increasing_id()), "words")
-    kept = groups.join(words.select("lang", "word", "id"), ["lang", "word"]).select("place", "id")
-    relation = _kept_relation(pieces.where("slots is not null"), kept, 1)
+    with removed_after(spark) as spent:
+        pieces = stage(slim.mapInArrow(_read_texts, PIECES), "pieces")
+        groups = pieces.where("place is not null")
+        totals = stage(groups.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+        counted = groups.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+        words = stage(counted.withColumn("id", F.monotonically_increasing_id()), "words")
+        kept = groups.join(words.select("lang", "word", "id"), ["lang", "word"]).select("place", "id")
+        relation = _kept_relation(pieces.where("slots is not null"), kept, 1)
+        _stay(spent, "totals", "words", "relation")
     phrases = words.select(F.array("id").alias("gram"), "f")
     for length in range(2, longest + 1):
-        ids = [f"w{i}" for i in range(length)]
-        schema = ", ".join(f"{c} long" for c in ["place", *ids, "n"])
-        groups = relation.mapInArrow(partial(_count_groups, length=length - 1), schema)
-        summed = groups.withColumn("f", F.sum("n").over(Window.partitionBy(*ids)))
-        kept = stage(summed.where(F.col("f") >= least).drop("n"), "kept")
-        phrases = phrases.union(kept.groupBy(*ids).agg(F.first("f")).select(F.array(*ids), "first(f)"))
-        if length < longest:
-            relation = _kept_relation(relation, kept, length)
+        with removed_after(spark) as spent:
+            kept = stage(_frequent_groups(relation, length, least), "kept")
+            found = kept.where("f is not null").select(F.array(*(f"w{i}" for i in range(length))).alias("gram"), "f")
+            phrases = phrases.union(stage(found, "found"))
+            if length < longest:
+                relation = _kept_relation(relation, kept, length)
+            _stay(spent, "found", "relation")
     return stage(phrases, "phrases"), words.select("id", "lang", "word"), totals
 
 
+def _stay(spent: list[str], *names: str) -> None:
+    """Take the stages of these names from the list of those to remove."""
+    spent[:] = [path for path in spent if not path.rpartition("/")[2].startswith(names)]
+
+
+def _frequent_groups(relation: DataFrame, length: int, least: int) -> DataFrame:
+    """``place`` of every frequent group in its blocks; one row of a group has words and ``f``."""
+    ids = [f"w{i}" for i in range(length)]
+    schema = ", ".join(f"{c} long" for c in ["place", *ids, "n"])
+    groups = relation.mapInArrow(partial(_count_groups, length=length - 1), schema)
+    same = Window.partitionBy(*ids)
+    summed = groups.select("place", *ids, F.sum("n").over(same).alias("f"), F.min("place").over(same).alias("first"))
+    once = F.col("place") == F.col("first")
+    return summed.where(F.col("f") >= least).select("place", *(F.when(once, F.col(c)).alias(c) for c in [*ids, "f"]))
+
+
 # ---------------------------------------------------------------- scores
 
 
