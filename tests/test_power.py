@@ -93,3 +93,53 @@ def test_constant_and_single_groups_stay_as_they_are(table, rows, settings):
     assert rows(moved, "g", "lambda", "length") == [("c", 1.0, 3.0)] * 3 + [("s", 1.0, 1.0)]
     values = [r[0] for r in rows(moved, "value_t")]
     assert values == pytest.approx([5.0, 5.0, 5.0, 7.0])
+
+
+def _extents_of(spark, groups, settings):
+    rows = [(g, float(v)) for g, x in groups.items() for v in x]
+    values = power._collapsed(spark.createDataFrame(rows, "g string, value double"), ["g"], "value")
+    return values, power._extents(values, ["g"]).withColumn("n", F.col("n").cast("double"))
+
+
+def test_only_groups_at_an_edge_enter_the_next_pass(spark, settings):
+    rng = np.random.default_rng(8)
+    groups = {
+        "near": rng.gamma(2.0, 10.0, 300),
+        "normal": rng.normal(3, 4, 300),
+        "ceiling": 60 - rng.gamma(0.3, 4.0, 300).clip(0, 50),
+        "floor": rng.gamma(0.3, 0.2, 300),
+        "far": 1e3 - rng.gamma(0.3, 0.5, 300),
+    }
+    passes = power.bracketed(*_extents_of(spark, groups, settings), ["g"], settings)
+    found = [{r["g"]: (r["best"], r["step"]) for r in p.collect()} for p in passes]
+    assert set(found[0]) >= {"near", "normal"} and "far" not in found[0]
+    assert sorted(g for p in found for g in p) == sorted(groups)  # each group settles once
+    assert all(step in (10 * 2**k, 20 * 2**k) for k, p in enumerate(found) for _, step in p.values())
+
+
+def test_exponents_from_end_to_end_of_the_range(spark, settings):
+    """Groups made by undoing the transform of a sample, for exponents all over the range."""
+    rng = np.random.default_rng(9)
+    groups = {}
+    for lam in (-60, -31.3, -14.2, -5.1, -1.9, 0.0, 2.0, 3.9, 4.1, 9.7, 17, 38.5, 60):
+        z = rng.normal(0, 1, 200)
+        z = (z - z.min()) / (z.max() - z.min())  # 0 to 1
+        power_of = np.exp(lam * 0.05) if lam else None  # sizes up to 0.05
+        t = z * (power_of - 1) + 1 if lam else z * 0.05
+        groups[str(lam)] = np.expm1(np.log(t) / lam if lam else t)
+    rows = [(g, float(v)) for g, x in groups.items() for v in x]
+    df = spark.createDataFrame(rows, "g string, value double")
+    whole = np.arange(-64, 64.00001, 0.05)
+    for row in power.yeo_johnson_lambda(df, ["g"], "value", settings).collect():
+        x = groups[row["g"]]
+        scores = [likelihood(x, lam) for lam in whole]
+        assert abs(row["lambda"] - whole[np.nanargmax(scores)]) < 0.051, row["g"]
+
+
+def test_repeated_values_weigh_as_often_as_they_occur(spark, settings):
+    rng = np.random.default_rng(10)
+    x = np.round(rng.gamma(2.0, 6.0, 500))  # whole days
+    once = power.yeo_johnson_lambda(spark.createDataFrame([("g", float(v)) for v in x], "g string, value double"), ["g"], "value", settings).first()
+    whole = np.arange(-3, 3, 0.01)
+    best = whole[np.argmax([likelihood(x, lam) for lam in whole])]
+    assert once["length"] == 500 and once["lambda"] == pytest.approx(best, abs=0.011)
