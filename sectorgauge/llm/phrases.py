@@ -27,6 +27,7 @@ from math import isqrt
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,6 +68,17 @@ _RELATION = pa.schema([("block", pa.int64()), ("slots", pa.binary()), ("grams",
 # ---------------------------------------------------------------- one block
 
 
+def packed(slots: np.ndarray) -> bytes:
+    """Slots as compressed planes of their lowest to highest bytes."""
+    planes = np.ascontiguousarray(slots.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
+
+
 def cut_text(text: bytes, size: int = BLOCK) -> Iterator[bytes]:
     """A text of plain bytes in parts of about ``size``, cut between pieces."""
     at = 0
@@ -131,7 +143,7 @@ def _read_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes.pop(lang)
         slots, words, counts = word_relation(held.pop(lang))
         if slots.size:
-            yield pa.RecordBatch.from_pylist([{"block": block, "slots": slots.tobytes()}], _PIECES)
+            yield pa.RecordBatch.from_pylist([{"block": block, "slots": packed(slots)}], _PIECES)
             m = len(words)
             places = (block << CODE_BITS) + np.arange(m)
             none, langs = pa.nulls(m, pa.binary()), pa.repeat(pa.scalar(lang, pa.string()), m)
@@ -151,7 +163,7 @@ def _read_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _grams_of(row: dict, length: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row["slots"], np.int32), np.frombuffer(row["grams"], np.int64).reshape(-1, length)
+    return unpacked(row["slots"]), np.frombuffer(row["grams"], np.int64).reshape(-1, length)
 
 
 def _count_groups(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -187,7 +199,7 @@ def _semi_join(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
             codes = np.concatenate(kept)
             row = batch.slice(at, 1).to_pylist()[0]
             if length == 1:
-                slots, grams = np.frombuffer(row["slots"], np.int32), np.concatenate(ids)[:, None]
+                slots, grams = unpacked(row["slots"]), np.concatenate(ids)[:, None]
                 new = _renumbered(slots, codes)
             else:
                 slots, shorter = _grams_of(row, length - 1)
@@ -197,7 +209,7 @@ def _semi_join(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
                 grams = longer(groups[codes], shorter) if codes.size else np.zeros((0, length), np.int64)
             kept, ids = [], []
             if codes.size:
-                out = {"block": row["block"], "slots": new.tobytes(), "grams": np.ascontiguousarray(grams).tobytes()}
+                out = {"block": row["block"], "slots": packed(new), "grams": np.ascontiguousarray(grams).tobytes()}
                 yield pa.RecordBatch.from_pylist([out], _RELATION)
         kept.append(places[start:] & mask)
         ids.append(word_ids[start:])
@@ -237,9 +249,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         pieces = stage(slim.mapInArrow(_read_texts, PIECES), "pieces")
         groups = pieces.where("place is not null")
         totals = stage(groups.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-        counted = groups.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-        words = stage(counted.withColumn("id", F.monotonically_increasing_id()), "words")
-        kept = groups.join(words.select("lang", "word", "id"), ["lang", "word"]).select("place", "id")
+        kept = stage(_frequent_words(groups, least), "kept")
+        words = stage(kept.where("f is not null").select("id", "lang", "word", "f"), "words")
         relation = _kept_relation(pieces.where("slots is not null"), kept, 1)
         _stay(spent, "totals", "words", "relation")
     phrases = words.select(F.array("id").alias("gram"), "f")
@@ -259,6 +270,18 @@ def _stay(spent: list[str], *names: str) -> None:
     spent[:] = [path for path in spent if not path.rpartition("/")[2].startswith(names)]
 
 
+def _frequent_words(groups: DataFrame, least: int) -> DataFrame:
+    """``place, id`` of every frequent word in its blocks; one row of a word has it and ``f``.
+
+    The id of a word is its least place.
+    """
+    same = Window.partitionBy("lang", "word")
+    summed = groups.select("place", "lang", "word", F.sum("n").over(same).alias("f"), F.min("place").over(same).alias("id"))
+    once = F.col("place") == F.col("id")
+    named = (F.when(once, F.col(c)).alias(c) for c in ("lang", "word", "f"))
+    return summed.where(F.col("f") >= least).select("place", "id", *named)
+
+
 def _frequent_groups(relation: DataFrame, length: int, least: int) -> DataFrame:
     """``place`` of every frequent group in its blocks; one row of a group has words and ``f``."""
     ids = [f"w{i}" for i in range(length)]

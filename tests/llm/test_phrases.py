@@ -86,3 +86,8 @@ def test_all_documents_against_brute_force(spark, documents):
     rows = [(r["lang"], r["text"]) for r in documents.collect()]
     got = sorted(tuple(r) for r in phrases.collocations(documents, 6).collect())
     assert got == _brute(rows, 6, 4, 2000) and len(got) > 200
+
+
+def test_slots_are_packed_without_loss():
+    for slots in ([], [-1], [0, -1, 5, 70_000, 2**31 - 1, -1]):
+        assert phrases.unpacked(phrases.packed(np.array(slots, np.int32))).tolist() == slots
