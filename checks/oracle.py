@@ -402,6 +402,119 @@ from adjusted a left join trends t using (sectorcode, kpi, pos)
 where a.age <= 39
 """
 
+
+# The moving season joins each month to its neighbours by distance and weight.
+VIEWS["year_mean"] = """
+select d, case when abs(d) = 6 then 0.5 else 1.0 end::double / 12 as w from range(-6, 7) t(d)
+"""
+VIEWS["same_month"] = """
+select f, s * y * 12 as d, w::double as w
+from (values ('short', 0, 3), ('short', 1, 2), ('short', 2, 1),
+             ('long', 0, 3), ('long', 1, 3), ('long', 2, 2), ('long', 3, 1)) t(f, y, w),
+     (values (1), (-1)) u(s) where y > 0 or s = 1
+"""
+VIEWS["ends"] = """
+select ahead, d, h.w + lost / n + (d - middle) * tilt * slope / (1 + n * (n - 1) * (n + 1) / 12.0 * slope) as w
+from henderson h, (
+  select ahead, 7 + ahead as n, (ahead - 6) / 2.0::double as middle, 4 / (pi() * 3.5 * 3.5) as slope,
+         (select coalesce(sum(w), 0) from henderson where d > ahead) as lost,
+         (select coalesce(sum((d - (ahead - 6) / 2.0::double) * w), 0) from henderson where d > ahead) as tilt
+  from range(0, 7) t(ahead))
+where d <= ahead
+"""
+VIEWS["m_start"] = """
+select sectorcode, kpi, entryperiod, row_number() over (partition by sectorcode, kpi order by entryperiod) as pos,
+       case when count(filled) over (partition by sectorcode, kpi) >= 24 then filled end as x
+from history
+"""
+
+
+def _mean_of_year(name: str, source: str, column: str) -> None:
+    """``name``: the 2x12 mean of ``column`` where all its months exist."""
+    VIEWS[name] = f"""
+select a.sectorcode, a.kpi, a.pos, sum(b.{column} * w) as mean
+from {source} a, year_mean y, {source} b
+where b.sectorcode = a.sectorcode and b.kpi = a.kpi and b.pos = a.pos + d
+group by a.sectorcode, a.kpi, a.pos having count(b.{column}) = 13
+"""
+
+
+def _season_of(name: str, source: str, kind: str, weight: str = "1.0") -> None:
+    """``name``: weighted mean of ``si`` over the same month of other years, less the nearest yearly mean."""
+    VIEWS[f"{name}_raw"] = f"""
+select a.*, s.raw from {source} a left join (
+  select a.sectorcode, a.kpi, a.pos, coalesce(
+           case when sum(w * {weight}) > 0 then sum(w * {weight} * b.si) / sum(w * {weight}) end,
+           sum(w * b.si) / sum(w)) as raw
+  from {source} a, same_month m, {source} b
+  where f = '{kind}' and b.sectorcode = a.sectorcode and b.kpi = a.kpi and b.pos = a.pos + d and b.si is not null
+  group by a.sectorcode, a.kpi, a.pos) s using (sectorcode, kpi, pos)
+"""
+    _mean_of_year(f"{name}_level", f"{name}_raw", "raw")
+    VIEWS[name] = f"""
+select r.* exclude (raw), raw - coalesce((
+    select arg_min(l.mean, (abs(l.pos - r.pos), l.pos > r.pos))
+    from {name}_level l where l.sectorcode = r.sectorcode and l.kpi = r.kpi), 0) as season
+from {name}_raw r
+"""
+
+
+def _usual_of(name: str, source: str, irregular: str) -> None:
+    """``name``: ``source`` and ``u``, ``x`` with extremes brought in by a moving deviation taken twice."""
+    VIEWS[name] = f"""
+select * exclude (irregular, spread_1, spread_2),
+  case when spread_2 is null or spread_2 = 0 or irregular is null then 1.0
+       when abs(irregular) >= 2.5 * spread_2 then 0.0
+       when abs(irregular) > 1.5 * spread_2 then 2.5 - abs(irregular) / spread_2 else 1.0 end::double as e,
+  x - coalesce(irregular * (1 - e), 0) as u
+from (select *, sqrt(avg(irregular * irregular) filter (abs(irregular) <= 2.5 * spread_1) over near) as spread_2
+  from (select *, sqrt(avg(irregular * irregular) over near) as spread_1
+    from (select *, {irregular} as irregular from {source})
+    window near as (partition by sectorcode, kpi order by entryperiod rows between 30 preceding and 30 following))
+  window near as (partition by sectorcode, kpi order by entryperiod rows between 30 preceding and 30 following))
+"""
+
+
+def _trend_of(name: str, source: str, column: str) -> None:
+    """``name``: Henderson trend of ``column``, mirrored weights at the start."""
+    VIEWS[name] = f"""
+select a.sectorcode, a.kpi, a.pos, sum(b.{column} * w) as trend
+from (select *, count({column}) over (partition by sectorcode, kpi order by pos rows between 6 preceding and 1 preceding) as behind,
+             count({column}) over (partition by sectorcode, kpi order by pos rows between 1 following and 6 following) as ahead
+      from {source}) a, ends h, {source} b
+where a.{column} is not null and b.{column} is not null and b.sectorcode = a.sectorcode and b.kpi = a.kpi
+  and ((a.ahead < 6 and h.ahead = a.ahead and b.pos = a.pos + d)
+    or (a.ahead = 6 and h.ahead = a.behind and b.pos = a.pos - d))
+group by a.sectorcode, a.kpi, a.pos
+"""
+
+
+_mean_of_year("m_mean1", "m_start", "x")
+VIEWS["m_si1"] = "select m.*, x - mean as si from m_start m left join m_mean1 using (sectorcode, kpi, pos)"
+VIEWS["m_middle"] = """
+select *, median(si) over (partition by sectorcode, kpi, substr(entryperiod, 6, 2)) as middle from m_si1
+"""
+_usual_of("m_bent", "m_middle", "si - middle")
+VIEWS["m_clean"] = "select * exclude (u, middle) from m_bent"
+_season_of("m_season1b", "m_clean", "short", "b.e")
+VIEWS["m_again"] = "select * exclude (e) from m_season1b"
+_usual_of("m_usual1", "m_again", "si - season")
+_mean_of_year("m_mean2", "m_usual1", "u")
+VIEWS["m_si2"] = """
+select m.* exclude (si, season, e), u - mean as si from m_usual1 m left join m_mean2 using (sectorcode, kpi, pos)
+"""
+_season_of("m_season2", "m_si2", "short")
+VIEWS["m_sa2"] = "select *, u - season as sa from m_season2"
+_trend_of("m_trend2", "m_sa2", "sa")
+VIEWS["m_rest"] = """
+select m.* exclude (si, u, sa), trend from m_sa2 m left join m_trend2 using (sectorcode, kpi, pos)
+"""
+_usual_of("m_usual2", "m_rest", "x - season - trend")
+VIEWS["m_si3"] = "select * exclude (season, trend), u - trend as si from m_usual2"
+_season_of("m_season3", "m_si3", "long")
+VIEWS["m_adjusted"] = "select *, x - season as adjusted, u - season as smooth from m_season3"
+_trend_of("m_trend3", "m_adjusted", "smooth")
+
 # ----------------------------------------------------------------- elements
 VIEWS["fiscal_years"] = """
 select division, finyear, min(startdate) as startdate, max(enddate) as enddate
@@ -797,6 +910,10 @@ select entryperiod, sectorcode, kpi, unit, cast(population as double) as populat
 CHECKS["seasonal_trend"] = """
 select entryperiod, sectorcode, kpi, round(trendvalue, 4) as trendvalue from series
 """
+CHECKS["seasonal_moving"] = """
+select entryperiod, sectorcode, kpi, round(adjusted, 4) as deseasonalizedvalue, round(trend, 4) as trendvalue
+from m_adjusted left join m_trend3 using (sectorcode, kpi, pos)
+"""
 CHECKS["legacy_period"] = """
 select case when entryperiod < '1997-01' then '2016-12' else entryperiod end as entryperiod,
        count(*) as measures

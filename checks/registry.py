@@ -16,6 +16,7 @@ from sectorgauge.operators import (
     divisions,
     elements,
     ledger,
+    moving_season,
     outliers,
     payments,
     power,
@@ -381,6 +382,14 @@ def seasonal_trend(c: Chain) -> DataFrame:
     return rounded(c.series.select(*columns), trendvalue=4)
 
 
+@query("seasonal_moving")
+def seasonal_moving(c: Chain) -> DataFrame:
+    history = seasonal.last_months(_filled(c), c.settings.series_history)
+    adjusted = moving_season.deseasonalize_moving(history, c.settings)
+    columns = ["entryperiod", "sectorcode", "kpi", "deseasonalizedvalue", "trendvalue"]
+    return rounded(adjusted.select(*columns), deseasonalizedvalue=4, trendvalue=4)
+
+
 # -------------------------------------------------------------------- statements
 @query("legacy_period")
 def legacy_period(c: Chain) -> DataFrame:

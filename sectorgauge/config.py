@@ -65,6 +65,7 @@ class Settings:
     series_history: int = 60
     series_output: int = 39
     series_min_points: int = 24
+    moving_season: bool = False
 
     # serving
     sectors: tuple[str, ...] = PUBLISHED_SECTORS

@@ -7,6 +7,8 @@ per calendar month; that bounds every window here.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,9 +148,17 @@ def deseasonalize(series: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def seasonal_series(points: DataFrame, settings: Settings) -> DataFrame:
-    """Published series with seasonally adjusted value and trend, latest months only."""
+def seasonal_series(
+    points: DataFrame,
+    settings: Settings,
+    adjust: Callable[[DataFrame, Settings], DataFrame] = deseasonalize,
+) -> DataFrame:
+    """Published series with seasonally adjusted value and trend, latest months only.
+
+    ``adjust`` is ``deseasonalize`` for a season that stays the same, or
+    ``moving_season.deseasonalize_moving``.
+    """
     series = interpolate(calendar_series(published_series(points, settings)))
     history = last_months(series, settings.series_history)
-    adjusted = deseasonalize(history, settings)
+    adjusted = adjust(history, settings)
     return last_months(adjusted, settings.series_output).select(*OUTPUT_COLUMNS)

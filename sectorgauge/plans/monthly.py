@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from sectorgauge.config import Settings
 from sectorgauge.operators.company_kpis import company_kpis
 from sectorgauge.operators.divisions import peer_profile, sector_profile
+from sectorgauge.operators.moving_season import deseasonalize_moving
 from sectorgauge.operators.outliers import flag_monthly_outliers, with_peer_profile
-from sectorgauge.operators.seasonal import seasonal_series
+from sectorgauge.operators.seasonal import deseasonalize, seasonal_series
 from sectorgauge.operators.sector_kpis import densify, sector_kpis, until_publishable
 from sectorgauge.sources.stages import stage
 
@@ -29,6 +30,10 @@ def sector_points(flagged: DataFrame, lookup: DataFrame, settings: Settings) ->
 
 
 def sector_series(flagged: DataFrame, lookup: DataFrame, settings: Settings) -> DataFrame:
-    """Published series with seasonal adjustment and trend."""
+    """Published series with seasonal adjustment and trend.
+
+    ``Settings.moving_season`` lets the season change from year to year.
+    """
+    adjust = deseasonalize_moving if settings.moving_season else deseasonalize
     points = stage(sector_points(flagged, lookup, settings), "dense-points")
-    return seasonal_series(points, settings).distinct()
+    return seasonal_series(points, settings, adjust).distinct()
