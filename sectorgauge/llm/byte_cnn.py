@@ -6,9 +6,10 @@ its chunks' responses, and a logistic unit makes one probability of them. The em
 of a byte and the weights of a filter at one offset are one table, so a response is a
 sum of table rows.
 
-The network is fitted on at most ``TRAIN_ROWS`` labelled documents of each class, on
-``TRAIN_CHUNKS`` chunks of each, chosen by hash; everything else covers all rows. Which
-rows may be used is the caller's choice. Scores come from the text's bytes alone.
+The network is fitted on at most ``TRAIN_ROWS`` labelled documents of each class, chosen
+by hash of the id, over their whole texts; everything else covers all rows. An id and
+label that occur more than once count once, with their smallest text, and rows without
+an id are not learned from. Which rows may be used is the caller's choice. Scores come from the text's bytes alone.
 
 Null and empty texts are one chunk of padding and get a score like any other. Repeated
 rows are scored one by one. With labels of one class only, or none, the score is the
@@ -30,7 +31,6 @@ from sectorgauge.llm.common import checksum_fold, text_of
 WIDTH, FILTERS = 6, 24
 CHUNK, STEP = 512, 448
 TRAIN_ROWS = 1500
-TRAIN_CHUNKS = 3
 EPOCHS, RATE, BATCH = 8, 0.02, 32
 CUT = 0.3
 #: Bytes whose responses are held at once.
@@ -153,28 +153,25 @@ def fit(documents: list[tuple[list[bytes], int]], seed: int = 7) -> Network:
 # ---------------------------------------------------------------- on Spark
 
 
-def training_chunks(
-    labelled: DataFrame, rows: int = TRAIN_ROWS, chunks: int = TRAIN_CHUNKS
-) -> list[tuple[list[bytes], int]]:
-    """Chunks and label of at most ``rows`` documents of each class of ``text, label``.
+def training_chunks(docs: DataFrame, known: DataFrame, rows: int = TRAIN_ROWS) -> list[tuple[list[bytes], int]]:
+    """All chunks and the label of at most ``rows`` of ``docs`` of each class.
 
-    Documents are chosen by hash, and so are the places of their chunks. The driver gets
-    ``2 * rows`` times ``chunks`` pieces of ``CHUNK`` characters, whatever the input.
+    ``known`` has ``labelled`` (an id) and ``label``. Ids are chosen first, from the id
+    columns alone, so no text is shuffled to find them; then the chosen ids, at most
+    ``2 * rows``, are broadcast to fetch their texts.
     """
-    h = F.xxhash64("text", "label")
-    length = F.length("text")
-    pieces = [
-        F.substr("text", (F.pmod(F.xxhash64("text", F.lit(k)), F.greatest(length - CHUNK, F.lit(1))) + 1).cast("int"), F.lit(CHUNK))
-        for k in range(chunks)
+    spark = docs.sparkSession
+    ids = docs.select("doc_id").join(known, F.col("doc_id") == F.col("labelled")).select("labelled", "label").distinct()
+    order = F.xxhash64(F.col("labelled").cast("string"))
+    chosen = [
+        (r["labelled"], label)
+        for label in (0, 1)
+        for r in ids.where(F.col("label") == label).orderBy(order, "labelled").limit(rows).collect()
     ]
-    slim = labelled.where("label is not null").select(
-        "label", h.alias("h"), F.array_distinct(F.array(*pieces)).alias("pieces")
-    )
-    found = []
-    for label in (0, 1):
-        picked = slim.where(F.col("label") == label).orderBy("h", "pieces").limit(rows).collect()
-        found += [([p.encode() for p in r["pieces"]], label) for r in picked]
-    return found
+    wanted = F.broadcast(spark.createDataFrame(chosen, "labelled long, label int"))
+    texts = docs.select("doc_id", text_of().alias("text")).join(wanted, F.col("doc_id") == F.col("labelled"))
+    found = {(r["labelled"], r["label"]): r["text"].encode() for r in texts.groupBy("labelled", "label").agg(F.min("text").alias("text")).collect()}
+    return [([text[s : s + CHUNK] for s in chunk_starts(len(text)).tolist()], key[1]) for key in chosen if (text := found.get(key)) is not None]
 
 
 SCORES = "doc_id long, held_out boolean, score double, predicted int"
@@ -203,12 +200,6 @@ def score_documents(docs: DataFrame, net: Network, held_out: Column) -> DataFram
 def classify_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """Learn ``labels.quality`` outside fold 0 of five, score all documents."""
     fold = F.coalesce(checksum_fold(F.col("doc_id")), F.lit(1))
-    known = labels.select(F.col("doc_id").alias("labelled"), F.col("quality").cast("int").alias("label"))
-    train = (
-        docs.where(fold != 0)
-        .select("doc_id", text_of().alias("text"))
-        .join(known.where("label in (0, 1)"), F.col("doc_id") == F.col("labelled"))
-        .select("text", "label")
-    )
-    net = fit(training_chunks(train, rows))
+    known = labels.select(F.col("doc_id").cast("long").alias("labelled"), F.col("quality").cast("int").alias("label"))
+    net = fit(training_chunks(docs.where(fold != 0), known.where("label in (0, 1)"), rows))
     return score_documents(docs, net, fold == 0)
