@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sectorgauge.sources.stages import stage
+
 #: A word is a longest run of characters outside this ASCII white space.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Files whose numbers may be broadcast (a path each); more are joined by shuffle.
+BROADCAST_FILES = 20_000
+#: Rows of one file that a row key tells apart: 2 to this power.
+ROW_BITS = 40
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -34,3 +41,34 @@ def words_of(text: Column) -> Column:
 def checksum_fold(doc_id: Column, folds: int = 5) -> Column:
     """Fold of a document: crc32 of its id written as text."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
+
+
+def _places(table: DataFrame, columns: tuple[str | Column, ...]) -> DataFrame:
+    """The named columns with ``row_file`` and ``row_place``: the file of a row and its place in it."""
+    meta = table.metadataColumn("_metadata")
+    return table.select(*columns, meta["file_path"].alias("row_file"), meta["row_index"].alias("row_place"))
+
+
+def with_row_keys(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """``row_key`` and the named columns: a key of its own for every row, the same in every read.
+
+    The key is the number of the row's file and its place there, so rows that agree in
+    ``doc_id``, or in everything, are told apart without a copy of the table. ``docs`` has to
+    be a Parquet table as read; any other is stored first. Only the file numbers move.
+    """
+    try:
+        placed = _places(docs, columns)
+    except AnalysisException:
+        placed = _places(stage(docs.select(*columns), "keyed"), columns)
+    files = placed.select("row_file").distinct()
+    files = files.select(
+        F.col("row_file").alias("numbered_file"),
+        (F.row_number().over(Window.orderBy("row_file")) - 1).cast("long").alias("file_number"),
+    )
+    files = stage(files, "files")
+    if files.count() <= BROADCAST_FILES:
+        files = F.broadcast(files)
+    key = F.shiftleft("file_number", ROW_BITS) + F.col("row_place")
+    return placed.join(files, F.col("row_file") == F.col("numbered_file")).select(
+        key.alias("row_key"), *placed.columns[:-2]
+    )

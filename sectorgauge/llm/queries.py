@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sectorgauge.llm import byte_cnn, centroids, chat, decontaminate, mixing, phrases, ppm, quality_rules, shingles, string_kernel, suffixes, token_files, urls
-from sectorgauge.llm.common import checksum_fold, read_table, text_of
+from sectorgauge.llm.common import checksum_fold, read_table, with_row_keys
 from sectorgauge.llm.oracle import ORACLE_SQL
 from sectorgauge.sources.stages import stage, stage_root
 
@@ -112,32 +112,44 @@ def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- stages of the pipeline
 
 
-def without(docs: DataFrame, key: Column, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose key is in the one column of ``dropped``."""
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``row_key`` is in the one column of ``dropped``."""
     dropped = stage(dropped.toDF("dropped_key").distinct(), "dropped")
     if dropped.count() <= shingles.BROADCAST_IDS:
         dropped = F.broadcast(dropped)
-    return docs.join(dropped, key == dropped["dropped_key"], "left_anti")
+    keyed = with_row_keys(docs, F.struct(*(F.col(c) for c in docs.columns)).alias("row"))
+    kept = keyed.join(dropped, F.col("row_key") == F.col("dropped_key"), "left_anti")
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; equal texts are judged alike."""
-    key = F.xxhash64(text_of())
-    stats = stage(quality_rules.text_statistics(docs.select("text", key.alias("key")), "key"), "stats")
+    stats = stage(quality_rules.text_statistics(with_row_keys(docs, "text"), "row_key"), "stats")
     model = quality_rules.fit_label_model(stats)
-    return without(docs, key, stats.where(~quality_rules.kept(model)).select("key"))
+    return without(docs, stats.where(~quality_rules.kept(model)).select("row_key"))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    found = shingles.jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT)
-    return without(docs, F.col("doc_id"), found.where("component_id <> doc_id").select("doc_id"))
+    """The row with the smallest id of each group of near copies, a null id after all others.
+
+    Of rows that share the smallest id the first one stays. Texts without words stay.
+    """
+    keyed = with_row_keys(docs, "doc_id", "text")
+    found = shingles.jaccard_components(keyed.select(F.col("row_key").alias("doc_id"), "text"), NEAR_WORDS, NEAR_PERCENT)
+    found = stage(found.select(F.col("doc_id").alias("row_key"), F.col("component_id").alias("grp")), "near-rows")
+    shared = found.groupBy("grp").count().where("count > 1").select("grp")
+    members = found.join(shared, "grp").join(keyed.select("row_key", "doc_id"), "row_key")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
+    first = members.groupBy("grp").agg(F.min(place).getField("row_key").alias("first"))
+    copies = members.join(first, "grp").where(F.col("row_key") != F.col("first"))
+    return without(docs, copies.select("row_key"))
 
 
 def drop_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a test item."""
-    leaks = decontaminate.find_leaks(docs, read_table(spark, sf_dir, "benchmark"))
-    return without(docs, F.col("doc_id"), leaks.select("doc_id"))
+    keyed = with_row_keys(docs, "text").select(F.col("row_key").alias("doc_id"), "text")
+    leaks = decontaminate.find_leaks(keyed, read_table(spark, sf_dir, "benchmark"))
+    return without(docs, leaks.select("doc_id"))
 
 
 def mix_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
