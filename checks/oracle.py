@@ -883,6 +883,7 @@ select f.entryperiod, s.sectorcode, f.aggregate, round(quantile_disc(f.value, 0.
 from flagged_kpis f join sectors s on s.division = f.division
 where f.aggregate like 'D2C%' group by f.entryperiod, s.sectorcode, f.aggregate
 """
+CHECKS["sector_kpi_exact_median"] = CHECKS["sector_kpi_median"]
 CHECKS["sector_positive_cash"] = f"""
 select {_POINT} from sector_means where kpi like 'positive_cash_flow%'
 """
@@ -947,6 +948,7 @@ _CELL = (
     " population, kpi, unit"
 )
 CHECKS["eol_cube_median"] = f"select {_CELL} from median_cells"
+CHECKS["eol_cube_exact_median"] = CHECKS["eol_cube_median"]
 CHECKS["eol_cube_mean"] = f"select {_CELL} from mean_cells"
 CHECKS["eol_latest_period"] = f"select {_CELL} from latest_cells"
 CHECKS["eol_publishable"] = f"select {_CELL} from median_cells where population > 3"

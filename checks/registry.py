@@ -326,6 +326,18 @@ def sector_kpi_median(c: Chain) -> DataFrame:
     return rounded(sector_kpis.sector_average(rows, c.sectors, "median"), value=4)
 
 
+@query("sector_kpi_exact_median")
+def sector_kpi_exact_median(c: Chain) -> DataFrame:
+    rows = c.flagged_kpis.filter(F.col("aggregate").isin(*D2C_KPIS)).select(
+        "division",
+        "entryperiod",
+        F.col("aggregate").alias("kpi"),
+        F.lit("days").alias("unit"),
+        "value",
+    )
+    return rounded(sector_kpis.sector_average(rows, c.sectors, "exact_median"), value=4)
+
+
 @query("revenue_yoy")
 def revenue_yoy(c: Chain) -> DataFrame:
     pairs = sector_kpis.revenue_year_on_year(c.flagged_kpis)
@@ -455,6 +467,15 @@ def eol_cube_median(c: Chain) -> DataFrame:
     return rounded(c.cells, value=4)
 
 
+@query("eol_cube_exact_median")
+def eol_cube_exact_median(c: Chain) -> DataFrame:
+    members = ratio_cube.ratio_members(
+        c.flagged_ratios, divisions.cube_profile(c.division_lookup)
+    )
+    cells = ratio_cube.ratio_cube(members, "exact_median")
+    return rounded(ratio_cube.until_publishable(cells, c.settings), value=4)
+
+
 @query("eol_cube_mean")
 def eol_cube_mean(c: Chain) -> DataFrame:
     members = ratio_cube.ratio_members(

@@ -56,6 +56,9 @@ class Settings:
     element_start: str = "2016-12"
     fin_year_max: int | None = 2019
 
+    # peer medians of the ratios: by counts, or a sketch that combines in one pass
+    exact_median: bool = False
+
     # sector aggregation
     cash_position_floor: float = 10000.0
     aggregate_lag_months: int = 1

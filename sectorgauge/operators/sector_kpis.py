@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from sectorgauge.config import Settings
 from sectorgauge.functions.columns import amount, units, is_finite, month_number
+from sectorgauge.operators.selection import exact_percentile
+from sectorgauge.sources.stages import stage
 
 ALL = "ALL"
 SERIES_COLUMNS = ["entryperiod", "sectorcode", "kpi", "value", "population", "unit"]
@@ -65,15 +67,17 @@ def sector_average(rows: DataFrame, sectors: DataFrame, how: str = "mean") -> Da
     """Mean or median of ``value`` per month and KPI, per sector and over all.
 
     ``average`` is accepted as another word for ``mean``. The median is the lower
-    middle value, from a mergeable sketch.
+    middle value, from a mergeable sketch; ``exact_median`` picks it by counts.
     """
+    members = rows.filter(is_finite(F.col("value"))).join(sectors, "division")
+    if how == "exact_median":
+        return _exact_medians(members)
     if how in ("mean", "average"):
         value = F.avg("value")
     elif how == "median":
         value = F.percentile_approx("value", 0.5)
     else:
         raise ValueError(f"unknown aggregate: {how}")
-    members = rows.filter(is_finite(F.col("value"))).join(sectors, "division")
     return _by_sector(
         members,
         ["entryperiod", "kpi", "unit"],
@@ -82,6 +86,17 @@ def sector_average(rows: DataFrame, sectors: DataFrame, how: str = "mean") -> Da
     ).select(*SERIES_COLUMNS)
 
 
+def _exact_medians(members: DataFrame) -> DataFrame:
+    """Exact lower middle value per sector and over all."""
+    own = F.struct(F.lit(0).alias("over_all"), F.col("sectorcode").alias("sectorcode"))
+    every = F.struct(F.lit(1).alias("over_all"), F.lit(ALL).alias("sectorcode"))
+    by = ["entryperiod", "kpi", "unit"]
+    placed = members.select(*by, "value", F.inline(F.array(own, every)))
+    keys = [*by, "over_all", "sectorcode"]
+    medians = exact_percentile(stage(placed, "sector-rows"), keys, "value")
+    return medians.select(*SERIES_COLUMNS)
+
+
 def revenue_year_on_year(flagged: DataFrame) -> DataFrame:
     """Revenue next to the same month a year earlier, where both exist.
 

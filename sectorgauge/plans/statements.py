@@ -19,8 +19,12 @@ def flagged_ratios(elements: DataFrame, lookup: DataFrame, settings: Settings) -
 
 
 def cube_cells(
-    flagged: DataFrame, lookup: DataFrame, settings: Settings, how: str = "median"
+    flagged: DataFrame, lookup: DataFrame, settings: Settings, how: str | None = None
 ) -> DataFrame:
-    """Published cells, up to the last publishable month."""
+    """Published cells, up to the last publishable month.
+
+    Medians unless ``how`` says otherwise, exact ones with ``Settings.exact_median``.
+    """
+    how = how or ("exact_median" if settings.exact_median else "median")
     members = ratio_members(flagged, cube_profile(lookup))
     return until_publishable(ratio_cube(members, how), settings)
