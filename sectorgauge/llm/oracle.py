@@ -57,36 +57,73 @@ FROM ordered
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}', '{h}{p}')" for v, h, p in urls.RULES)
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _rest(url: str) -> str:
+    return f"CASE WHEN contains({url}, '://') THEN substr({url}, strpos({url}, '://') + 3) ELSE '' END"
+
+
+def _path(url: str) -> str:
+    return rf"regexp_extract({_rest(url)}, '(?s)^[^/?#]*([^?#]*)', 1)"
+
+
+def _resource(url: str) -> str:
+    parts = rf"string_split(regexp_replace({_path(url)}, '(/\.{{1,2}})$', '\1/'), '/')"
+    solved = (
+        f"list_reduce(list_transform({parts}, lambda s: [s]), lambda done, s: CASE WHEN s[1] = '.' THEN done"
+        " WHEN s[1] = '..' THEN done[:greatest(len(done) - 1, 1)] ELSE done || s END)"
+    )
+    return rf"""CASE WHEN contains({url}, '://') THEN
+      translate(regexp_extract({url}, '(?s)^(.*?://[^/?#]*)', 1), {_LOWER})
+      || coalesce(nullif(array_to_string({solved}, '/'), ''), '/')
+      || regexp_extract({_rest(url)}, '(?s)^[^?#]*(\?[^#]*)', 1) ELSE {url} END"""
+
+
+def _ruled(url: str) -> str:
+    return rf"""translate(regexp_extract({_rest(url)}, '(?s)^[^/?#]*'), {_LOWER}) AS host, {_path(url)} AS path"""
+
+
+_BEST = """(SELECT max({'size': length(rule), 'allow': verdict = 'allow', 'rule': rule}) FROM rules r
+     WHERE (s.host = rule_host OR ends_with(s.host, '.' || rule_host)) AND starts_with(s.path, rule_path)) AS best"""
+
 _URLS = rf"""
 WITH RECURSIVE rules(verdict, rule_host, rule_path, rule) AS (VALUES {_RULES}),
-parsed AS (
-  SELECT page_id, url, html, regexp_replace(url, '(?s)#.*$', '') AS node,
-    CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
-  FROM pages
-), split AS (
-  SELECT page_id, url, html, node,
-    translate(regexp_extract(rest, '(?s)^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path
-  FROM parsed
+split AS (
+  SELECT page_id, html, url, {_resource("url")} AS node, {_ruled("url")} FROM pages
 ), ruled AS (
-  SELECT s.page_id, s.url, s.node, s.host, s.path,
-    (SELECT max({{'size': length(rule), 'allow': verdict = 'allow', 'rule': rule}}) FROM rules r
-     WHERE (s.host = rule_host OR ends_with(s.host, '.' || rule_host)) AND starts_with(s.path, rule_path)) AS best
-  FROM split s
+  SELECT s.page_id, s.node, s.host, s.path, {_BEST} FROM split s
 ), tags AS (
-  SELECT url, node, unnest(regexp_extract_all(coalesce(html, ''), '(?is)<(?:link|meta)\b[^>]*>')) AS tag
-  FROM split WHERE url LIKE '%://%'
+  SELECT node, unnest(regexp_extract_all(coalesce(html, ''), '(?is)<(?:link|meta)\b[^>]*>')) AS tag
+  FROM split WHERE contains(url, '://')
+), found AS (
+  SELECT node, regexp_replace(CASE
+    WHEN regexp_matches(tag, '(?is)^<link.*\brel\s*=\s*["'']?canonical\b')
+      THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+    WHEN regexp_matches(tag, '(?is)^<meta.*\bhttp-equiv\s*=\s*["'']?refresh\b')
+      THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1) ELSE '' END,
+    '(?i)&(amp|#38|#x26);', '&', 'g') AS link
+  FROM tags
+), seen AS (
+  SELECT node, CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+    WHEN starts_with(link, '//') THEN regexp_extract(node, '(?s)^(.*?)://', 1) || ':' || link
+    WHEN starts_with(link, '/') THEN regexp_extract(node, '(?s)^(.*?://[^/?#]*)', 1) || link
+    WHEN starts_with(link, '?') THEN regexp_extract(node, '(?s)^([^?]*)', 1) || link
+    WHEN starts_with(link, '#') THEN node
+    WHEN NOT regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:')
+      THEN regexp_extract(node, '(?s)^(.*?://[^?#]*/)', 1) || link END AS target
+  FROM found WHERE link <> ''
 ), links AS (
-  SELECT node, regexp_replace(regexp_extract(tag, '(?is)(?:\bhref|\burl)\s*=\s*["'']?([^"''\s>;]+)', 1), '(?s)#.*$', '') AS target
-  FROM tags WHERE regexp_matches(tag, '(?is)rel\s*=\s*["'']?canonical|http-equiv\s*=\s*["'']?refresh')
+  SELECT node, {_resource("target")} AS target FROM seen WHERE target IS NOT NULL
 ), near AS (
-  SELECT node AS a, target AS b FROM links WHERE target LIKE '%://%'
-  UNION SELECT target, node FROM links WHERE target LIKE '%://%'
+  SELECT node AS a, target AS b FROM links UNION SELECT target, node FROM links
 ), reach AS (
   SELECT a, a AS b FROM near UNION SELECT r.a, n.b FROM reach r JOIN near n ON r.b = n.a
+), ends AS (
+  SELECT s.v, {_BEST} FROM (SELECT a AS v, {_ruled("a")} FROM (SELECT DISTINCT a FROM near)) s
 ), opinions AS (
-  SELECT r.a, bool_or(u.best.allow) AS allowed
-  FROM reach r JOIN ruled u ON u.node = r.b WHERE u.best IS NOT NULL GROUP BY r.a
+  SELECT r.a, bool_or(e.best.allow) AS allowed
+  FROM reach r JOIN ends e ON e.v = r.b WHERE e.best IS NOT NULL GROUP BY r.a
 )
 SELECT page_id, host, path, best.rule AS rule,
   CASE WHEN best.allow THEN 'allow' WHEN NOT best.allow THEN 'block'

@@ -6,6 +6,9 @@ common canonical address are aliases: connected components over those links carr
 block to every alias without a rule of its own. An explicit allow goes first: an alias
 set with an allowed member is allowed, and a page's own rule always holds for it.
 
+Every canonical link and refresh of a page counts, and both ends are compared as
+resources: case of the host, dot segments, ``&amp;`` and fragments make no difference.
+
 A null url, or one without ``://``, has an empty host and path, fits no rule, and is
 allowed. Repeated rows are judged alike. Only ``page_id``, ``url`` and ``html`` are
 read, so other columns may have any name.
@@ -85,38 +88,62 @@ def judge_by_rule(pages: DataFrame, rules: DataFrame) -> DataFrame:
     return joined.select(*pages.columns, best["rule"].alias("rule"), best["allow"].alias("rule_allows"))
 
 
-def _resource(url: Column) -> Column:
-    """The address without its fragment, which no server sees."""
-    return F.regexp_replace(url, r"(?s)#.*$", "")
+def _without_dots(path: Column) -> Column:
+    """The path with ``.`` and ``..`` segments resolved; at least ``/``."""
+    parts = F.split(F.regexp_replace(path, r"/\.{1,2}$", "$0/"), "/", -1)
+    solved = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda done, part: F.when(part == ".", done)
+        .when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+        .otherwise(F.concat(done, F.array(part))),
+    )
+    joined = F.array_join(solved, "/")
+    return F.when(joined == "", "/").otherwise(joined)
+
+
+def resource_of(url: Column) -> Column:
+    """One form of an address for page and link: what a server would see as the same.
+
+    A-Z of scheme and host are lower-cased, dot segments resolved, an empty path is ``/``
+    and the fragment goes. Without ``://`` the text is left as it is.
+    """
+    site = ascii_lower(F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1))
+    query = F.regexp_extract(_after_scheme(url), r"(?s)^[^?#]*(\?[^#]*)", 1)
+    return F.when(F.locate("://", url) > 0, F.concat(site, _without_dots(path_of(url)), query)).otherwise(url)
 
 
-def _absolute(link: Column, url: Column) -> Column:
-    """A link as an absolute address, as seen from ``url``."""
-    scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
-    site = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*(?:/(?:[^?#]*/)?)?)", 1)
+def _absolute(link: Column, base: Column) -> Column:
+    """A link as an absolute address, as seen from a page's resource; null for ``mailto:`` and the like."""
+    scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
+    site = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    folder = F.regexp_extract(base, r"(?s)^(.*?://[^?#]*/)", 1)
+    page = F.regexp_extract(base, r"(?s)^([^?]*)", 1)
     return (
-        F.when(link.contains("://"), link)
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
         .when(link.startswith("/"), F.concat(site, link))
-        .otherwise(F.concat(folder, link))
+        .when(link.startswith("?"), F.concat(page, link))
+        .when(link.startswith("#"), base)
+        .when(~link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(folder, link))
     )
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """``node, target``: redirects and canonical links between addresses."""
+    """``node, target``: all redirects and canonical links of a page, between resources."""
     html = F.coalesce(F.col("html"), F.lit(""))
-    found = F.array(F.regexp_extract(html, _LINK, 1), F.regexp_extract(html, _REFRESH, 1))
+    found = F.concat(*(F.regexp_extract_all(html, F.lit(tag), F.lit(1)) for tag in (_LINK, _REFRESH)))
     links = pages.where(F.col("url").contains("://")).select(
-        "url", F.explode(F.filter(found, lambda x: x != "")).alias("link")
+        resource_of(F.col("url")).alias("node"), F.explode(F.array_distinct(found)).alias("link")
     )
-    target = _resource(_absolute(F.col("link"), F.col("url")))
-    return links.select(_resource(F.col("url")).alias("node"), target.alias("target"))
+    link = F.regexp_replace("link", r"(?i)&(amp|#38|#x26);", "&")
+    targets = links.select("node", resource_of(_absolute(link, F.col("node"))).alias("target"))
+    return targets.where(F.col("target").isNotNull())
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """``page_id, host, path, rule, verdict`` of every row."""
-    slim = pages.select("page_id", "url", _resource(F.col("url")).alias("node"))
+    slim = pages.select("page_id", "url", resource_of(F.col("url")).alias("node"))
     edges = stage(alias_edges(pages), "aliases")
     judged = judge_by_rule(slim, rules)
     aliases = connected_components(edges, "node", "target")

@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 
 from sectorgauge.llm import mixing, quality_rules, token_files, urls
 from sectorgauge.llm.components import connected_components
+from sectorgauge.llm.oracle import ORACLE_SQL
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -110,6 +112,31 @@ def test_aliases_carry_a_block_and_allow_goes_first(spark):
     assert urls.filter_urls(frame.where("page_id > 99"), urls.rules_frame(spark)).count() == 0
 
 
+LINKED = [
+    (1, "http://ok.com/1", '<link rel=canonical href="http://fine.com/"><link rel=canonical href="http://x.net/1">'),
+    (2, "http://ok.com/8", None), (3, "http://z.com/", '<link rel="canonical" href="http://OK.com/8">'),
+    (4, "http://OK.com/8#top", '<meta http-equiv="refresh" content="0; url=HTTP://X.net/8">'),
+    (5, "http://q.com/a?x=1&y=2", None), (6, "http://r.com/", '<link href="http://q.com/a?x=1&amp;y=2" rel="canonical">'),
+    (7, "http://s.com", '<link rel="canonical" href="http://q.com/b/.././a?x=1&y=2"><link rel="canonical" href="//x.net">'),
+    (8, "http://t.com/a/b?c", '<link rel="canonical" href="../../..">'), (9, "http://T.com", '<link rel="canonical" href="//x.net/9">'),
+    (10, "http://u.com/go?to=1", '<link rel="canonical" href="/go?to=http://x.net/">'), (11, "http://u.com/mail", '<link rel="canonical" href="mailto:a@x.net">'),
+    (12, "http://v.com/p?q#r", '<link rel="canonical" href="?z">'), (13, "http://v.com/p?z", '<meta http-equiv=refresh content="0;url=http://x.net/13">'),
+    (14, "http://w.com/", '<a href="http://x.net/">x</a><link rel="stylesheet" href="http://x.net/">'), (15, None, '<link rel="canonical" href="http://x.net/">'),
+    (16, "http://w.com/16", "<p>" + "long text " * 200_000 + '<link rel="canonical" href="http://x.net/16">'),
+]
+
+
+def test_every_link_counts_in_one_form(spark):
+    """Several tags, host case, entities, dot segments, relative links, very long pages; the same by SQL."""
+    frame = spark.createDataFrame(LINKED, "page_id long, url string, html string")
+    rows = urls.filter_urls(frame, urls.rules_frame(spark)).collect()
+    assert {r["page_id"] for r in rows if r["verdict"] == "block"} == {1, 2, 3, 4, 5, 6, 7, 8, 9, 12, 13, 16}
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, ?, ?)", LINKED)
+    assert Counter(map(tuple, rows)) == Counter(con.execute(ORACLE_SQL["op6_url_filter"]).fetchall())
+
+
 def _statistics(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
