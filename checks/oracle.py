@@ -403,6 +403,48 @@ where a.age <= 39
 """
 
 
+# Weekdays are counted day by day, and six effects eliminated one after the other.
+VIEWS["t_days"] = """
+select strftime(day, '%Y-%m') as month, d,
+       (count(*) filter (isodow(day) = d) - count(*) filter (isodow(day) = 7))::double as x
+from (select unnest(generate_series(cast(min(entryperiod) || '-01' as timestamp) - interval 13 month,
+             cast(max(entryperiod) || '-01' as timestamp) + interval 1 month, interval 1 day)) as day
+      from history), range(1, 7) t(d)
+group by all
+"""
+VIEWS["t_dx"] = """
+select strftime(cast(month || '-01' as timestamp) + to_months(behind::int), '%Y-%m') as month, d, sum(sign * x) as x
+from t_days, (values (0, 1), (1, -1), (12, -1), (13, 1)) t(behind, sign)
+group by all having count(*) = 4
+"""
+VIEWS["t_dy"] = """
+select sectorcode, kpi, entryperiod as month,
+       filled - lag(filled) over w - lag(filled, 12) over w + lag(filled, 13) over w as y
+from history window w as (partition by sectorcode, kpi order by entryperiod)
+"""
+VIEWS["t_step0"] = """
+select sectorcode, kpi, a.d as i, b.d as j, sum(a.x * b.x) as v
+from t_dy join t_dx a using (month) join t_dx b using (month) where y is not null
+group by sectorcode, kpi, a.d, b.d
+union all
+select sectorcode, kpi, d, 7, sum(x * y) from t_dy join t_dx using (month) where y is not null
+group by sectorcode, kpi, d
+"""
+for _k in range(1, 7):
+    VIEWS[f"t_step{_k}"] = f"""
+    select sectorcode, kpi, i, j,
+           case when i = {_k} then v / top else v - in_column * in_row / top end as v
+    from (
+      select *, max(case when i = {_k} and j = {_k} and v > 1e-6 then v end) over (partition by sectorcode, kpi) as top,
+             max(case when j = {_k} then v end) over (partition by sectorcode, kpi, i) as in_column,
+             max(case when i = {_k} then v end) over (partition by sectorcode, kpi, j) as in_row
+      from t_step{_k - 1})
+    """
+VIEWS["t_part"] = """
+select sectorcode, kpi, month as entryperiod, sum(v * x) as part
+from t_step6 join t_days on d = i where j = 7
+group by all having count(v) = 6
+"""
 # The moving season joins each month to its neighbours by distance and weight.
 VIEWS["year_mean"] = """
 select d, case when abs(d) = 6 then 0.5 else 1.0 end::double / 12 as w from range(-6, 7) t(d)
@@ -911,8 +953,13 @@ select entryperiod, sectorcode, kpi, unit, cast(population as double) as populat
 CHECKS["seasonal_trend"] = """
 select entryperiod, sectorcode, kpi, round(trendvalue, 4) as trendvalue from series
 """
+CHECKS["trading_day_effects"] = """
+select entryperiod, sectorcode, kpi, round(coalesce(part, 0), 4) as tradingday,
+       round(filled - coalesce(part, 0), 4) as filled
+from history left join t_part using (sectorcode, kpi, entryperiod)
+"""
 CHECKS["seasonal_moving"] = """
-select entryperiod, sectorcode, kpi, round(adjusted, 4) as deseasonalizedvalue, round(trend, 4) as trendvalue
+select entryperiod, sectorcode, kpi, round(adjusted, 6) as deseasonalizedvalue, round(trend, 6) as trendvalue
 from m_adjusted left join m_trend3 using (sectorcode, kpi, pos)
 """
 CHECKS["legacy_period"] = """

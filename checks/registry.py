@@ -25,6 +25,7 @@ from sectorgauge.operators import (
     seasonal,
     sector_kpis,
     serving,
+    trading_days,
     snapshots,
 )
 from sectorgauge.operators.company_kpis import D2C_KPIS
@@ -394,12 +395,20 @@ def seasonal_trend(c: Chain) -> DataFrame:
     return rounded(c.series.select(*columns), trendvalue=4)
 
 
+@query("trading_day_effects")
+def trading_day_effects(c: Chain) -> DataFrame:
+    history = seasonal.last_months(_filled(c), c.settings.series_history)
+    found = trading_days.remove_trading_days(history)
+    columns = ["entryperiod", "sectorcode", "kpi", "tradingday", "filled"]
+    return rounded(found.select(*columns), tradingday=4, filled=4)
+
+
 @query("seasonal_moving")
 def seasonal_moving(c: Chain) -> DataFrame:
     history = seasonal.last_months(_filled(c), c.settings.series_history)
     adjusted = moving_season.deseasonalize_moving(history, c.settings)
     columns = ["entryperiod", "sectorcode", "kpi", "deseasonalizedvalue", "trendvalue"]
-    return rounded(adjusted.select(*columns), deseasonalizedvalue=4, trendvalue=4)
+    return rounded(adjusted.select(*columns), deseasonalizedvalue=6, trendvalue=6)
 
 
 # -------------------------------------------------------------------- statements

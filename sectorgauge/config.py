@@ -69,6 +69,7 @@ class Settings:
     series_output: int = 39
     series_min_points: int = 24
     moving_season: bool = False
+    trading_days: bool = False
 
     # serving
     sectors: tuple[str, ...] = PUBLISHED_SECTORS

@@ -152,13 +152,15 @@ def seasonal_series(
     points: DataFrame,
     settings: Settings,
     adjust: Callable[[DataFrame, Settings], DataFrame] = deseasonalize,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Published series with seasonally adjusted value and trend, latest months only.
 
     ``adjust`` is ``deseasonalize`` for a season that stays the same, or
-    ``moving_season.deseasonalize_moving``.
+    ``moving_season.deseasonalize_moving``; ``prepare`` changes ``filled`` before it, as
+    ``trading_days.remove_trading_days`` does.
     """
     series = interpolate(calendar_series(published_series(points, settings)))
     history = last_months(series, settings.series_history)
-    adjusted = adjust(history, settings)
+    adjusted = adjust(prepare(history) if prepare else history, settings)
     return last_months(adjusted, settings.series_output).select(*OUTPUT_COLUMNS)

@@ -14,6 +14,7 @@ from sectorgauge.operators.moving_season import deseasonalize_moving
 from sectorgauge.operators.outliers import flag_monthly_outliers, with_peer_profile
 from sectorgauge.operators.seasonal import deseasonalize, seasonal_series
 from sectorgauge.operators.sector_kpis import densify, sector_kpis, until_publishable
+from sectorgauge.operators.trading_days import remove_trading_days
 from sectorgauge.sources.stages import stage
 
 
@@ -32,8 +33,10 @@ def sector_points(flagged: DataFrame, lookup: DataFrame, settings: Settings) ->
 def sector_series(flagged: DataFrame, lookup: DataFrame, settings: Settings) -> DataFrame:
     """Published series with seasonal adjustment and trend.
 
-    ``Settings.moving_season`` lets the season change from year to year.
+    ``Settings.moving_season`` lets the season change from year to year, and
+    ``Settings.trading_days`` takes the weekdays of a month out first.
     """
     adjust = deseasonalize_moving if settings.moving_season else deseasonalize
     points = stage(sector_points(flagged, lookup, settings), "dense-points")
-    return seasonal_series(points, settings, adjust).distinct()
+    prepare = remove_trading_days if settings.trading_days else None
+    return seasonal_series(points, settings, adjust, prepare).distinct()
