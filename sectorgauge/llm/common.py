@@ -43,10 +43,19 @@ def checksum_fold(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def _places(table: DataFrame, columns: tuple[str | Column, ...]) -> DataFrame:
-    """The named columns with ``row_file`` and ``row_place``: the file of a row and its place in it."""
+def _row_place(table: DataFrame) -> list[Column]:
+    """File of a row and its place in it."""
     meta = table.metadataColumn("_metadata")
-    return table.select(*columns, meta["file_path"].alias("row_file"), meta["row_index"].alias("row_place"))
+    return [meta["file_path"].alias("row_file"), meta["row_index"].alias("row_place")]
+
+
+def stored(docs: DataFrame) -> DataFrame:
+    """``docs`` if it is a table as read, whose rows have a file and a place; else stored now."""
+    try:
+        docs.select(*_row_place(docs)).schema
+    except AnalysisException:
+        return stage(docs, "docs")
+    return docs
 
 
 def with_row_keys(docs: DataFrame, *columns: str | Column) -> DataFrame:
@@ -54,12 +63,9 @@ def with_row_keys(docs: DataFrame, *columns: str | Column) -> DataFrame:
 
     The key is the number of the row's file and its place there, so rows that agree in
     ``doc_id``, or in everything, are told apart without a copy of the table. ``docs`` has to
-    be a Parquet table as read; any other is stored first. Only the file numbers move.
+    be a Parquet table as read, or the result of ``stored``. Only the file numbers move.
     """
-    try:
-        placed = _places(docs, columns)
-    except AnalysisException:
-        placed = _places(stage(docs.select(*columns), "keyed"), columns)
+    placed = docs.select(*columns, *_row_place(docs))
     files = placed.select("row_file").distinct()
     files = files.select(
         F.col("row_file").alias("numbered_file"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sectorgauge.llm import byte_cnn, centroids, chat, decontaminate, mixing, phrases, ppm, quality_rules, shingles, string_kernel, suffixes, token_files, urls
-from sectorgauge.llm.common import checksum_fold, read_table, with_row_keys
+from sectorgauge.llm.common import checksum_fold, read_table, stored, with_row_keys
 from sectorgauge.llm.oracle import ORACLE_SQL
 from sectorgauge.sources.stages import stage, stage_root
 
@@ -124,6 +124,7 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; equal texts are judged alike."""
+    docs = stored(docs)
     stats = stage(quality_rules.text_statistics(with_row_keys(docs, "text"), "row_key"), "stats")
     model = quality_rules.fit_label_model(stats)
     return without(docs, stats.where(~quality_rules.kept(model)).select("row_key"))
@@ -134,6 +135,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Of rows that share the smallest id the first one stays. Texts without words stay.
     """
+    docs = stored(docs)
     keyed = with_row_keys(docs, "doc_id", "text")
     found = shingles.jaccard_components(keyed.select(F.col("row_key").alias("doc_id"), "text"), NEAR_WORDS, NEAR_PERCENT)
     found = stage(found.select(F.col("doc_id").alias("row_key"), F.col("component_id").alias("grp")), "near-rows")
@@ -147,6 +149,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a test item."""
+    docs = stored(docs)
     keyed = with_row_keys(docs, "text").select(F.col("row_key").alias("doc_id"), "text")
     leaks = decontaminate.find_leaks(keyed, read_table(spark, sf_dir, "benchmark"))
     return without(docs, leaks.select("doc_id"))

@@ -2,7 +2,7 @@ from collections import Counter
 
 import corpus_pipeline
 from sectorgauge.llm import decontaminate, mixing, quality_rules, queries, shingles
-from sectorgauge.llm.common import with_row_keys
+from sectorgauge.llm.common import stored, with_row_keys
 
 
 def test_every_stage_does_its_part(spark):
@@ -34,7 +34,7 @@ def test_every_stage_does_its_part(spark):
             docs = queries.stage(result, name)
 
 
-def stored(spark, tmp_path, rows):
+def written(spark, tmp_path, rows):
     path = str(tmp_path / "documents.parquet")
     spark.createDataFrame([(i, t, None, "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(path)
     return spark.read.parquet(path)
@@ -45,17 +45,18 @@ def long_text(n, words=80):
 
 
 def test_row_keys_are_distinct_and_stay_the_same(spark, tmp_path):
-    docs = stored(spark, tmp_path, [(None, "a")] * 50 + [(1, "a")] * 50)
+    docs = written(spark, tmp_path, [(None, "a")] * 50 + [(1, "a")] * 50)
     first, again = (sorted(r["row_key"] for r in with_row_keys(docs, "text").collect()) for _ in range(2))
     assert first == again and len(set(first)) == 100
-    loose = docs.union(docs)
+    assert stored(docs) is docs
+    loose = stored(docs.union(docs))
     assert with_row_keys(loose, "doc_id").select("row_key").distinct().count() == 200
 
 
 def test_near_copies_leave_one_row_whatever_their_ids(spark, tmp_path):
     """Repeated rows, equal ids with other texts and null ids: one row of each group, no other text."""
     a, b, c = long_text(1), long_text(2), long_text(3)
-    docs = stored(spark, tmp_path, [(5, a), (5, a), (5, a), (None, a), (5, b), (None, c), (None, c), (7, ""), (7, None)])
+    docs = written(spark, tmp_path, [(5, a), (5, a), (5, a), (None, a), (5, b), (None, c), (None, c), (7, ""), (7, None)])
     kept = queries.keep_one_of_each_group(spark, docs, "")
     assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept.collect()) == sorted(
         [("5", a), ("5", b), ("None", c), ("7", ""), ("7", "")]
@@ -68,7 +69,7 @@ def test_leaks_go_by_row(spark, tmp_path):
     folder = "/root/testdata/sf0.001"
     item = spark.read.parquet(f"{folder}/benchmark.parquet").where("length(text) > 100").orderBy("item_id").first()["text"]
     leak = f"{long_text(4)} {item} {long_text(5)}"
-    docs = stored(spark, tmp_path, [(None, leak), (1, leak), (1, long_text(6)), (None, long_text(7))])
+    docs = written(spark, tmp_path, [(None, leak), (1, leak), (1, long_text(6)), (None, long_text(7))])
     left = queries.drop_benchmark_documents(spark, docs, folder)
     assert sorted(r["text"] for r in left.collect()) == sorted([long_text(6), long_text(7)])
 
