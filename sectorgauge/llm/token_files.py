@@ -1,23 +1,25 @@
 """Token ids in fixed-width bit-packed files.
 
 Documents are dealt to tasks by ranges of their id, sorted, encoded, and written as
-blocks of whole documents. A block holds its ids in the minimum bits of the vocabulary,
-little-endian bit order, with the offset of its first id in its file and the place of
-each document; ``file`` and ``files`` give the first id of each file. So any id is found
-from offsets alone and unpacked by numpy without reading what is before it.
+blocks. A block holds its ids in the minimum bits of the vocabulary, little-endian bit
+order, with the offset of its first id in its file and the place of each document;
+``file`` and ``files`` give the first id of each file. So any id is found from offsets
+alone and unpacked by numpy without reading what is before it. A block is closed at
+``limit`` ids: a document that reaches beyond goes on in the next, where its entry says
+how many of its ids came before.
 
 The container is a Parquet table with one row per block: Spark commits whole files, a
 lost executor costs its unfinished blocks, and any store that Spark reaches will do.
 
 Null texts are empty and get the end id only. Rows are ordered by id (null first), text
 hash and text, so repeated ids have one order. An empty table gives an empty result.
-Only ``doc_id`` and ``text`` are read, so other columns may have any name.
+Only ``doc_id`` and ``text`` are read, so other columns may have any name. A very long
+text is encoded in parts and spread over blocks; only its checksum is put together.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
@@ -29,14 +31,26 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sectorgauge.llm.common import text_of
+from sectorgauge.sources.stages import stage
 
 BLOCK_IDS = 1 << 16
+#: Bytes of text that are encoded at once.
+GATHER = 4 << 20
 #: Words whose ids a worker remembers; it starts anew when they are so many.
 WORDS_KEPT = 1_000_000
 
 BLOCKS = (
     "file int, block int, first long, n_ids int, bits int, payload binary, "
-    "docs array<struct<doc_id:long,start:int,n_ids:int>>"
+    "docs array<struct<doc_id:long,start:int,n_ids:int,before:long,ends:boolean>>"
+)
+_ENTRY = pa.struct(
+    [
+        ("doc_id", pa.int64()),
+        ("start", pa.int32()),
+        ("n_ids", pa.int32()),
+        ("before", pa.int64()),
+        ("ends", pa.bool_()),
+    ]
 )
 _BLOCKS = pa.schema(
     [
@@ -46,7 +60,7 @@ _BLOCKS = pa.schema(
         ("n_ids", pa.int32()),
         ("bits", pa.int32()),
         ("payload", pa.binary()),
-        ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int32()), ("n_ids", pa.int32())]))),
+        ("docs", pa.list_(_ENTRY)),
     ]
 )
 
@@ -63,12 +77,16 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
     ids = np.ascontiguousarray(ids, "<u4")
     if ids.size and int(ids.max()) >> bits:
         raise ValueError(f"an id needs more than {bits} bits")
+    if bits in (8, 16, 32):  # the same bytes, without a look at single bits
+        return ids.astype(f"<u{bits // 8}").tobytes()
     each = np.unpackbits(ids.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
     return np.packbits(each[:, :bits].ravel(), bitorder="little").tobytes()
 
 
 def unpack(payload: bytes, bits: int, start: int, count: int) -> np.ndarray:
     """``count`` ids from place ``start``; reads only the bytes they lie in."""
+    if bits in (8, 16, 32):
+        return np.frombuffer(payload, f"<u{bits // 8}", count, start * bits // 8).astype("<u4")
     first = start * bits
     lead = first % 8
     raw = np.frombuffer(payload, np.uint8)[first // 8 : (first + count * bits + 7) // 8]
@@ -85,12 +103,14 @@ class WordEncoder:
     """Encodes texts word by word with a tokenizer that lower-cases and drops white space.
 
     Such a tokenizer never joins text across white space, so a text's ids are its words'
-    ids in a row. Each word is encoded once and remembered. Where the tokenizer also
-    keeps a closing comma or full stop apart from a letter or digit before it, so does
-    this, and words are fewer.
+    ids in a row. Texts are cut into words and dictionary-encoded together; each word is
+    encoded once and remembered. Where the tokenizer also keeps a closing comma or full
+    stop apart from a letter or digit before it, so does this, and words are fewer.
     """
 
-    _CLOSED = re.compile(rb"(?<=[a-z0-9])([,.])(?=[ \t\n\x0b\x0c\r]|$)")
+    _SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+    _CLOSING = np.isin(np.arange(256), list(b",."))
+    _BEFORE = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz0123456789"))
 
     def __init__(self, path: str, kept: int = WORDS_KEPT):
         from tokenizers import Tokenizer
@@ -107,25 +127,62 @@ class WordEncoder:
         self.apart = all(ids(f"{a}{b}") == ids(a) + ids(b) for a in ("ab", "7", "x7") for b in ",.")
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) > self.kept:
-            self.known.clear()
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         for word, coded in zip(words, found, strict=True):
             self.known[word] = np.array(coded.ids, self.type).tobytes()
 
-    def encode(self, text: str) -> np.ndarray:
-        raw = text.encode()
-        if b"<|" not in raw:  # else lower case could make a special token of a word
-            raw = raw.lower()
-        words = (self._CLOSED.sub(rb" \1", raw) if self.apart else raw).split()
+    def _ids_of(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words."""
         found = list(map(self.known.get, words))
         if None in found:
-            self._learn(list({w for w, ids in zip(words, found, strict=True) if ids is None}))
-            found = list(map(self.known.get, words))
-            if None in found:  # the memory was emptied
-                self._learn(list(set(words)))
-                found = map(self.known.__getitem__, words)
-        return np.frombuffer(b"".join(found), self.type).astype("<u4")
+            if len(self.known) > self.kept:
+                self.known.clear()
+            self._learn([w for w in words if w not in self.known])
+            found = [self.known[w] for w in words]
+        return found
+
+    def parts(self, text: bytes, size: int = GATHER) -> Iterator[bytes]:
+        """The text cut after white space into parts of about ``size`` bytes."""
+        at = 0
+        while len(text) - at > size:
+            to = at + size
+            more = self._SPACE[np.frombuffer(text, np.uint8, len(text) - to, to)]
+            hit = int(more.argmax())
+            if not more[hit]:
+                break
+            yield text[at : to + hit + 1]
+            at = to + hit + 1
+        yield text[at:]
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text."""
+        # Lower case could make a special token of a word.
+        plain = [t if b"<|" in t else t.lower() for t in texts]
+        raw = b"\n".join(plain) + b"\n"
+        data = np.frombuffer(raw, np.uint8)
+        space = self._SPACE[data]
+        cut = np.empty(data.size, bool)
+        cut[0] = True
+        np.not_equal(space[1:], space[:-1], out=cut[1:])
+        if self.apart:
+            cut[1:-1] |= self._CLOSING[data[1:-1]] & self._BEFORE[data[:-2]] & space[2:]
+        at = np.flatnonzero(cut)
+        edges = np.append(at, data.size).astype(np.int32)
+        segments = pa.Array.from_buffers(pa.binary(), at.size, [None, pa.py_buffer(edges), pa.py_buffer(raw)])
+        word = np.flatnonzero(~space[at])
+        coded = segments.take(pa.array(word)).dictionary_encode()
+        codes = coded.indices.to_numpy()
+        known = self._ids_of(coded.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(known), self.type).astype("<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // np.dtype(self.type).itemsize
+        starts = np.cumsum(sizes) - sizes
+        each = sizes[codes]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat(starts[codes] - ends + each, each) + np.arange(each.sum())]
+        # Texts end at their line ends; so many words, and so many ids, lie before.
+        lengths = np.fromiter(map(len, plain), np.int64, len(plain)) + 1
+        words = np.searchsorted(at[word], np.cumsum(lengths)[:-1])
+        return np.split(ids, np.concatenate([[0], ends])[words])
 
 
 class TextEncoder:
@@ -137,8 +194,13 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+    def parts(self, text: bytes, size: int = GATHER) -> Iterator[bytes]:
+        """The whole text, since a tokenizer may join its parts."""
+        yield text
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(f.ids, "<u4") for f in found]
 
 
 @lru_cache(maxsize=2)
@@ -150,28 +212,64 @@ def encoder(path: str, by_word: bool) -> WordEncoder | TextEncoder:
 # ---------------------------------------------------------------- writing
 
 
-def _blocks(
-    documents: Iterable[tuple[int | None, str | None]], encode: Callable[[str], np.ndarray], end: int, bits: int, file: int, limit: int
-) -> Iterator[dict]:
-    """Blocks of whole documents, closed once they hold ``limit`` ids."""
-    ids, docs, size, first, block = [], [], 0, 0, 0
+Piece = tuple[int | None, np.ndarray, bool]
+
+
+def _pieces(texts: Iterable[tuple[int | None, bytes]], coder: WordEncoder | TextEncoder, end: int) -> Iterator[Piece]:
+    """``doc_id``, ids and whether they are the document's last, in order."""
+    held: list[tuple[int | None, bytes, bool]] = []
+    size = 0
+
+    def encoded() -> Iterator[Piece]:
+        for (doc_id, _, last), ids in zip(held, coder.encode([t for _, t, _ in held]), strict=True):
+            yield doc_id, np.append(ids, np.uint32(end)) if last else ids, last
+
+    for doc_id, text in texts:
+        parts = list(coder.parts(text))
+        for k, part in enumerate(parts, 1):
+            held.append((doc_id, part, k == len(parts)))
+            size += len(part) + 1
+            if size >= GATHER:
+                yield from encoded()
+                held, size = [], 0
+    if held:
+        yield from encoded()
+
+
+def _blocks(pieces: Iterable[Piece], bits: int, file: int, limit: int) -> Iterator[dict]:
+    """Blocks of ``limit`` ids, the last one of a file of fewer."""
+    ids: list[np.ndarray] = []
+    docs: list[dict] = []
+    size = first = block = before = 0
 
     def row() -> dict:
         payload = pack(np.concatenate(ids), bits)
         return dict(file=file, block=block, first=first, n_ids=size, bits=bits, payload=payload, docs=docs)
 
-    for doc_id, text in documents:
-        own = np.append(encode(text or ""), np.uint32(end)).astype("<u4")
-        docs.append({"doc_id": doc_id, "start": size, "n_ids": own.size})
-        ids.append(own)
-        size += own.size
-        if size >= limit:
-            yield row()
-            ids, docs, size, first, block = [], [], 0, first + size, block + 1
+    for doc_id, own, last in pieces:
+        while own.size:
+            now, own = own[: limit - size], own[limit - size :]
+            ends = last and not own.size
+            if docs and not docs[-1]["ends"]:  # another part of the same document
+                docs[-1] |= {"n_ids": docs[-1]["n_ids"] + now.size, "ends": ends}
+            else:
+                docs.append({"doc_id": doc_id, "start": size, "n_ids": now.size, "before": before, "ends": ends})
+            ids.append(now)
+            size += now.size
+            before = 0 if ends else before + now.size
+            if size == limit:
+                yield row()
+                ids, docs, size, first, block = [], [], 0, first + size, block + 1
     if docs:
         yield row()
 
 
+def _bytes_of(texts: pa.Array) -> Iterator[bytes]:
+    """Texts as bytes one by one; null is empty."""
+    for text in texts.cast(pa.binary()):
+        yield text.as_py() or b""
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, by_word: bool = False, limit: int = BLOCK_IDS) -> None:
     """Encode every text and write the blocks to ``path``, file by ascending id.
 
@@ -180,8 +278,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, by_word:
 
     def encoded(batches):
         coder, file = encoder(tokenizer, by_word), TaskContext.get().partitionId()
-        rows = (row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-        for block in _blocks(rows, coder.encode, end, bits_for(max(coder.vocabulary, end + 1)), file, limit):
+        rows = ((i, t) for b in batches for i, t in zip(b.column(0).to_pylist(), _bytes_of(b.column(1)), strict=True))
+        for block in _blocks(_pieces(rows, coder, end), bits_for(max(coder.vocabulary, end + 1)), file, limit):
             yield pa.RecordBatch.from_pylist([block], _BLOCKS)
 
     slim = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"), F.xxhash64("text").alias("h"))
@@ -218,11 +316,40 @@ def read_range(spark: SparkSession, path: str, start: int, count: int) -> np.nda
 
 
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
+_PARTS = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "before", "n_tokens", "ids_crc32")] + [("whole", pa.bool_())])
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """``DOCUMENTS`` from the files: place, number and checksum of each document's ids."""
-    schema = pa.schema([(n.split()[0], pa.int64()) for n in DOCUMENTS.split(", ")])
+def _crc32_shifts() -> list[np.ndarray]:
+    """What 1, 2, 4, ... further zero bytes make of each bit of a crc32."""
+    bits = np.uint32(1) << np.arange(32, dtype=np.uint32)
+    step = np.concatenate([[np.uint32(0xEDB88320)], bits[:-1]]).astype(np.uint32)  # one zero bit
+    for _ in range(3):
+        step = _through(step, step)
+    shifts = [step]
+    for _ in range(62):
+        shifts.append(_through(shifts[-1], shifts[-1]))
+    return shifts
+
+
+def _through(matrix: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Each value as the sum, without carries, of the matrix rows of its bits."""
+    chosen = (np.asarray(values, np.uint32)[:, None] >> np.arange(32, dtype=np.uint32)) & np.uint32(1)
+    return np.bitwise_xor.reduce(np.where(chosen, matrix, np.uint32(0)), axis=1)
+
+
+def joined_crc32(parts: Iterable[tuple[int, int]]) -> int:
+    """Checksum of bytes from the checksum and length of each of their parts."""
+    shifts, crc = _crc32_shifts(), np.zeros(1, np.uint32)
+    for own, length in parts:
+        for k in range(length.bit_length()):
+            if length >> k & 1:
+                crc = _through(shifts[k], crc)
+        crc ^= np.uint32(own)
+    return int(crc[0])
+
+
+def _document_parts(blocks: DataFrame) -> DataFrame:
+    """Place, number and checksum of each document's ids in each block."""
 
     def read(batches):
         for batch in batches:
@@ -231,9 +358,28 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 ids = unpack(payload, bits, 0, n_ids)
                 for d in docs:
                     own = ids[d["start"] : d["start"] + d["n_ids"]]
-                    out.append((d["doc_id"], first + d["start"], own.size, zlib.crc32(own.tobytes())))
+                    start, whole = first + d["start"] - d["before"], d["ends"] and not d["before"]
+                    out.append((d["doc_id"], start, d["before"], own.size, zlib.crc32(own.tobytes()), whole))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
+                columns = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PARTS, strict=True)], schema=_PARTS)
+
+    schema = "doc_id long, start long, before long, n_tokens long, ids_crc32 long, whole boolean"
+    return blocks.select("first", "n_ids", "bits", "payload", "docs").mapInArrow(read, schema)
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """``DOCUMENTS`` from the files: place, number and checksum of each document's ids.
+
+    Documents of several blocks are put together from a row a block, which holds no ids.
+    """
+    parts = stage(_document_parts(read_blocks(spark, path)), "parts")
+
+    def together(rows):
+        rows = rows.sort_values("before")
+        crc = joined_crc32((int(c), 4 * int(n)) for c, n in zip(rows["ids_crc32"], rows["n_tokens"], strict=True))
+        return rows.iloc[:1].assign(n_tokens=rows["n_tokens"].sum(), ids_crc32=crc)[["doc_id", "start", "n_tokens", "ids_crc32"]]
 
-    blocks = read_blocks(spark, path)
-    return blocks.select("first", "n_ids", "bits", "payload", "docs").mapInArrow(read, DOCUMENTS)
+    columns = ("doc_id", "start", "n_tokens", "ids_crc32")
+    spread = parts.where(~F.col("whole")).groupBy("start").applyInPandas(together, DOCUMENTS)
+    return parts.where("whole").select(*columns).union(spread.select(*columns))

@@ -51,7 +51,45 @@ def test_no_tokens(spark, no_documents, tmp_path):
 def test_word_encoder_where_case_and_signs_matter():
     tokenizer, by_word = Tokenizer.from_file(PATH), token_files.WordEncoder(PATH, kept=3)
     for text in ("A,b. C.D e., 'S DON'T. x5, 5.", "ΑΣ ΣΑΣ. É, é, á.", "<|EndOfText|>. a<|endoftext|>b.", " a　c", ""):
-        assert by_word.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert by_word.encode([text.encode()])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    texts = ["a,", ",b", "", " . ", "x.", "\u3000y"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in by_word.encode([t.encode() for t in texts])] == want
+
+
+def test_parts_of_a_text_are_cut_at_white_space():
+    by_word = token_files.WordEncoder(PATH)
+    text = b"one two, three.four five" * 3
+    for size in (1, 5, 9, 30, 500):
+        parts = list(by_word.parts(text, size))
+        assert b"".join(parts) == text
+        assert np.concatenate(by_word.encode(parts)).tolist() == by_word.encode([text])[0].tolist()
+    assert list(by_word.parts(b"a" * 50, 5)) == [b"a" * 50]
+
+
+def test_a_long_text_lies_in_many_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "GATHER", 1 << 16)
+    long = " ".join(f"word{i % 977}, w{i % 13}." for i in range(250_000))
+    assert len(long) > 3_000_000
+    rows = [(1, "first"), (2, long), (3, None), (None, "last"), (2, long)]
+    path = f"{tmp_path}/long"
+    token_files.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path, PATH, 2, by_word=True, limit=1000)
+    assert token_files.read_blocks(spark, path).agg({"n_ids": "max"}).first()[0] == 1000
+    tokenizer = Tokenizer.from_file(PATH)
+    want = Counter()
+    for doc_id, text in rows:
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        want[doc_id, len(ids), zlib.crc32(ids.tobytes())] += 1
+    got = sorted(token_files.read_documents(spark, path).collect(), key=lambda r: r["start"])
+    assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == want
+    assert [r["start"] for r in got] == [0, *np.cumsum([r["n_tokens"] for r in got])[:-1]]
+
+
+def test_joined_checksums():
+    raw = np.random.default_rng(1).integers(0, 256, 5000, np.uint8).tobytes()
+    for cuts in ([0, 5000], [0, 1, 17, 4096, 5000], [0, 0, 5000, 5000]):
+        parts = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        assert token_files.joined_crc32((zlib.crc32(p), len(p)) for p in parts) == zlib.crc32(raw)
 
 
 def test_mix_meets_every_target(odd_documents, documents):
