@@ -4,9 +4,9 @@ Documents are dealt to tasks by ranges of their id, sorted, encoded, and written
 blocks. A block holds its ids in the minimum bits of the vocabulary, little-endian bit
 order, with the offset of its first id in its file and the place of each document;
 ``file`` and ``files`` give the first id of each file. So any id is found from offsets
-alone and unpacked by numpy without reading what is before it. A block is closed at
-``limit`` ids: a document that reaches beyond goes on in the next, where its entry says
-how many of its ids came before.
+alone and unpacked by numpy without reading what is before it. A block is closed by the
+document that brings it to ``limit`` ids; one that would bring it beyond twice as many
+goes on in the next block, where its entry says how many of its ids came before.
 
 The container is a Parquet table with one row per block: Spark commits whole files, a
 lost executor costs its unfinished blocks, and any store that Spark reaches will do.
@@ -237,7 +237,7 @@ def _pieces(texts: Iterable[tuple[int | None, bytes]], coder: WordEncoder | Text
 
 
 def _blocks(pieces: Iterable[Piece], bits: int, file: int, limit: int) -> Iterator[dict]:
-    """Blocks of ``limit`` ids, the last one of a file of fewer."""
+    """Blocks of ``limit`` to twice ``limit`` ids, the last one of a file of fewer."""
     ids: list[np.ndarray] = []
     docs: list[dict] = []
     size = first = block = before = 0
@@ -248,7 +248,7 @@ def _blocks(pieces: Iterable[Piece], bits: int, file: int, limit: int) -> Iterat
 
     for doc_id, own, last in pieces:
         while own.size:
-            now, own = own[: limit - size], own[limit - size :]
+            now, own = own[: 2 * limit - size], own[2 * limit - size :]
             ends = last and not own.size
             if docs and not docs[-1]["ends"]:  # another part of the same document
                 docs[-1] |= {"n_ids": docs[-1]["n_ids"] + now.size, "ends": ends}
@@ -257,7 +257,7 @@ def _blocks(pieces: Iterable[Piece], bits: int, file: int, limit: int) -> Iterat
             ids.append(now)
             size += now.size
             before = 0 if ends else before + now.size
-            if size == limit:
+            if size == 2 * limit or (ends and size >= limit):
                 yield row()
                 ids, docs, size, first, block = [], [], 0, first + size, block + 1
     if docs:
@@ -319,6 +319,7 @@ DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _PARTS = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "before", "n_tokens", "ids_crc32")] + [("whole", pa.bool_())])
 
 
+@lru_cache(maxsize=1)
 def _crc32_shifts() -> list[np.ndarray]:
     """What 1, 2, 4, ... further zero bytes make of each bit of a crc32."""
     bits = np.uint32(1) << np.arange(32, dtype=np.uint32)
