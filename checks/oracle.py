@@ -829,6 +829,21 @@ CHECKS["latest_snapshot"] = """
 select cast(o_orderdate as date)::varchar as syscreated, o_orderkey, o_totalprice from orders
 where cast(o_orderdate as date) = (select max(cast(o_orderdate as date)) from orders)
 """
+CHECKS["scan_file_sample"] = """
+select o_orderkey, o_totalprice, strftime(cast(o_orderdate as date), '%Y-%m') as month
+from orders join (
+  select month, row_number() over (order by md5('42:month=' || month || ':0')) as place,
+         count(*) over () as months
+  from (select distinct strftime(cast(o_orderdate as date), '%Y-%m') as month from orders)
+) as ranked on strftime(cast(o_orderdate as date), '%Y-%m') = ranked.month
+where place <= ceil(0.25 * months)
+"""
+CHECKS["scan_mixed_types"] = """
+select l_orderkey, l_linenumber,
+       cast(case when l_linenumber <= 2 then trunc(l_quantity) else round(l_quantity, 2) end as double)
+         as amount
+from lineitem
+"""
 CHECKS["table_round_trip"] = """
 select id, division, rgscode, cast(null as varchar) as added from gl_account
 """

@@ -81,16 +81,37 @@ def _ddl(df: DataFrame) -> str:
 
 @query("latest_snapshot")
 def latest_snapshot(c: Chain) -> DataFrame:
-    """Oldest and newest day written as snapshots, newest first; the newest is read."""
+    """Every day written as a snapshot in one job; the newest is found and read."""
     day = F.col("o_orderdate").cast("date").cast("string")
-    orders = c.table("orders").select(day.alias("day"), "o_orderkey", "o_totalprice")
+    orders = c.table("orders").select(day.alias(tables.SNAPSHOT), "o_orderkey", "o_totalprice")
     root = new_folder(c.spark, "snapshots")
-    for date in orders.agg(F.max("day"), F.min("day")).first():
-        tables.write_snapshot(orders.filter(F.col("day") == date).drop("day"), root, date)
-    newest = tables.read_snapshot(c.spark, root, _ddl(orders.drop("day")))
+    tables.write_snapshots(orders, root)
+    newest = tables.read_snapshot(c.spark, root, _ddl(orders.drop(tables.SNAPSHOT)))
     return newest.withColumn(tables.SNAPSHOT, F.lit(tables.latest_date(c.spark, root)))
 
 
+@query("scan_file_sample")
+def scan_file_sample(c: Chain) -> DataFrame:
+    """A quarter of the files of a table in folders by month, a file each."""
+    month = F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM").alias("month")
+    orders = c.table("orders").select("o_orderkey", "o_totalprice", month)
+    path = new_folder(c.spark, "months")
+    orders.repartition("month").write.partitionBy("month").parquet(path)
+    return tables.sample_files(c.spark, path, _ddl(orders), 0.25)
+
+
+@query("scan_mixed_types")
+def scan_mixed_types(c: Chain) -> DataFrame:
+    """One column as int, long and decimal in different files, read as one decimal."""
+    lines = c.table("lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("amount"))
+    root = new_folder(c.spark, "mixed")
+    number = F.col("l_linenumber")
+    for kind, own in (("int", number == 1), ("bigint", number == 2), ("decimal(12,2)", number > 2)):
+        lines.where(own).withColumn("amount", F.col("amount").cast(kind)).write.mode("append").parquet(root)
+    read = tables.read_table(c.spark, root, "l_orderkey bigint, l_linenumber int, amount decimal(22,2)")
+    return read.withColumn("amount", F.col("amount").cast("double"))
+
+
 @query("table_round_trip")
 def table_round_trip(c: Chain) -> DataFrame:
     """Overwritten, with other case and order in the files, and a column they lack."""

@@ -60,7 +60,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--target", help="folder of the results", required=True)
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     p.add_argument("--postfix", default="", help="suffix of the measures table")
-    p.add_argument("--sample", type=float, help="share of transactions, for a trial run")
+    p.add_argument("--sample", type=float, help="share of the transaction files, for a trial run")
     p.add_argument(
         "--types",
         action="append",

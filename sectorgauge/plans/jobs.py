@@ -28,7 +28,6 @@ log = logging.getLogger(__name__)
 
 SERIES_SERVICE = "series"
 RATIO_SERVICE = "ratios"
-VERSION = tables.VERSION
 
 
 @dataclass(frozen=True)
@@ -47,9 +46,12 @@ class Paths:
     def domain(self, table: str) -> str:
         return f"{self.source}/{table}"
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
+    def read(self, spark: SparkSession, table: str, sample: float | None = None) -> DataFrame:
+        """An input table, or the given share of its files."""
         schema = self.types.get(table, schemas.INPUTS[table])
-        return tables.read_table(spark, self.domain(table), schema)
+        if sample is None:
+            return tables.read_table(spark, self.domain(table), schema)
+        return tables.sample_files(spark, self.domain(table), schema, sample)
 
     def result(self, table: str) -> str:
         return f"{self.target}/{table}"
@@ -82,7 +84,7 @@ def run_measures(
     log.info("divisions that share no data: %s", consent_report(lookup).first()["refused"])
     measures = raw_measures(
         paths.read(spark, "gl_account"),
-        tables.sample_rows(paths.read(spark, "gl_transaction"), sample),
+        paths.read(spark, "gl_transaction", sample),
         paths.read(spark, "invoice_dso").withColumnRenamed(
             "actualtimebetweeninvoiceandpayment", "atbip"
         ),
@@ -172,28 +174,19 @@ def run_all(spark: SparkSession, paths: Paths, settings: Settings) -> None:
 
 
 # ------------------------------------------------------------------ publication
-def _write_version(df: DataFrame, root: str) -> str:
-    """Store ``df`` as the next version of a table.
-
-    Readers keep the previous version until the new one is complete.
-    """
-    latest = tables.latest_date(df.sparkSession, root, VERSION)
-    version = f"{int(latest or 0) + 1:010d}"
-    tables.write_snapshot(df, root, version, column=VERSION)
-    return version
-
-
 def _store_documents(
     documents: DataFrame, root: str, replace: bool, schema: str
 ) -> DataFrame:
     """Write a new version of a serving table and return it as stored."""
     spark = documents.sparkSession
-    current = None if replace else tables.read_snapshot(spark, root, schema, column=VERSION)
-    if current is not None:
-        documents = serving.upsert(current, documents, "kpi_identifier")
-    version = _write_version(tables.check_columns(documents, schema), root)
-    return tables.read_snapshot(spark, root, schema, version, VERSION)
 
+    def build(current: DataFrame | None) -> DataFrame:
+        if replace or current is None:
+            return documents
+        return serving.upsert(current, documents, "kpi_identifier")
+
+    version = tables.commit_version(spark, root, schema, build)
+    return tables.read_version(spark, root, schema, version)
 
 
 def _bookmark(
@@ -202,9 +195,11 @@ def _bookmark(
     entry = spark.createDataFrame(
         [(snapshot, service, snapshots.OK, now, now)], schemas.BOOKMARKS
     )
-    root = paths.result("bookmarks")
-    registry = snapshots.append_bookmark(tables.read_bookmarks(spark, root), entry)
-    _write_version(registry, root)
+
+    def build(current: DataFrame | None) -> DataFrame:
+        return snapshots.append_bookmark(tables.or_no_bookmarks(spark, current), entry)
+
+    tables.commit_version(spark, paths.result("bookmarks"), schemas.BOOKMARKS, build)
 
 
 def _load_series(
@@ -292,9 +287,15 @@ def roll_back(
     target = snapshots.rollback_target(bookmarks.filter(own)).first()["s3key"]
     outcome = _LOADERS[service](spark, paths, settings, target, now)
     if outcome.success:
-        marked = snapshots.mark_rolled_back(bookmarks.filter(own), now)
-        registry = marked.unionByName(bookmarks.filter(~own))
-        _write_version(registry, root)
+        seen = bookmarks.filter(own).select("servicename", "s3key", "updated")
+
+        def build(current: DataFrame | None) -> DataFrame:
+            """What was published since the target was chosen stays as it is."""
+            known = current.join(seen, seen.columns, "left_semi")
+            others = current.join(seen, seen.columns, "left_anti")
+            return snapshots.mark_rolled_back(known, now).unionByName(others)
+
+        tables.commit_version(spark, root, schemas.BOOKMARKS, build)
     return outcome
 
 
@@ -309,9 +310,7 @@ def lookup_series(
 ) -> DataFrame:
     """Served document of one series; empty when the series is not served."""
     documents = _required(
-        tables.read_snapshot(
-            spark, paths.result("serve_series"), schemas.SERIES_DOCUMENTS, column=VERSION
-        ),
+        tables.read_version(spark, paths.result("serve_series"), schemas.SERIES_DOCUMENTS),
         "serve_series",
     )
     return serving.lookup_series(documents, sectorcode, kpi, settings, history)
@@ -320,9 +319,7 @@ def lookup_series(
 def scan_ratios(spark: SparkSession, paths: Paths) -> DataFrame:
     """All served ratios."""
     documents = _required(
-        tables.read_snapshot(
-            spark, paths.result("serve_ratios"), schemas.RATIO_DOCUMENTS, column=VERSION
-        ),
+        tables.read_version(spark, paths.result("serve_ratios"), schemas.RATIO_DOCUMENTS),
         "serve_ratios",
     )
     return serving.scan_ratios(documents)

@@ -256,3 +256,85 @@ def test_command_line():
     )
     assert args.types == ["gl_account=id string"]
     assert args.as_of == dt.date(2019, 6, 15) and args.months_to_end == 3
+
+
+def test_two_writers_lose_nothing(spark, tmp_path, rows):
+    """A second writer commits while the first one builds its version."""
+    root, schema, bases = f"{tmp_path}/t", "writer string", []
+
+    def adds(name, meanwhile=()):
+        def build(current):
+            bases.append(tables.latest_version(spark, root))
+            for other in list(meanwhile):
+                meanwhile.remove(other)
+                tables.commit_version(spark, root, schema, adds(other))
+            own = spark.createDataFrame([(name,)], schema)
+            return own if current is None else current.unionByName(own)
+
+        return build
+
+    assert tables.read_version(spark, root, schema) is None
+    assert tables.commit_version(spark, root, schema, adds("a", ["b"])) == 2
+    assert tables.commit_version(spark, root, schema, adds("c", ["d", "e"])) == 5
+    assert bases == [0, 0, 1, 2, 2, 3, 4]
+    assert rows(tables.read_version(spark, root, schema)) == [(x,) for x in "abcde"]
+    assert rows(tables.read_version(spark, root, schema, 1)) == [("b",)]
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 5
+    assert not [f for f in (tmp_path / "t" / "drafts").iterdir() if f.suffix != ".crc"]
+
+
+def test_a_version_that_never_fits_is_an_error(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "COMMIT_TRIES", 2)
+    monkeypatch.setattr(tables, "_claim", lambda *_: False)
+    with pytest.raises(RuntimeError, match="changed 2 times"):
+        tables.commit_version(spark, f"{tmp_path}/t", "a int", lambda _: spark.range(1).selectExpr("int(id) a"))
+
+
+def test_sampled_files_are_the_only_ones_read(spark, tmp_path, rows):
+    paths, schema = [f"{tmp_path}/{n}" for n in ("one", "two")], "id bigint, part string"
+    df = spark.range(4000).withColumn("part", F.concat(F.lit("a b%:"), F.col("id") % 20))
+    for path in paths:
+        df.repartition("part").write.partitionBy("part").parquet(path)
+    read = {f: tables.sample_files(spark, paths[0], schema, f) for f in (0.01, 0.25, 0.5, 1.0)}
+    assert [len(d.inputFiles()) for d in read.values()] == [1, 5, 10, 20]
+    assert rows(read[1.0]) == rows(df)
+    assert set(rows(read[0.25])) < set(rows(read[0.5])) < set(rows(df))
+    assert rows(tables.sample_files(spark, paths[1], schema, 0.25)) == rows(read[0.25])
+    assert rows(tables.sample_files(spark, paths[1], schema, 0.25, seed=1)) != rows(read[0.25])
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none")
+    assert tables.sample_files(spark, f"{tmp_path}/none", schema, 0.5).count() == 0
+    with pytest.raises(ValueError):
+        tables.sample_files(spark, paths[0], schema, 0)
+
+
+def test_rows_are_counted_without_a_second_job(spark, tmp_path):
+    df = spark.range(1000).withColumn("part", F.col("id") % 3)
+    spark.sparkContext.setJobGroup("counting", "a write that counts")
+    try:
+        assert tables.write_table(df, f"{tmp_path}/t", "part") == 1000
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("counting")) == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tables.write_snapshot(df, f"{tmp_path}/s", "2001-01-01", "part") == 1000
+
+
+def test_snapshots_of_many_dates_in_one_write(spark, tmp_path, rows):
+    root, schema = f"{tmp_path}/s", "id bigint"
+    df = spark.range(90).withColumn("syscreated", F.concat(F.lit("2001-01-"), F.col("id") % 30 + 10))
+    assert tables.write_snapshots(df, root) == 90
+    again = df.filter("id % 30 in (3, 4)").withColumn("id", F.col("id") + 1000)
+    assert tables.write_snapshots(again, root) == 6
+    assert tables.latest_date(spark, root) == "2001-01-39"
+    assert rows(tables.read_snapshot(spark, root, schema, "2001-01-13")) == [(1003,), (1033,), (1063,)]
+    assert rows(tables.read_snapshot(spark, root, schema, "2001-01-15")) == [(35,), (5,), (65,)]
+    assert tables.write_snapshots(df.limit(0), root) == 0
+    assert len(tables._dated_folders(spark, root, tables.SNAPSHOT)) == 30
+
+
+def test_files_of_different_types(spark, tmp_path, rows):
+    path = f"{tmp_path}/mixed"
+    for kind, values in (("int", [1, 2]), ("bigint", [3, None]), ("decimal(12,2)", [4.25])):
+        own = spark.createDataFrame([(None if v is None else str(v),) for v in values], "a string")
+        own.select(F.col("a").cast(kind)).write.mode("append").parquet(path)
+    read = tables.read_table(spark, path, "a decimal(22,2)")
+    assert [str(r[0]) for r in read.orderBy("a").collect()] == ["None", "1.00", "2.00", "3.00", "4.25"]
