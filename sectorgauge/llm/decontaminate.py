@@ -10,7 +10,8 @@ is verified: the item's question and its answer must both be in the passage, wor
 triple by word triple.
 
 Items are taken in blocks of ``ITEMS_PER_INDEX``, so an index sent to the executors is
-bounded whatever the number of items; every block meets all documents.
+bounded whatever the number of items; every block meets all documents. Term weights and
+the passage length come from all items, so scores don't depend on the blocks.
 
 Null and empty texts, in documents or items, match nothing. Repeated rows give repeated
 results. Only ids and texts are read, so other columns may have any name.
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sectorgauge.llm.common import text_of
+from sectorgauge.sources.stages import stage
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.7
@@ -87,23 +89,41 @@ class PostingList:
     most: float
 
 
+@dataclass
+class ItemStatistics:
+    """What BM25 needs of all items; ``found`` has the items that hold each word."""
+
+    n_items: int
+    n_words: int
+    longest: int
+    found: dict[bytes, int]
+
+    @classmethod
+    def of(cls, words: list[list[bytes]]) -> ItemStatistics:
+        lengths = [len(w) for w in words]
+        return cls(len(words), sum(lengths), max(lengths, default=0), Counter(t for w in words for t in set(w)))
+
+
 class ItemIndex:
-    """Inverted index of test items with normalised BM25 scores."""
+    """Inverted index of test items with normalised BM25 scores.
 
-    def __init__(self, items: list[tuple[int, str]]):
+    The weights are those of all items (``whole``), of which the index may hold a part.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], whole: ItemStatistics | None = None):
         self.ids = [i for i, _ in items]
         self.parts = [question_and_answer(t) for _, t in items]
         words = [words_of(t) for _, t in items]
-        lengths = [len(w) for w in words]
-        self.passage = max(MIN_PASSAGE, 2 * max(lengths, default=0))
-        mean = sum(lengths) / max(1, len(lengths)) or 1.0
+        whole = whole or ItemStatistics.of(words)
+        lengths, found = [len(w) for w in words], whole.found
+        self.passage = max(MIN_PASSAGE, 2 * whole.longest)
+        mean = whole.n_words / max(1, whole.n_items) or 1.0
         counts = [Counter(w) for w in words]
-        found = Counter(t for c in counts for t in c)
-        self.terms = {t: k for k, t in enumerate(sorted(found))}
+        self.terms = {t: k for k, t in enumerate(sorted({t for c in counts for t in c}))}
         weights: list[list[tuple[int, float]]] = [[] for _ in self.terms]
         for i, c in enumerate(counts):
             scores = {
-                t: log(1 + (len(items) - found[t] + 0.5) / (found[t] + 0.5)) * n * (K1 + 1)
+                t: log(1 + (whole.n_items - found[t] + 0.5) / (found[t] + 0.5)) * n * (K1 + 1)
                 / (n + K1 * (1 - B + B * lengths[i] / mean))
                 for t, n in c.items()
             }
@@ -268,13 +288,36 @@ _LEAKS = pa.schema(
 )
 
 
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Block, number of words and distinct words of each item."""
+    for batch in batches:
+        words = [words_of(t.as_py()) for t in batch.column(1)]
+        sizes, distinct = [len(w) for w in words], [sorted(set(w)) for w in words]
+        columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(distinct, pa.list_(pa.binary()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["block", "n_words", "words"])
+
+
 def item_indexes(items: DataFrame, per_index: int = ITEMS_PER_INDEX) -> Iterator[ItemIndex]:
-    """Indexes of at most about ``per_index`` items each, one after the other."""
+    """Indexes of at most about ``per_index`` items each, one after the other.
+
+    Weights and passage length are those of all items, counted in Spark, so a pair's
+    score does not depend on the blocks; a block gets the counts of its own words.
+    """
     rows = items.select(F.col("item_id").cast("long"), text_of().alias("text")).where(F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
     blocks = -(-rows.count() // per_index)
+    if not blocks:
+        return
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    words = rows.select("block", "text").mapInArrow(_item_words, "block long, n_words long, words array<binary>")
+    words = stage(words, "item-words")
+    totals = words.agg(F.count("*").alias("n_items"), F.sum("n_words").alias("n_words"), F.max("n_words").alias("longest")).first()
+    each = words.select("block", F.explode("words").alias("word"))
+    found = stage(each.groupBy("word").agg(F.count("*").alias("n")), "item-counts")
     for k in range(blocks):
-        own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        yield ItemIndex(sorted(((r["item_id"], r["text"]) for r in own), key=lambda x: (x[0] is not None, x)))
+        own = rows.where(F.col("block") == k).collect()
+        counts = found.join(each.where(F.col("block") == k), "word", "left_semi").collect()
+        whole = ItemStatistics(**totals.asDict(), found={bytes(r["word"]): r["n"] for r in counts})
+        yield ItemIndex(sorted(((r["item_id"], r["text"]) for r in own), key=lambda x: (x[0] is not None, x)), whole)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, per_index: int = ITEMS_PER_INDEX) -> DataFrame:

@@ -50,6 +50,57 @@ def test_leaks_are_found_wherever_they_lie(spark, documents, monkeypatch):
     assert decontaminate.find_leaks(docs.where("doc_id > 99"), items).count() == 0
 
 
+def _leaks_by_scoring_everything(docs, items):
+    """Every passage against every item, with BM25 as it is written in books."""
+    words = {i: t.split() for i, t in items}
+    found = Counter(w for own in words.values() for w in set(own))
+    mean = sum(map(len, words.values())) / len(words)
+    passage = max(64, 2 * max(map(len, words.values())))
+
+    def weight(w, own):
+        n = own.count(w)
+        idf = math.log(1 + (len(words) - found[w] + 0.5) / (found[w] + 0.5))
+        return idf * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(own) / mean))
+
+    weights = {i: {w: weight(w, own) for w in set(own)} for i, own in words.items()}
+    parts = {i: decontaminate.question_and_answer(t) for i, t in items}
+    out = {}
+    for doc_id, text in docs:
+        own = text.split()
+        for a in range(0, len(own), passage // 2):
+            window = own[a : a + passage]
+            held, coded = set(window), [w.encode() for w in window]
+            for i, each in weights.items():
+                score = sum(s for w, s in each.items() if w in held) / sum(each.values())
+                shares = [decontaminate.overlap(p, coded) for p in parts[i]]
+                if score >= 0.7 - 1e-9 and min(shares) >= 0.8:
+                    n, *best = out.get((doc_id, i), (0, 0.0, 0.0, 0.0))
+                    out[doc_id, i] = (n + 1, *map(max, best, (score, *shares)))
+    return out
+
+
+def test_leaks_equal_scoring_everything_whatever_the_blocks(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{i}" for i in range(400)]
+    share = 1 / np.arange(1, 401)
+    draw = lambda n: rng.choice(vocabulary, n, p=share / share.sum())
+    items = [(i, " ".join(draw(rng.integers(6, 40)))) for i in range(200)]
+    docs = []
+    for k in range(80):
+        copied = items[rng.integers(200)][1].split()
+        for at in rng.integers(0, len(copied), k % 4):  # up to three words replaced
+            copied[at] = "other"
+        docs.append((k, " ".join([*draw(rng.integers(0, 150)), *copied, *draw(rng.integers(0, 150))])))
+    want = _leaks_by_scoring_everything(docs, items)
+    assert 20 < len(want)
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, block string")
+    for per_index in (20_000, 40):
+        got = {(r[0], r[1]): tuple(r)[2:] for r in decontaminate.find_leaks(docs, items, per_index).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[key] == pytest.approx(want[key]) for key in want)
+
+
 def _without_repeats(rows, length=suffixes.LENGTH):
     """Kept bytes and spans of distinct rows in order."""
     seen, out = set(), []
