@@ -2,17 +2,21 @@
 
 A text is its token sequence: words lower-cased in A-Z, one space between, a line feed
 as the end. Every byte is predicted from the longest context of up to ``ORDER`` bytes
-that the trie knows. A symbol unseen there costs an escape, estimated from the number of
-different symbols seen (method C) and the mass of pruned ones, and the next shorter
-context decides, without the symbols that the longer one already excluded. Last comes a
-uniform choice among the bytes never seen. The code lengths of all bytes, and so the
-probabilities of all token sequences, sum to one.
-
-Counts come from all training rows: each task counts its ``ORDER + 1``-grams and words,
-Spark adds them up, and shorter grams are sums of longer ones. The trie keeps the grams
-whose share of the training bytes is at least ``1 / MAX_NODES``, so it has at most that
-many nodes per length at any size, and contexts stay closed under dropping bytes in
-front. Rows of the same children can be excluded by one subtraction for that reason.
+that training rows have. A symbol unseen there costs an escape, estimated from the number
+of different symbols seen (method C), and the next shorter context decides, without the
+symbols that the longer one already excluded. Last comes a uniform choice among the bytes
+never seen. The code lengths of all bytes, and so the probabilities of all token
+sequences, sum to one.
+
+The price of a byte depends on the ``ORDER + 1``-gram that ends in it alone. Tasks count
+these and Spark adds them up, none is dropped. Grams that agree in the ``NEAR`` bytes
+before the last one are priced together: they hold all longer contexts that end in these
+bytes, and shorter ones need only the counts of pairs of bytes. A context's symbols are
+symbols of every shorter one too, so they can be excluded by one subtraction.
+
+Grams with at least ``1 / MAX_NODES`` of all bytes, at most that many, travel to the
+executors with their prices. The others of a text are asked for: a task hands on packed
+lists of them by block of grams, the blocks add prices up by row, and rows get the sums.
 
 The base score counts words exactly. Words with at least ``1 / TOP_WORDS`` of the
 training tokens, at most that many, travel to the executors; all others are joined.
@@ -25,7 +29,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 from math import log10
 
 import numpy as np
@@ -43,8 +46,15 @@ TOP_WORDS = 1 << 17
 END = b"\n"
 #: Bytes that are worked on at once.
 HELD = 1 << 17
-#: Grams and words that a task holds before it hands on their counts.
-GRAMS_HELD, WORDS_HELD = 1 << 22, 1 << 19
+#: Bytes before the last one by which grams are priced together; a table of 256 to this plus one.
+NEAR = 2
+#: Rows that are scored before they are handed on.
+SCORED_ROWS = 1 << 10
+#: Blocks of grams that prices are asked from; grams and rows that wait before they are asked for.
+BLOCKS = 64
+ASKED, ASKED_ROWS = 1 << 19, 1 << 16
+#: Grams that a task collects before it counts them; counts and words that it holds.
+GRAMS_NEW, GRAMS_HELD, WORDS_HELD = 1 << 20, 1 << 22, 1 << 19
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -66,313 +76,355 @@ def grams(data: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-# ---------------------------------------------------------------- the trie
-
-
-@dataclass
-class Trie:
-    """Nodes by gram length; in every length 0 is no node, and length 0 has one node.
-
-    ``children[k]`` leads from a node of length ``k`` and a symbol to the longer gram.
-    The other arrays hold all lengths in a row, ``first[k]`` is where one begins. Of a
-    node as a context, as logs: ``used`` if it has children; ``stay``, what a symbol
-    found in it pays beside its count; ``leave``, its escape and all escapes below down
-    to no context; ``enter``, what to take back of those, and the total, where the symbol
-    is found in the next shorter context, from which this node's symbols are excluded.
-    """
-
-    symbols: np.ndarray
-    children: list[np.ndarray]
-    first: np.ndarray
-    used: np.ndarray
-    log_count: np.ndarray
-    stay: np.ndarray
-    leave: np.ndarray
-    enter: np.ndarray
-
-    def score(self, data: np.ndarray) -> np.ndarray:
-        """log10 probability of every byte, given up to ``order`` bytes before it."""
-        width = self.children[0].shape[1]
-        codes = self.symbols.take(data)
-        n = data.size
-        # Places in the joint arrays: of the longest usable context, of the symbol in the
-        # longest context that has it, and of the context just longer than that one.
-        top, symbol, above = (np.zeros(n, np.int32) for _ in range(3))
-        context = np.ones(n, np.int32)
-        found_below = np.ones(n, bool)
-        for k, child in enumerate(self.children):
-            gram = child.ravel().take(context * np.int32(width) + codes)
-            place = context + self.first[k]
-            usable = self.used.take(place)
-            found = gram > 0
-            found &= usable
-            np.copyto(top, place, where=usable)
-            np.copyto(above, place, where=usable & found_below & ~found)
-            np.copyto(symbol, gram + self.first[k + 1], where=found)
-            found_below = found
-            context = np.zeros(n, np.int32)
-            context[1:] = gram[:-1]
-        # ``above`` stays 0 where the longest context has the symbol.
-        found = above == 0
-        return self.log_count.take(symbol) + np.where(
-            found, self.stay.take(top), self.leave.take(top) - self.enter.take(above)
-        )
-
-
-def _find(sorted_: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each wanted gram in a sorted list counted from 1, or 0."""
-    if not sorted_.size:
-        return np.zeros(wanted.size, np.int64)
-    at = np.minimum(np.searchsorted(sorted_, wanted), sorted_.size - 1)
-    return np.where(sorted_[at] == wanted, at + 1, 0)
+# ---------------------------------------------------------------- prices of grams
 
 
 def _log(x: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(x, 1e-300))
 
 
-def build_trie(kept: list[tuple[np.ndarray, np.ndarray]], seen: list[tuple[np.ndarray, np.ndarray]]) -> Trie:
-    """Trie from kept grams and counts of length 1 to ``order + 1``.
+def _sums(place: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(place, n, minlength=size).astype(float)
+
+
+def prices(gram: np.ndarray, n: np.ndarray, pairs: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """log10 probability of the last byte of each gram, given the ``order`` bytes before.
 
-    ``seen[k]`` has contexts of length ``k`` and how often any symbol followed them,
-    pruned or not. All lists of grams are sorted.
+    ``gram, n``: all grams that share the ``NEAR`` bytes before the last one, with their
+    training counts, which may be 0. ``pairs[a, b]``: count of the byte b after a.
     """
-    order = len(kept) - 1
-    nodes = [np.zeros(1, np.uint64)]
-    counts, parents, suffixes = [np.zeros(1)], [None], [np.zeros(1, np.int64)]
-    for k in range(1, order + 2):
-        gram, count = kept[k - 1]
-        parent = _find(nodes[k - 1], gram >> np.uint64(8)) if k > 1 else np.ones(gram.size, np.int64)
-        on = parent > 0  # a gram over the start of a text has no path
-        gram, count, parent = gram[on], count[on], parent[on]
-        drop = np.uint64((1 << (8 * (k - 1))) - 1)
-        suffixes.append(_find(nodes[k - 1], gram & drop) if k > 1 else np.ones(gram.size, np.int64))
-        nodes.append(gram)
-        counts.append(count.astype(float))
-        parents.append(parent)
-    symbols = np.zeros(256, np.int32)
-    symbols[nodes[1].astype(np.int64)] = np.arange(1, nodes[1].size + 1)
-    width = nodes[1].size + 1
-    children, per_level = [], []
-    below_log = np.zeros(2)  # escapes below, of the shorter level with its empty place
-    for k in range(order + 2):
-        size = nodes[k].size
-        last = k == order + 1
-        below = np.zeros((0,), np.uint64) if last else nodes[k + 1]
-        child = np.zeros((size + 1, width), np.int32)
-        if not last:
-            child[parents[k + 1], symbols[(below & np.uint64(255)).astype(np.int64)]] = np.arange(1, below.size + 1)
-            children.append(child)
-        of = parents[k + 1] if not last else np.zeros(0, np.int64)
-        n = np.bincount(of, counts[k + 1] if not last else None, minlength=size + 1).astype(float)
-        d = np.bincount(of, minlength=size + 1).astype(float)
-        total_seen = n.copy()
-        if not last and k < len(seen):
-            at = _find(nodes[k], seen[k][0]) if k else np.ones(seen[k][0].size, np.int64)
-            total_seen[at[at > 0]] = seen[k][1][at > 0]
-        e = d + np.maximum(total_seen - n, 0)
-        used = d > 0
-        if k == 0:
-            total_below = np.full(size + 1, log10(max(1.0, 256 - float(d[1]))))
-            escapes = np.zeros(size + 1)
+    price = np.zeros(gram.size)
+    last = (gram & np.uint64(255)).astype(np.int64)
+    before = ((gram >> np.uint64(8)) & np.uint64(255)).astype(np.int64)
+    settled = np.zeros(gram.size, bool)
+    longer_d = longer_shared = None  # of the next longer context, once one is usable
+    for k in range(order, -1, -1):
+        if k < NEAR:
+            table = pairs if k else pairs.sum(axis=0)[None]
+            context = before if k else np.zeros_like(before)
+            symbol_n = table[context, last].astype(float)
+            context_n, context_d = table.sum(axis=1).astype(float)[context], (table > 0).sum(axis=1).astype(float)[context]
+            shorter = pairs.sum(axis=0)[None]
+            shared = np.where(table > 0, shorter, 0).sum(axis=1).astype(float)[context] if k else np.zeros(gram.size)
         else:
-            y = np.concatenate([[0], suffixes[k]])
-            shared = np.zeros(size + 1)
-            if not last:
-                np.add.at(shared, of, np.concatenate([[0.0], counts[k]])[suffixes[k + 1]])
-            n_y, d_y, lost_y = per_level[-1]["n"][y], per_level[-1]["d"][y], (per_level[-1]["e"] - per_level[-1]["d"])[y]
-            rest, others = np.maximum(n_y - shared, 0), np.maximum(d_y - d, 0) + lost_y
-            total_below = _log(np.maximum(rest + others, 1))
-            escapes = np.where(rest > 0, _log(others) - _log(rest + others), 0) + below_log[y]
-        per_level.append(
-            dict(n=n, d=d, e=e, used=used | (k == 0) & (np.arange(size + 1) > 0), log_count=_log(np.concatenate([[1.0], np.maximum(counts[k], 1)])),
-                 stay=-_log(np.maximum(n + e, 1)), leave=np.where(used, _log(e) - _log(n + e), 0) + escapes,
-                 enter=escapes + total_below)
-        )
-        below_log = escapes
-    first = np.concatenate([[0], np.cumsum([x["n"].size for x in per_level])[:-1]]).astype(np.int32)
-    joint = {
-        name: np.concatenate([x[name] for x in per_level])
-        for name in ("used", "log_count", "stay", "leave", "enter")
-    }
-    return Trie(symbols, children, first, **joint)
+            own = gram & np.uint64((1 << (8 * (k + 1))) - 1)
+            names, place = np.unique(own, return_inverse=True)
+            counts = _sums(place, n, names.size)
+            contexts, parent = np.unique(names >> np.uint64(8), return_inverse=True)
+            short = names & np.uint64((1 << (8 * k)) - 1)
+            if k == NEAR:
+                at = short.astype(np.int64)
+                short_n = (pairs[at >> 8, at & 255]).astype(float)
+            else:
+                all_short, short_place = np.unique(gram & np.uint64((1 << (8 * k)) - 1), return_inverse=True)
+                short_n = _sums(short_place, n, all_short.size)[np.searchsorted(all_short, short)]
+            seen = counts > 0
+            symbol_n = counts[place]
+            context_n = _sums(parent, counts, contexts.size)[parent][place]
+            context_d = _sums(parent, seen, contexts.size)[parent][place]
+            shared = _sums(parent, np.where(seen, short_n, 0), contexts.size)[parent][place]
+        # Counts and number of the symbols that the longer contexts don't exclude.
+        if longer_d is None:
+            longer_d, longer_shared = np.zeros(gram.size), np.zeros(gram.size)
+        rest, others = context_n - longer_shared, context_d - longer_d
+        hit = ~settled & (symbol_n > 0)
+        price += np.where(hit, _log(symbol_n) - _log(np.maximum(rest + others, 1)), 0)
+        settled |= hit
+        price += np.where(~settled & (rest > 0), _log(others) - _log(rest + others), 0)
+        longer_d, longer_shared = context_d, shared
+    return price - np.where(settled, 0, np.log10(np.maximum(1, 256 - longer_d)))
+
+
+def _block(gram: np.ndarray) -> np.ndarray:
+    """Block of each gram: the high bits of a product that mixes all of its bytes."""
+    return (gram * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(BLOCKS)
 
 
 # ---------------------------------------------------------------- counting on Spark
 
-COUNTS = "gram long, word binary, n long"
-_COUNTS = pa.schema([("gram", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
+COUNTS = "gram long, word binary, n long, times long"
+_COUNTS = pa.schema([("gram", pa.int64()), ("word", pa.binary()), ("n", pa.int64()), ("times", pa.int64())])
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def count_training(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """``COUNTS``: longest grams (word null) and tokens (gram null) of all rows, stored."""
+def count_all(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
+    """``COUNTS``: longest grams (word null) and tokens (gram null), stored.
+
+    ``n``: occurrences in training rows; ``times``: in all rows. Tokens are those of
+    training rows, grams those of all rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter[bytes] = Counter()
-        held: list[np.ndarray] = []
-        known, size = np.zeros((2, 0), np.int64), 0
+        held: tuple[list[np.ndarray], list[np.ndarray]] = [], []  # training, held out
+        known, size = np.zeros((3, 0), np.int64), 0
 
         def merged() -> np.ndarray:
-            new, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64),) * 2
-            both, place = np.unique(np.concatenate([known[0], _signed(new)]), return_inverse=True)
-            return np.stack([both, np.bincount(place, np.concatenate([known[1], n]), both.size).astype(np.int64)])
-
-        def rows(keys: list, n: list, at: int) -> pa.RecordBatch:
-            none = pa.nulls(len(n), (pa.int64(), pa.binary())[1 - at])
-            key = pa.array(keys, (pa.int64(), pa.binary())[at])
-            return pa.RecordBatch.from_arrays([key, none, pa.array(n)] if at == 0 else [none, key, pa.array(n)], schema=_COUNTS)
+            grams_, counts = [known[0]], [known[1:]]
+            for out, lists in enumerate(held):
+                if lists:
+                    new, n = np.unique(np.concatenate(lists), return_counts=True)
+                    grams_.append(_signed(new))
+                    counts.append(np.stack([n * (1 - out), n]))
+            both, place = np.unique(np.concatenate(grams_), return_inverse=True)
+            n = np.concatenate(counts, axis=1)
+            return np.stack([both, *(np.bincount(place, x, both.size).astype(np.int64) for x in n)])
+
+        def gram_rows(x: np.ndarray) -> pa.RecordBatch:
+            none = pa.nulls(x.shape[1], pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(x[0]), none, pa.array(x[1]), pa.array(x[2])], schema=_COUNTS)
+
+        def word_rows() -> pa.RecordBatch:
+            n = pa.array(words.values(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int64()), pa.array(words, pa.binary()), n, n], schema=_COUNTS)
 
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()):
+            for text, out in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist(), strict=True):
                 tokens = tokens_of(text.as_buffer().to_pybytes())
                 data = coded(tokens, order)
-                words.update(tokens)
-                words[END] += 1
-                held.append(grams(data, order + 1))
-                size += held[-1].size
-                if size >= GRAMS_HELD:
-                    known, held, size = merged(), [], 0
+                if not out:
+                    words.update(tokens)
+                    words[END] += 1
+                held[bool(out)].append(grams(data, order + 1))
+                size += data.size - order
+                if size >= GRAMS_NEW:
+                    known, held, size = merged(), ([], []), 0
                     if known.shape[1] >= GRAMS_HELD:
-                        yield rows(known[0], known[1], 0)
-                        known = np.zeros((2, 0), np.int64)
+                        yield gram_rows(known)
+                        known = np.zeros((3, 0), np.int64)
                 if len(words) >= WORDS_HELD:
-                    yield rows(list(words), list(words.values()), 1)
+                    yield word_rows()
                     words.clear()
         known = merged()
         for a in range(0, known.shape[1], WORDS_HELD):
-            yield rows(known[0][a : a + WORDS_HELD], known[1][a : a + WORDS_HELD], 0)
+            yield gram_rows(known[:, a : a + WORDS_HELD])
         if words:
-            yield rows(list(words), list(words.values()), 1)
+            yield word_rows()
+
+    partial = docs.select(text_of().alias("text"), held_out.alias("held_out")).mapInArrow(run, COUNTS)
+    return stage(partial.groupBy("gram", "word").agg(F.sum("n").alias("n"), F.sum("times").alias("times")), "counts")
+
+
+PRICED = "block int, chunk long, grams binary, each binary, slots binary"
+_PRICED = pa.schema([("block", pa.int32()), ("chunk", pa.int64())] + [(x, pa.binary()) for x in ("grams", "each", "slots")])
+
 
-    partial = docs.select(text_of().alias("text")).mapInArrow(run, COUNTS)
-    return stage(partial.groupBy("gram", "word").agg(F.sum("n").alias("n")), "counts")
+def _packed(block: int, chunk: int | None, *arrays: np.ndarray | None) -> dict:
+    """A row of ``PRICED``; sorted grams are stored as steps, which take less room."""
+    grams_, *others = arrays
+    steps = np.diff(grams_, prepend=np.uint64(0))
+    return dict(zip(_PRICED.names, (block, chunk, *(None if x is None else x.tobytes() for x in (steps, *others))), strict=True))
 
 
-def fit_trie(counts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> Trie:
-    """Trie of the grams with at least ``1 / max_nodes`` of all training bytes."""
-    longest = counts.where("gram is not null").select("gram", "n")
-    total = longest.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+def _unpacked(grams_: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(grams_, np.uint64), dtype=np.uint64)
+
+
+def price_grams(counts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """``PRICED`` (chunk null) of all grams by block, stored, and the frequent ones with their prices."""
+    longest = counts.where("gram is not null").select("gram", "n", "times")
+    total = longest.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]
     least = max(1, -(-total // max_nodes))
-    by_length = longest.select(
-        F.explode(
-            F.array(
-                *(
-                    F.struct(F.lit(k).alias("k"), F.col("gram").bitwiseAND(F.lit((1 << (8 * k)) - 1)).alias("g"))
-                    for k in range(1, order + 2)
-                )
-            )
-        ).alias("x"),
-        "n",
-    ).groupBy("x.k", "x.g").agg(F.sum("n").alias("n"))
-    by_length = stage(by_length, "grams")
-    after = by_length.groupBy((F.col("k") - 1).alias("k"), F.shiftright("g", 8).alias("g")).agg(F.sum("n").alias("n"))
-
-    def lists(table: DataFrame, lengths: range) -> list[tuple[np.ndarray, np.ndarray]]:
-        rows = table.where(F.col("n") >= least).orderBy("k", "g").toArrow()
-        k, g, n = (rows[c].to_numpy() for c in ("k", "g", "n"))
-        return [(g[k == x].astype(np.uint64), n[k == x]) for x in lengths]
-
-    return build_trie(lists(by_length, range(1, order + 2)), lists(after, range(order + 1)))
+    pairs = np.zeros((256, 256), np.int64)
+    by_pair = longest.groupBy(F.col("gram").bitwiseAND(F.lit(65535)).alias("pair")).agg(F.sum("n").alias("n"))
+    for r in by_pair.collect():
+        pairs[r["pair"] >> 8, r["pair"] & 255] = r["n"]
+
+    def run(table: pa.Table) -> pa.Table:
+        gram, n, times = (table[c].to_numpy() for c in ("gram", "n", "times"))
+        at = np.argsort(gram)
+        gram, n, often = gram[at].astype(np.uint64), n[at], times[at] >= least
+        price, block = prices(gram, n, pairs, order), _block(gram)
+        rows = []
+        for b, chosen in [(-1, often), *((x, (block == x) & ~often) for x in np.unique(block).tolist())]:
+            if chosen.any():
+                rows.append(_packed(b, None, gram[chosen], price[chosen], None))
+        return pa.Table.from_pylist(rows, schema=_PRICED)
+
+    near = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << (8 * NEAR)) - 1))
+    priced = stage(longest.withColumn("near", near).groupBy("near").applyInArrow(run, PRICED), "prices")
+    rows = priced.where("block = -1").select("grams", "each").collect()
+    gram = np.concatenate([np.zeros(0, np.uint64), *(_unpacked(r["grams"]) for r in rows)])
+    price = np.concatenate([np.zeros(0), *(np.frombuffer(r["each"]) for r in rows)])
+    at = np.argsort(gram)
+    return priced.where("block >= 0"), gram[at], price[at]
 
 
 # ---------------------------------------------------------------- scoring on Spark
 
 SCORED = (
     "row long, doc_id long, held_out boolean, n_tokens long, n_top long, top_sum double, score double, "
-    "rare array<struct<word:binary,n:int>>"
+    "rare array<struct<word:binary,n:int>>, " + PRICED
 )
 _SCORED = pa.schema(
     [
         ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
         ("n_top", pa.int64()), ("top_sum", pa.float64()), ("score", pa.float64()),
-        ("rare", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))),
+        ("rare", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))), *_PRICED,
     ]
 )
 
 
-def score_texts(docs: DataFrame, trie: Trie, top: dict[bytes, float], held_out: Column, order: int = ORDER) -> DataFrame:
-    """``SCORED`` of every row, stored: trie scores, and what the top words say of the base.
+def _asked(chunk: int, gram: np.ndarray, slot: np.ndarray) -> list[dict]:
+    """Packed lists by block: the different grams, how often each comes, and the rows they are in."""
+    order = np.lexsort((slot, gram))
+    gram, slot = gram[order], slot[order].astype(np.uint16)
+    block, out = _block(gram), []
+    for b in np.unique(block).tolist():
+        chosen = block == b
+        names, each = np.unique(gram[chosen], return_counts=True)
+        out.append(_packed(b, chunk, names, each.astype(np.uint32), slot[chosen]))
+    return out
+
 
-    A text is worked on in pieces of ``HELD`` bytes that share ``order`` bytes of context.
+def score_texts(
+    docs: DataFrame, gram: np.ndarray, price: np.ndarray, top: dict[bytes, float], held_out: Column, order: int = ORDER
+) -> DataFrame:
+    """``SCORED``, stored: of every row what frequent grams and top words say; ``PRICED`` lists of the other grams.
+
+    Texts are worked on about ``HELD`` bytes at once. Lists have grams of up to ``ASKED_ROWS``
+    rows from number ``chunk`` on; those of a long text may be in several lists.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((trie, top))
+    sent = docs.sparkSession.sparkContext.broadcast((gram, price, top))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, top = sent.value
-        row = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            out, data, sizes, open_ = [], [], [], 0
-
-            def scores(data: list[np.ndarray], sizes: list[int]) -> list[float]:
-                if not data:
-                    return []
-                whole = np.concatenate(data)
-                each = np.zeros(whole.size)
-                for a in range(0, whole.size, HELD):
-                    lead = min(a, order)
-                    each[a : a + HELD] = trie.score(whole[a - lead : a + HELD])[lead:]
-                stops = np.cumsum(sizes)
-                starts = stops - sizes + order
-                pairs = np.stack([starts, stops], axis=1).ravel()
-                return np.add.reduceat(np.append(each, 0.0), pairs)[::2].tolist()
-
-            found: list[float] = []
-            texts = batch.column(2).cast(pa.binary())
-            for text in texts:
+        known, price, top = sent.value
+        row = chunk = TaskContext.get().partitionId() << 33
+        open_: list[tuple[int, np.ndarray]] = []
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        n_open = n_waiting = 0
+
+        def asked() -> Iterator[pa.RecordBatch]:
+            nonlocal waiting, n_waiting
+            if n_waiting:
+                lists = _asked(chunk, *(np.concatenate(x) for x in zip(*waiting, strict=True)))
+                yield pa.RecordBatch.from_pylist(lists, schema=_SCORED)
+            waiting, n_waiting = [], 0
+
+        def look_up(first: int, rows: int) -> np.ndarray:
+            """Sums of known prices from row ``first`` on; the other grams wait with their rows."""
+            nonlocal open_, n_open, n_waiting
+            if not open_:
+                return np.zeros(rows)
+            whole = np.concatenate([g for _, g in open_])
+            of = np.repeat([r for r, _ in open_], [g.size for _, g in open_])
+            names, place = np.unique(whole, return_inverse=True)
+            value, has = np.zeros(names.size), np.zeros(names.size, bool)
+            if known.size:
+                at = np.minimum(np.searchsorted(known, names), known.size - 1)
+                has = known[at] == names
+                value = np.where(has, price[at], 0)
+            missing = ~has[place]
+            waiting.append((whole[missing], of[missing] - chunk))
+            n_waiting += waiting[-1][0].size
+            open_, n_open = [], 0
+            return np.bincount(of - first, value[place], rows)
+
+        for batch in (b.slice(a, SCORED_ROWS) for b in batches for a in range(0, b.num_rows, SCORED_ROWS)):
+            first, n = row, batch.num_rows
+            sums, out = np.zeros(n), []
+            for text in batch.column(2).cast(pa.binary()):
                 tokens = tokens_of(text.as_buffer().to_pybytes())
-                data.append(coded(tokens, order))
-                sizes.append(data[-1].size)
-                open_ += sizes[-1]
-                if open_ >= HELD:
-                    found += scores(data, sizes)
-                    data, sizes, open_ = [], [], 0
+                own = grams(coded(tokens, order), order + 1)
+                for a in range(0, own.size, HELD):
+                    open_.append((row, own[a : a + HELD]))
+                    n_open += open_[-1][1].size
+                    full = row - chunk >= ASKED_ROWS - 1
+                    if n_open >= HELD or full:
+                        sums += look_up(first, n)
+                    if n_waiting >= ASKED or full:
+                        if open_:
+                            sums += look_up(first, n)
+                        yield from asked()
+                        chunk = row
+                row += 1
                 tokens.append(END)
                 values = [top.get(w) for w in tokens]
                 rare = Counter([w for w, v in zip(tokens, values, strict=True) if v is None])
-                known = [v for v in values if v is not None]
-                out.append((len(tokens), len(known), sum(known), [{"word": w, "n": n} for w, n in rare.items()]))
-            found += scores(data, sizes)
+                found = [v for v in values if v is not None]
+                out.append((len(tokens), len(found), sum(found), [{"word": w, "n": c} for w, c in rare.items()]))
+            sums += look_up(first, n)
             if out:
-                n, n_top, sums, rare = zip(*out, strict=True)
+                n_tokens, n_top, top_sums, rare = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(range(row, row + len(out)), pa.int64()), batch.column(0), batch.column(1),
-                        pa.array(n, pa.int64()), pa.array(n_top, pa.int64()), pa.array(sums, pa.float64()),
-                        pa.array(found, pa.float64()), pa.array(rare, _SCORED.field("rare").type),
+                        pa.array(range(first, row), pa.int64()), batch.column(0), batch.column(1),
+                        pa.array(n_tokens, pa.int64()), pa.array(n_top, pa.int64()), pa.array(top_sums, pa.float64()),
+                        pa.array(sums), pa.array(rare, _SCORED.field("rare").type), *(pa.nulls(n, f.type) for f in _PRICED),
                     ],
                     schema=_SCORED,
                 )
-                row += len(out)
+        yield from asked()
 
     slim = docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), text_of().alias("text"))
     return stage(slim.mapInArrow(run, SCORED), "scored")
 
 
+def sums_of_asked(priced: DataFrame, asked: DataFrame) -> DataFrame:
+    """``row, asked``: sums of the prices of the grams in packed lists, for every list of a row.
+
+    A block's prices come first in its task, then its lists one by one.
+    """
+    answer = pa.schema([("chunk", pa.int64()), ("slots", pa.binary()), ("sums", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, parts, known = None, [], None
+        for batch in batches:
+            for block, chunk, *packed in zip(*(batch.column(x).to_pylist() for x in _PRICED.names), strict=True):
+                names = _unpacked(packed[0])
+                if block != of:
+                    of, parts, known = block, [], None
+                if chunk is None:
+                    parts.append((names, np.frombuffer(packed[1])))
+                    continue
+                if known is None:
+                    gram, price = (np.concatenate(x) for x in zip(*parts, strict=True))
+                    at = np.argsort(gram)
+                    known, price, parts = gram[at], price[at], []
+                each, slots = np.frombuffer(packed[1], np.uint32), np.frombuffer(packed[2], np.uint16)
+                value = np.repeat(price[np.searchsorted(known, names)], each)
+                rows = np.flatnonzero(np.bincount(slots)).astype(np.uint16)
+                sums = np.bincount(slots, value)[rows]
+                yield pa.RecordBatch.from_pylist([{"chunk": chunk, "slots": rows.tobytes(), "sums": sums.tobytes()}], schema=answer)
+
+    def add(table: pa.Table) -> pa.Table:
+        slots = np.concatenate([np.frombuffer(x, np.uint16) for x in table["slots"].to_pylist()])
+        sums = np.concatenate([np.frombuffer(x) for x in table["sums"].to_pylist()])
+        rows = np.unique(slots)
+        return pa.table({"row": table["chunk"][0].as_py() + rows.astype(np.int64), "asked": np.bincount(slots, sums)[rows]})
+
+    lists = priced.unionByName(asked).repartition(BLOCKS, "block").sortWithinPartitions("block", F.col("chunk").isNotNull())
+    found = lists.mapInArrow(run, "chunk long, slots binary, sums binary")
+    return found.groupBy("chunk").applyInArrow(add, "row long, asked double")
+
+
 def score_documents(docs: DataFrame, held_out: Column, order: int = ORDER, max_nodes: int = MAX_NODES, top_words: int = TOP_WORDS) -> DataFrame:
     """Scores of all rows by a model of those that aren't held out.
 
     ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
     """
-    counts = count_training(docs.where(~held_out), order)
+    counts = count_all(docs, held_out, order)
     words = counts.where("word is not null").select("word", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log_all = log10(total + 0.5 * (distinct + 1))
     often = words.where(F.col("n") * top_words >= total)
     top = {bytes(r["word"]): log10(r["n"] + 0.5) for r in often.collect()}
-    scored = score_texts(docs, fit_trie(counts, order, max_nodes), top, held_out, order)
+    priced, gram, price = price_grams(counts, order, max_nodes)
+    both = score_texts(docs, gram, price, top, held_out, order)
+    scored = both.where("row is not null").drop(*priced.columns)
+    asked = sums_of_asked(priced, both.where("block is not null").select(*priced.columns))
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.n").alias("times"))
-    per_row = (
-        rare.join(words, "word", "left")
-        .groupBy("row")
-        .agg(
-            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("n_rare"),
-            F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare_sum"),
-        )
+    of_words = rare.join(words, "word", "left").select(
+        "row",
+        F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("n_rare"),
+        (F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare_sum"),
+        F.lit(0.0).alias("asked"),
     )
+    of_grams = asked.select("row", F.lit(0).alias("n_rare"), F.lit(0.0).alias("rare_sum"), "asked")
+    per_row = of_words.union(of_grams).groupBy("row").agg(*(F.sum(c).alias(c) for c in ("n_rare", "rare_sum", "asked")))
     none = F.lit(0)
     return scored.drop("rare").join(per_row, "row", "left").select(
         "doc_id",
@@ -381,5 +433,5 @@ def score_documents(docs: DataFrame, held_out: Column, order: int = ORDER, max_n
         (F.col("n_top") + F.coalesce("n_rare", none)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("top_sum") + F.coalesce("rare_sum", none) - F.col("n_tokens") * F.lit(log_all)).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("asked", none)).alias("score"),
     )

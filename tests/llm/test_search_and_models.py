@@ -256,6 +256,23 @@ def test_ppm_against_brute_force(spark):
         assert r["base_score"] == pytest.approx(base) and r["score"] == pytest.approx(want[i])
 
 
+def test_ppm_keeps_all_grams_whatever_is_frequent(spark, monkeypatch):
+    """Rare grams of order 5 count too, and rows that make them rarer still don't change that."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join("".join(rng.choice(list("abcDé"), rng.integers(1, 6))) for _ in range(rng.integers(1, 60))) for _ in range(60)]
+    texts += ["", None, "x", "zzzz qqqq", "ab " * 60_000, "ab " * 60_000, "é" * 300]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    train = [(t or "").encode() for i, t in enumerate(texts) if i % 4 != 1]
+    want = _ppm_brute(train, [(t or "").encode() for t in texts], 5)
+    # Lists of a few grams and rows, so that texts and tasks have several of them.
+    monkeypatch.setattr(ppm, "ASKED", 500)
+    monkeypatch.setattr(ppm, "ASKED_ROWS", 4)
+    for max_nodes in (1 << 19, 8, 1 << 60):
+        got = ppm.score_documents(docs, F.col("doc_id") % 4 == 1, max_nodes=max_nodes).collect()
+        assert len(got) == len(texts)
+        assert all(r["score"] == pytest.approx(want[r["doc_id"]]) for r in got)
+
+
 def test_ppm_without_training_rows(spark, odd_documents, no_documents):
     got = ppm.score_documents(odd_documents, F.lit(True), order=2).collect()
     assert len(got) == odd_documents.count() and {r["n_known"] for r in got} == {0}
