@@ -28,14 +28,14 @@ class Chain(Domain):
 
     @cached_property
     def measures(self) -> DataFrame:
-        raw = raw_measures(
+        """A union of stored tables; nothing is gained by writing it once more."""
+        return raw_measures(
             self.gl_account,
             self.gl_transaction,
             self.invoice_dso,
             self.division_lookup,
             self.settings,
         )
-        return stage(raw, "measures")
 
     @property
     def kpis(self) -> DataFrame:

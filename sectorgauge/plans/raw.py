@@ -30,13 +30,17 @@ def raw_measures(
     shuffles of the roll-up.
 
     The ledger measures are stored before the bad divisions are looked up in them:
-    reading two codes again is cheaper than computing the ledger twice.
+    reading two codes again is cheaper than computing the ledger twice. The bad
+    divisions and the days to cash are stored too, so the result is a union of stored
+    tables without a few divisions: it can be read more than once, and a caller need
+    not write the largest table a second time.
     """
     eligible = eligible_divisions(lookup)
     codes = choose_account_codes(accounts, settings).join(
         eligible, "division", "left_semi"
     )
     ledger = stage(ledger_measures(transactions, codes, settings), "ledger")
-    bad = bad_divisions(ledger, settings)
+    bad = stage(bad_divisions(ledger, settings), "bad-divisions")
     d2c = days_to_cash(invoices, settings).join(eligible, "division", "left_semi")
+    d2c = stage(d2c, "days-to-cash")
     return drop_bad_divisions(ledger.unionByName(d2c), bad)
