@@ -17,9 +17,11 @@ symbols of every shorter one too, so they can be excluded by one subtraction.
 Grams with at least ``1 / MAX_NODES`` of all bytes, at most that many, travel to the
 executors with their prices. The others of a text are asked for: a task hands on packed
 lists of them by block of grams, the blocks add prices up by row, and rows get the sums.
+Texts of a task share its lists, so a gram goes once for all of them.
 
 The base score counts words exactly. Words with at least ``1 / TOP_WORDS`` of the
-training tokens, at most that many, travel to the executors; all others are joined.
+training tokens, at most that many, travel to the executors; all others are joined, a
+word of a list once with the rows that it is in.
 
 Null and empty texts have the end token only. Repeated rows are scored one by one. With
 no training rows every byte costs the uniform choice. Other columns may have any name.
@@ -37,8 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sectorgauge.llm.common import text_of
-from sectorgauge.sources.stages import stage
+from sectorgauge.llm.common import packed, text_of, unpacked
+from sectorgauge.sources.stages import free_shuffles, stage
 
 ORDER = 5
 MAX_NODES = 1 << 19
@@ -52,7 +54,7 @@ NEAR = 2
 SCORED_ROWS = 1 << 10
 #: Blocks of grams that prices are asked from; grams and rows that wait before they are asked for.
 BLOCKS = 64
-ASKED, ASKED_ROWS = 1 << 19, 1 << 16
+ASKED, ASKED_ROWS = 1 << 21, 1 << 16
 #: Grams that a task collects before it counts them; counts and words that it holds.
 GRAMS_NEW, GRAMS_HELD, WORDS_HELD = 1 << 20, 1 << 22, 1 << 19
 
@@ -216,11 +218,11 @@ def _packed(block: int, chunk: int | None, *arrays: np.ndarray | None) -> dict:
     """A row of ``PRICED``; sorted grams are stored as steps, which take less room."""
     grams_, *others = arrays
     steps = np.diff(grams_, prepend=np.uint64(0))
-    return dict(zip(_PRICED.names, (block, chunk, *(None if x is None else x.tobytes() for x in (steps, *others))), strict=True))
+    return dict(zip(_PRICED.names, (block, chunk, *(None if x is None else packed(x) for x in (steps, *others))), strict=True))
 
 
 def _unpacked(grams_: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(grams_, np.uint64), dtype=np.uint64)
+    return np.cumsum(unpacked(grams_, "<u8"), dtype=np.uint64)
 
 
 def price_grams(counts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> tuple[DataFrame, np.ndarray, np.ndarray]:
@@ -248,7 +250,7 @@ def price_grams(counts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODE
     priced = stage(longest.withColumn("near", near).groupBy("near").applyInArrow(run, PRICED), "prices")
     rows = priced.where("block = -1").select("grams", "each").collect()
     gram = np.concatenate([np.zeros(0, np.uint64), *(_unpacked(r["grams"]) for r in rows)])
-    price = np.concatenate([np.zeros(0), *(np.frombuffer(r["each"]) for r in rows)])
+    price = np.concatenate([np.zeros(0), *(unpacked(r["each"], "<f8") for r in rows)])
     at = np.argsort(gram)
     return priced.where("block >= 0"), gram[at], price[at]
 
@@ -256,37 +258,61 @@ def price_grams(counts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODE
 # ---------------------------------------------------------------- scoring on Spark
 
 SCORED = (
-    "row long, doc_id long, held_out boolean, n_tokens long, n_top long, top_sum double, score double, "
-    "rare array<struct<word:binary,n:int>>, " + PRICED
+    "row long, doc_id long, held_out boolean, n_tokens long, n_top long, top_sum double, score double, word binary, " + PRICED
 )
 _SCORED = pa.schema(
     [
         ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
         ("n_top", pa.int64()), ("top_sum", pa.float64()), ("score", pa.float64()),
-        ("rare", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))), *_PRICED,
+        ("word", pa.binary()), *_PRICED,
     ]
 )
 
 
 def _asked(chunk: int, gram: np.ndarray, slot: np.ndarray) -> list[dict]:
     """Packed lists by block: the different grams, how often each comes, and the rows they are in."""
-    order = np.lexsort((slot, gram))
-    gram, slot = gram[order], slot[order].astype(np.uint16)
-    block, out = _block(gram), []
-    for b in np.unique(block).tolist():
-        chosen = block == b
-        names, each = np.unique(gram[chosen], return_counts=True)
-        out.append(_packed(b, chunk, names, each.astype(np.uint32), slot[chosen]))
+    if gram.max() < 1 << 48:  # a gram and its row in one number are sorted fastest
+        both = np.sort(gram << np.uint64(16) | slot)
+        gram, slot = both >> np.uint64(16), both.astype(np.uint16)
+    else:
+        order = np.argsort(gram, kind="stable")
+        gram, slot = gram[order], slot[order]
+    first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+    names, each = gram[first], np.diff(np.append(first, gram.size))
+    block = _block(names).astype(np.uint16)
+    order = np.argsort(block, kind="stable")
+    block, names, each = block[order], names[order], each[order]
+    ends = np.cumsum(each)
+    slot = slot[np.repeat(first[order] - ends + each, each) + np.arange(slot.size)]
+    cuts, out = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), block.size), []
+    for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+        own = slot[ends[a] - each[a] : ends[z - 1]]
+        out.append(_packed(int(block[a]), chunk, names[a:z], each[a:z].astype(np.uint32), own))
     return out
 
 
+def _asked_words(chunk: int, words: list[pa.Array], slot: np.ndarray) -> pa.RecordBatch:
+    """A row for every different word, with the rows that it is in."""
+    coded = pa.concat_arrays(words).dictionary_encode()
+    codes, n = coded.indices.to_numpy(), len(coded.dictionary)
+    ends = np.cumsum(np.append(0, np.bincount(codes, minlength=n)), dtype=np.int32) * np.int32(slot.itemsize)
+    slots = slot[np.argsort(codes, kind="stable")].tobytes()
+    own = {
+        "word": coded.dictionary,
+        "chunk": pa.repeat(pa.scalar(chunk, pa.int64()), n),
+        "slots": pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(slots)]),
+    }
+    return pa.RecordBatch.from_arrays([own.get(f.name, pa.nulls(n, f.type)) for f in _SCORED], schema=_SCORED)
+
+
 def score_texts(
     docs: DataFrame, gram: np.ndarray, price: np.ndarray, top: dict[bytes, float], held_out: Column, order: int = ORDER
 ) -> DataFrame:
-    """``SCORED``, stored: of every row what frequent grams and top words say; ``PRICED`` lists of the other grams.
+    """``SCORED``, stored: of every row what frequent grams and top words say, and what is asked for.
 
-    Texts are worked on about ``HELD`` bytes at once. Lists have grams of up to ``ASKED_ROWS``
-    rows from number ``chunk`` on; those of a long text may be in several lists.
+    That is ``PRICED`` lists of the other grams, and the other words (``word, chunk, slots``).
+    Texts are worked on about ``HELD`` bytes or words at once. Lists have grams and words of up
+    to ``ASKED_ROWS`` rows from number ``chunk`` on; those of a long text may be in several lists.
     """
     sent = docs.sparkSession.sparkContext.broadcast((gram, price, top))
 
@@ -294,15 +320,20 @@ def score_texts(
         known, price, top = sent.value
         row = chunk = TaskContext.get().partitionId() << 33
         open_: list[tuple[int, np.ndarray]] = []
+        open_words: list[tuple[int, list[bytes]]] = []
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
-        n_open = n_waiting = 0
+        words_waiting: list[tuple[pa.Array, np.ndarray]] = []
+        n_open = n_open_words = n_waiting = 0
 
         def asked() -> Iterator[pa.RecordBatch]:
-            nonlocal waiting, n_waiting
-            if n_waiting:
+            nonlocal waiting, words_waiting, n_waiting
+            if waiting:
                 lists = _asked(chunk, *(np.concatenate(x) for x in zip(*waiting, strict=True)))
                 yield pa.RecordBatch.from_pylist(lists, schema=_SCORED)
-            waiting, n_waiting = [], 0
+            if words_waiting:
+                words, slots = zip(*words_waiting, strict=True)
+                yield _asked_words(chunk, list(words), np.concatenate(slots))
+            waiting, words_waiting, n_waiting = [], [], 0
 
         def look_up(first: int, rows: int) -> np.ndarray:
             """Sums of known prices from row ``first`` on; the other grams wait with their rows."""
@@ -318,42 +349,62 @@ def score_texts(
                 has = known[at] == names
                 value = np.where(has, price[at], 0)
             missing = ~has[place]
-            waiting.append((whole[missing], of[missing] - chunk))
-            n_waiting += waiting[-1][0].size
+            if missing.any():
+                waiting.append((whole[missing], (of[missing] - chunk).astype(np.uint16)))
+                n_waiting += waiting[-1][0].size
             open_, n_open = [], 0
             return np.bincount(of - first, value[place], rows)
 
+        def look_up_words(first: int, rows: int) -> np.ndarray:
+            """Numbers and sums of top words from row ``first`` on; the other words wait with their rows."""
+            nonlocal open_words, n_open_words, n_waiting
+            if not open_words:
+                return np.zeros((2, rows))
+            of = np.repeat([r for r, _ in open_words], [len(w) for _, w in open_words])
+            coded = pa.array([w for _, own in open_words for w in own], pa.binary()).dictionary_encode()
+            codes = coded.indices.to_numpy()
+            value = np.array([top.get(w, np.nan) for w in coded.dictionary.to_pylist()])[codes]
+            has = ~np.isnan(value)
+            if not has.all():
+                words_waiting.append((coded.dictionary.take(pa.array(codes[~has])), (of[~has] - chunk).astype(np.uint16)))
+                n_waiting += words_waiting[-1][1].size
+            open_words, n_open_words = [], 0
+            return np.stack([np.bincount(of - first, w, rows) for w in (has, np.where(has, value, 0))])
+
         for batch in (b.slice(a, SCORED_ROWS) for b in batches for a in range(0, b.num_rows, SCORED_ROWS)):
             first, n = row, batch.num_rows
-            sums, out = np.zeros(n), []
+            sums, of_words, n_tokens = np.zeros(n), np.zeros((2, n)), []
             for text in batch.column(2).cast(pa.binary()):
                 tokens = tokens_of(text.as_buffer().to_pybytes())
                 own = grams(coded(tokens, order), order + 1)
+                tokens.append(END)
+                n_tokens.append(len(tokens))
+                full = row - chunk >= ASKED_ROWS - 1
                 for a in range(0, own.size, HELD):
                     open_.append((row, own[a : a + HELD]))
                     n_open += open_[-1][1].size
-                    full = row - chunk >= ASKED_ROWS - 1
-                    if n_open >= HELD or full:
+                    if n_open >= HELD:
                         sums += look_up(first, n)
                     if n_waiting >= ASKED or full:
-                        if open_:
-                            sums += look_up(first, n)
+                        sums += look_up(first, n)
+                        of_words += look_up_words(first, n)
                         yield from asked()
                         chunk = row
+                        full = False
+                for a in range(0, len(tokens), HELD):
+                    open_words.append((row, tokens[a : a + HELD]))
+                    n_open_words += len(open_words[-1][1])
+                    if n_open_words >= HELD:
+                        of_words += look_up_words(first, n)
                 row += 1
-                tokens.append(END)
-                values = [top.get(w) for w in tokens]
-                rare = Counter([w for w, v in zip(tokens, values, strict=True) if v is None])
-                found = [v for v in values if v is not None]
-                out.append((len(tokens), len(found), sum(found), [{"word": w, "n": c} for w, c in rare.items()]))
             sums += look_up(first, n)
-            if out:
-                n_tokens, n_top, top_sums, rare = zip(*out, strict=True)
+            of_words += look_up_words(first, n)
+            if n_tokens:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(range(first, row), pa.int64()), batch.column(0), batch.column(1),
-                        pa.array(n_tokens, pa.int64()), pa.array(n_top, pa.int64()), pa.array(top_sums, pa.float64()),
-                        pa.array(sums), pa.array(rare, _SCORED.field("rare").type), *(pa.nulls(n, f.type) for f in _PRICED),
+                        pa.array(n_tokens, pa.int64()), pa.array(of_words[0].astype(np.int64)), pa.array(of_words[1]),
+                        pa.array(sums), pa.nulls(n, pa.binary()), *(pa.nulls(n, f.type) for f in _PRICED),
                     ],
                     schema=_SCORED,
                 )
@@ -373,18 +424,18 @@ def sums_of_asked(priced: DataFrame, asked: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, parts, known = None, [], None
         for batch in batches:
-            for block, chunk, *packed in zip(*(batch.column(x).to_pylist() for x in _PRICED.names), strict=True):
-                names = _unpacked(packed[0])
+            for block, chunk, *lists in zip(*(batch.column(x).to_pylist() for x in _PRICED.names), strict=True):
+                names = _unpacked(lists[0])
                 if block != of:
                     of, parts, known = block, [], None
                 if chunk is None:
-                    parts.append((names, np.frombuffer(packed[1])))
+                    parts.append((names, unpacked(lists[1], "<f8")))
                     continue
                 if known is None:
                     gram, price = (np.concatenate(x) for x in zip(*parts, strict=True))
                     at = np.argsort(gram)
                     known, price, parts = gram[at], price[at], []
-                each, slots = np.frombuffer(packed[1], np.uint32), np.frombuffer(packed[2], np.uint16)
+                each, slots = unpacked(lists[1], "<u4"), unpacked(lists[2], "<u2")
                 value = np.repeat(price[np.searchsorted(known, names)], each)
                 rows = np.flatnonzero(np.bincount(slots)).astype(np.uint16)
                 sums = np.bincount(slots, value)[rows]
@@ -401,6 +452,24 @@ def sums_of_asked(priced: DataFrame, asked: DataFrame) -> DataFrame:
     return found.groupBy("chunk").applyInArrow(add, "row long, asked double")
 
 
+def sums_of_words(asked: DataFrame, words: DataFrame) -> DataFrame:
+    """``row, n_rare, rare_sum``: known words and sums of log10(n + 0.5) of asked words, for every list of a row.
+
+    ``asked``: ``word, chunk, slots``; ``words``: ``word, n``.
+    """
+
+    def add(table: pa.Table) -> pa.Table:
+        slots, n = (table[c].to_pylist() for c in ("slots", "n"))
+        of = np.frombuffer(b"".join(slots), np.uint16)
+        n = np.repeat(np.array(n, np.int64), [len(x) // 2 for x in slots])
+        rows = np.unique(of)
+        known, sums = (np.bincount(of, x)[rows] for x in (n > 0, np.log10(n + 0.5)))
+        return pa.table({"row": table["chunk"][0].as_py() + rows.astype(np.int64), "n_rare": known.astype(np.int64), "rare_sum": sums})
+
+    found = asked.join(words, "word", "left").select("chunk", "slots", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return found.groupBy("chunk").applyInArrow(add, "row long, n_rare long, rare_sum double")
+
+
 def score_documents(docs: DataFrame, held_out: Column, order: int = ORDER, max_nodes: int = MAX_NODES, top_words: int = TOP_WORDS) -> DataFrame:
     """Scores of all rows by a model of those that aren't held out.
 
@@ -414,19 +483,15 @@ def score_documents(docs: DataFrame, held_out: Column, order: int = ORDER, max_n
     top = {bytes(r["word"]): log10(r["n"] + 0.5) for r in often.collect()}
     priced, gram, price = price_grams(counts, order, max_nodes)
     both = score_texts(docs, gram, price, top, held_out, order)
-    scored = both.where("row is not null").drop(*priced.columns)
-    asked = sums_of_asked(priced, both.where("block is not null").select(*priced.columns))
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.n").alias("times"))
-    of_words = rare.join(words, "word", "left").select(
-        "row",
-        F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("n_rare"),
-        (F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare_sum"),
-        F.lit(0.0).alias("asked"),
-    )
-    of_grams = asked.select("row", F.lit(0).alias("n_rare"), F.lit(0.0).alias("rare_sum"), "asked")
+    scored = both.where("row is not null").drop("word", *priced.columns)
+    asked = stage(sums_of_asked(priced, both.where("block is not null").select(*priced.columns)), "asked")
+    free_shuffles(docs.sparkSession)
+    of_words = sums_of_words(both.where("word is not null").select("word", "chunk", "slots"), words)
+    of_words = of_words.select("*", F.lit(0.0).alias("asked"))
+    of_grams = asked.select("row", F.lit(0).cast("long").alias("n_rare"), F.lit(0.0).alias("rare_sum"), "asked")
     per_row = of_words.union(of_grams).groupBy("row").agg(*(F.sum(c).alias(c) for c in ("n_rare", "rare_sum", "asked")))
     none = F.lit(0)
-    return scored.drop("rare").join(per_row, "row", "left").select(
+    return scored.join(per_row, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

@@ -273,6 +273,27 @@ def test_ppm_keeps_all_grams_whatever_is_frequent(spark, monkeypatch):
         assert all(r["score"] == pytest.approx(want[r["doc_id"]]) for r in got)
 
 
+def test_ppm_asks_for_a_word_once_for_all_rows_of_a_list(spark):
+    docs = spark.createDataFrame([(i, f"same words here w{i} w{i}") for i in range(50)], "doc_id long, text string").coalesce(1)
+    asked = ppm.score_texts(docs, np.zeros(0, np.uint64), np.zeros(0), {b"here": 0.5}, F.lit(False)).where("word is not null").collect()
+    rows = {bytes(r["word"]): np.frombuffer(r["slots"], np.uint16).tolist() for r in asked}
+    assert len(asked) == len(rows) == 53
+    assert rows[b"same"] == rows[ppm.END] == list(range(50)) and rows[b"w7"] == [7, 7]
+
+
+@pytest.mark.parametrize("least", [0, 1 << 50])
+def test_asked_lists_hold_all_grams(least):
+    rng = np.random.default_rng(12)
+    gram = rng.integers(0, 900, 5000).astype(np.uint64) * np.uint64(977) + np.uint64(least)
+    slot = rng.integers(0, 1 << 16, 5000).astype(np.uint16)
+    got = Counter()
+    for r in ppm._asked(7, gram, slot):
+        names, each, slots = ppm._unpacked(r["grams"]), ppm.unpacked(r["each"], "<u4"), ppm.unpacked(r["slots"], "<u2")
+        assert (ppm._block(names) == r["block"]).all()
+        got.update(zip(np.repeat(names, each).tolist(), slots.tolist(), strict=True))
+    assert got == Counter(zip(gram.tolist(), slot.tolist(), strict=True))
+
+
 def test_ppm_without_training_rows(spark, odd_documents, no_documents):
     got = ppm.score_documents(odd_documents, F.lit(True), order=2).collect()
     assert len(got) == odd_documents.count() and {r["n_known"] for r in got} == {0}
