@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from sectorgauge.llm.common import text_of
 from sectorgauge.llm.components import connected_components
-from sectorgauge.sources.stages import stage
+from sectorgauge.sources.stages import free_shuffles, stage
 
 #: Words of a shingle and least similarity in percent, of the query.
 WORDS, PERCENT = 3, 90
@@ -55,6 +55,8 @@ CHUNK = 1024
 BROADCAST_IDS = 2_000_000
 #: Parts of all segments, counted one after another so that less is on disk at once.
 PARTS = 4
+#: Classes whose bands a task remembers to have handed on.
+CLASSES_HELD = 1 << 20
 #: Weight of the longest list in the choice of long lists.
 MU = 0.0085
 
@@ -211,15 +213,23 @@ def _texts(column: pa.Array) -> Iterator[bytes]:
 
 
 def document_classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``CLASSES`` of every row, stored; the class of an empty set is null."""
+    """``CLASSES`` of every row, stored; the class of an empty set is null.
+
+    Bands belong to a class: of its rows in a task the first one has them, the others none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        handed_on: set[int] = set()
         for batch in batches:
             sizes, classes, lists = [], [], []
             for s in shingle_sets(_texts(batch.column(1)), width):
                 sizes.append(s.size)
                 classes.append(class_of(s) if s.size else None)
-                lists.append(segments(s, percent))
+                lists.append([] if classes[-1] in handed_on else segments(s, percent))
+                if len(handed_on) >= CLASSES_HELD:
+                    handed_on.clear()
+                if s.size:
+                    handed_on.add(classes[-1])
             if sizes:
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -236,15 +246,18 @@ def document_classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def shared_segments(classes: DataFrame, part: int) -> DataFrame:
-    """``class, spare, segment, n`` of the segments of a part that two classes have, stored."""
+    """``class, spare, segment, n`` of the segments of a part that two classes have, stored.
+
+    Segments move once: the window's least and largest class tell which of them are shared.
+    """
     sets = classes.select("class", F.explode("bands").alias("band")).where(F.col("band.part") == part)
     pairs = sets.select("class", "band.spare", F.explode("band.segments").alias("segment"))
-    ends = pairs.groupBy("segment").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
-    shared = ends.where("low <> high").select(F.col("segment").alias("s"), "n")
-    held = pairs.join(shared, F.col("segment") == F.col("s")).select("class", "spare", "segment", "n").distinct()
+    same = Window.partitionBy("segment")
+    ends = (f("class").over(same).alias(name) for f, name in ((F.min, "low"), (F.max, "high"), (F.count, "n")))
+    held = pairs.select("*", *ends).where("low <> high").select("class", "spare", "segment", "n").distinct()
     held = stage(held, "shared")
-    del sets, pairs, ends, shared
-    classes.sparkSession._jvm.System.gc()  # Spark removes shuffle files once the driver forgets their plan
+    del sets, pairs
+    free_shuffles(classes.sparkSession)
     return held
 
 

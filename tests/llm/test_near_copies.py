@@ -59,3 +59,14 @@ def test_settings_against_brute_force(spark, documents, width, percent):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["component_id"] for r in shingles.jaccard_components(docs, width, percent).collect()}
     assert got == _kept(rows, width, percent)
+
+
+def test_segments_move_once_and_belong_to_classes(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i % 7}x{k}" for k in range(80))) for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    classes = shingles.document_classes(docs, 5, 80)
+    assert classes.where("size(bands) > 0").count() == 7 and classes.count() == 70
+    plans = []
+    monkeypatch.setattr(shingles, "stage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    shingles.shared_segments(classes, 0)
+    assert plans[0].count("Exchange hashpartitioning") == 1
