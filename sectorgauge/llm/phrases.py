@@ -3,13 +3,15 @@
 Texts become occurrence relations: blocks of pieces of one language, each an array of
 codes in the order of piece and position, with an empty slot between pieces. Phrases of
 the next length come from a merge join of a relation with itself at the next position:
-two codes in neighbouring slots. A block counts its own groups first; the groups of all
-blocks are then summed, and those found often enough are sent back to their blocks, where
-the semi-join with the relation is stored as the next relation. Every part of a frequent
+two codes in neighbouring slots. A block counts its own groups first and hands them on in
+packed lists, dealt by hash; the lists of all blocks with the same hash are then summed,
+and the codes of groups found often enough are sent back to their blocks, where the
+semi-join with the relation is stored as the next relation. Every part of a frequent
 phrase is frequent, so later lengths extend frequent occurrences alone and counts stay
 exact.
 
-A phrase in every text arrives at the sum as one row a block. No table of words or
+A phrase in every text arrives at the sum once a block, and the number of lists a block
+makes grows with the number of blocks, so a sum holds no more in a larger table. No table of words or
 phrases is broadcast or collected. Whole texts are read; a text longer than a block is
 cut between pieces, and a piece is never cut.
 
@@ -27,13 +29,12 @@ from math import isqrt
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sectorgauge.llm.common import LOWER, UPPER, text_of
-from sectorgauge.sources.stages import removed_after, stage
+from sectorgauge.llm.common import LOWER, UPPER, packed, text_of, unpacked
+from sectorgauge.sources.stages import free_shuffles, removed_after, stage
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: A longer candidate with this share of the occurrences replaces a shorter one.
@@ -43,6 +44,8 @@ SCALE = 2_000_000
 #: block, and bits for a code within a block.
 BLOCK = 12 << 20
 CODE_BITS = 28
+#: Blocks whose groups a sum holds about, and least number of sums.
+BLOCKS_SUMMED, LEAST_SUMS = 4, 16
 ENDS = b".,;:!?\n\x0b\x0c\r"
 
 _PLAIN = bytes.maketrans(UPPER.encode() + b"\t" + ENDS, LOWER.encode() + b" " + b"\n" * len(ENDS))
@@ -63,22 +66,17 @@ _PIECES = pa.schema(
 #: Codes in slots, and the word ids of each code.
 RELATION = "block long, slots binary, grams binary"
 _RELATION = pa.schema([("block", pa.int64()), ("slots", pa.binary()), ("grams", pa.binary())])
+#: Groups of a block by hash: their codes (ascending, as steps), word ids column by column, and counts.
+LISTS = "part int, block long, codes binary, words binary, n binary"
+_LISTS = pa.schema([("part", pa.int32()), ("block", pa.int64())] + [(x, pa.binary()) for x in ("codes", "words", "n")])
+#: A row is a block's frequent codes (as steps) or a frequent phrase.
+FREQUENT = "block long, codes binary, gram array<long>, f long"
+_FREQUENT = pa.schema([("block", pa.int64()), ("codes", pa.binary()), ("gram", pa.list_(pa.int64())), ("f", pa.int64())])
 
 
 # ---------------------------------------------------------------- one block
 
 
-def packed(slots: np.ndarray) -> bytes:
-    """Slots as compressed planes of their lowest to highest bytes."""
-    planes = np.ascontiguousarray(slots.astype("<i4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
-
-
 def cut_text(text: bytes, size: int = BLOCK) -> Iterator[bytes]:
     """A text of plain bytes in parts of about ``size``, cut between pieces."""
     at = 0
@@ -166,23 +164,75 @@ def _grams_of(row: dict, length: int) -> tuple[np.ndarray, np.ndarray]:
     return unpacked(row["slots"]), np.frombuffer(row["grams"], np.int64).reshape(-1, length)
 
 
-def _count_groups(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Groups of ``length + 1`` words of each block, with their place and count."""
+def _hashed(words: np.ndarray, parts: int) -> np.ndarray:
+    """Part of each row of word ids."""
+    x = np.zeros(len(words), np.uint64)
+    for column in words.T:
+        x = (x ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(32)
+    return (x % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
+
+
+def _steps(codes: np.ndarray) -> bytes:
+    return packed(np.diff(codes, prepend=0).astype(np.int32))
+
+
+def _of_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.int64)
+
+
+def _count_groups(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """``LISTS`` of groups of ``length + 1`` words of each block."""
     for batch in batches:
         for row in batch.to_pylist():
             slots, grams = _grams_of(row, length)
             _, _, groups, n = joined(slots, len(grams))
-            words = longer(groups, grams) if groups.size else np.zeros((0, length + 1), np.int64)
-            places = (row["block"] << CODE_BITS) + np.arange(groups.size)
-            names = ["place", *(f"w{i}" for i in range(length + 1)), "n"]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (places, *words.T, n)], names=names)
+            if not groups.size:
+                continue
+            words = longer(groups, grams)
+            part = _hashed(words, parts)
+            codes = np.argsort(part, kind="stable")
+            part = part[codes]
+            cuts, out = [*np.flatnonzero(np.append(True, part[1:] != part[:-1])).tolist(), part.size], []
+            for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+                own = codes[a:z]
+                columns = words[own].T.copy()
+                columns[0] = np.diff(columns[0], prepend=0)  # ids of first words ascend with the codes
+                out.append((int(part[a]), row["block"], _steps(own), packed(columns.ravel()), packed(n[own].astype(np.int32))))
+            yield pa.RecordBatch.from_pylist([dict(zip(_LISTS.names, x, strict=True)) for x in out], _LISTS)
+
+
+def _sum_groups(lists: pa.Table, length: int, least: int) -> pa.Table:
+    """``FREQUENT`` of all lists of a part."""
+    blocks, codes, words, n = (lists[c].to_pylist() for c in _LISTS.names[1:])
+    codes = [_of_steps(x) for x in codes]
+    columns = [unpacked(x, "<i8").reshape(length, -1) for x in words]
+    words = np.concatenate([np.vstack([np.cumsum(c[:1], axis=1), c[1:]]) for c in columns], axis=1)
+    del columns
+    n = np.concatenate([unpacked(x) for x in n]).astype(np.int64)
+    order = np.lexsort(words[::-1])
+    words = words[:, order]
+    first = np.flatnonzero(np.append(True, (words[:, 1:] != words[:, :-1]).any(axis=0)))
+    f = np.add.reduceat(n[order], first)
+    often = f >= least
+    kept = np.zeros(n.size, bool)
+    kept[order] = np.repeat(often, np.diff(np.append(first, n.size)))
+    grams = words[:, first[often]].T
+    out = [{"gram": g, "f": x} for g, x in zip(grams.tolist(), f[often].tolist(), strict=True)]
+    at = 0
+    for block, own in zip(blocks, codes, strict=True):
+        frequent = own[kept[at : at + own.size]]
+        at += own.size
+        if frequent.size:
+            out.append({"block": block, "codes": _steps(frequent)})
+    return pa.Table.from_pylist(out, _FREQUENT)
 
 
-def _semi_join(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Relations of ``length`` words from those a word shorter and the kept places.
+def _words_left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Relations of single words from blocks of words and their kept places, which bring the word ids.
 
-    A block's kept places come first, ascending, then its relation. For single words
-    (``length`` 1) the relation is the block of words, and kept places bring the word ids.
+    A block's kept places come first, then its words. Codes follow the order of the ids, so
+    that groups of any length ascend by the ids of their words.
     """
     mask = (1 << CODE_BITS) - 1
     kept: list[np.ndarray] = []
@@ -196,42 +246,60 @@ def _semi_join(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
             kept.append(places[start:at] & mask)
             ids.append(word_ids[start:at])
             start = at + 1
-            codes = np.concatenate(kept)
+            codes, grams = np.concatenate(kept), np.concatenate(ids)
+            order = np.argsort(grams)
             row = batch.slice(at, 1).to_pylist()[0]
-            if length == 1:
-                slots, grams = unpacked(row["slots"]), np.concatenate(ids)[:, None]
-                new = _renumbered(slots, codes)
-            else:
-                slots, shorter = _grams_of(row, length - 1)
-                found, code, groups, _ = joined(slots, len(shorter))
-                new = np.full(slots.size, _LEFT_OUT)
-                new[found] = _renumbered(code.astype(np.int32), codes)
-                grams = longer(groups[codes], shorter) if codes.size else np.zeros((0, length), np.int64)
             kept, ids = [], []
             if codes.size:
-                out = {"block": row["block"], "slots": packed(new), "grams": np.ascontiguousarray(grams).tobytes()}
+                new = _renumbered(unpacked(row["slots"]), codes[order])
+                out = {"block": row["block"], "slots": packed(new), "grams": grams[order].tobytes()}
                 yield pa.RecordBatch.from_pylist([out], _RELATION)
         kept.append(places[start:] & mask)
         ids.append(word_ids[start:])
 
 
+def _semi_join(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Relations of ``length`` words from those a word shorter and the kept codes.
+
+    A block's lists of kept codes come first, then its relation.
+    """
+    kept: list[np.ndarray] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["slots"] is None:
+                kept.append(_of_steps(row["codes"]))
+                continue
+            codes, kept = np.sort(np.concatenate([np.zeros(0, np.int64), *kept])), []
+            if codes.size:
+                slots, shorter = _grams_of(row, length - 1)
+                found, code, groups, _ = joined(slots, len(shorter))
+                new = np.full(slots.size, _LEFT_OUT)
+                new[found] = _renumbered(code.astype(np.int32), codes)
+                grams = np.ascontiguousarray(longer(groups[codes], shorter))
+                yield pa.RecordBatch.from_pylist([{"block": row["block"], "slots": packed(new), "grams": grams.tobytes()}], _RELATION)
+
+
 def _renumbered(codes: np.ndarray, kept: np.ndarray) -> np.ndarray:
-    """Place of each code among the kept ones, which are ascending; the others are left out."""
+    """Place of each code among the kept ones; the others are left out."""
     table = np.full(max(int(codes.max(initial=-1)), int(kept.max(initial=-1))) + 2, _LEFT_OUT)
     table[kept] = np.arange(kept.size)
     return table[codes]  # an empty slot is -1, the last entry of the table
 
 
-def _kept_relation(relations: DataFrame, kept: DataFrame, length: int) -> DataFrame:
-    """Stored semi-join of the blocks with the kept places of their groups."""
-    grams = "grams" if "grams" in relations.columns else F.lit(None).cast("binary").alias("grams")
-    blocks = relations.select("block", "slots", grams, F.lit(None).cast("long").alias("place"), F.lit(0).cast("long").alias("id"))
-    ids = F.col("id") if length == 1 else F.lit(0).cast("long").alias("id")
-    places = kept.select(
-        F.shiftright("place", CODE_BITS).alias("block"), F.lit(None).cast("binary").alias("slots"),
-        F.lit(None).cast("binary").alias("grams"), "place", ids,
-    )
+def _kept_words(pieces: DataFrame, kept: DataFrame) -> DataFrame:
+    """Stored relations of the blocks of words with the kept places."""
+    blocks = pieces.select("block", "slots", F.lit(None).cast("long").alias("place"), F.lit(0).cast("long").alias("id"))
+    places = kept.select(F.shiftright("place", CODE_BITS).alias("block"), F.lit(None).cast("binary").alias("slots"), "place", "id")
     together = blocks.union(places).repartition("block").sortWithinPartitions("block", F.col("place").asc_nulls_last())
+    return stage(together.mapInArrow(_words_left, RELATION), "relation1")
+
+
+def _kept_relation(relations: DataFrame, kept: DataFrame, length: int) -> DataFrame:
+    """Stored semi-join of the blocks with the kept codes of their groups."""
+    none = F.lit(None).cast("binary")
+    blocks = relations.select("block", "slots", "grams", none.alias("codes"))
+    codes = kept.where("block is not null").select("block", none.alias("slots"), none.alias("grams"), "codes")
+    together = blocks.union(codes).repartition("block").sortWithinPartitions("block", F.col("slots").isNotNull())
     return stage(together.mapInArrow(partial(_semi_join, length=length), RELATION), f"relation{length}")
 
 
@@ -251,14 +319,15 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         totals = stage(groups.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
         kept = stage(_frequent_words(groups, least), "kept")
         words = stage(kept.where("f is not null").select("id", "lang", "word", "f"), "words")
-        relation = _kept_relation(pieces.where("slots is not null"), kept, 1)
+        free_shuffles(spark)
+        relation = _kept_words(pieces.where("slots is not null"), kept)
         _stay(spent, "totals", "words", "relation")
     phrases = words.select(F.array("id").alias("gram"), "f")
     for length in range(2, longest + 1):
         with removed_after(spark) as spent:
+            free_shuffles(spark)
             kept = stage(_frequent_groups(relation, length, least), "kept")
-            found = kept.where("f is not null").select(F.array(*(f"w{i}" for i in range(length))).alias("gram"), "f")
-            phrases = phrases.union(stage(found, "found"))
+            phrases = phrases.union(stage(kept.where("f is not null").select("gram", "f"), "found"))
             if length < longest:
                 relation = _kept_relation(relation, kept, length)
             _stay(spent, "found", "relation")
@@ -283,14 +352,14 @@ def _frequent_words(groups: DataFrame, least: int) -> DataFrame:
 
 
 def _frequent_groups(relation: DataFrame, length: int, least: int) -> DataFrame:
-    """``place`` of every frequent group in its blocks; one row of a group has words and ``f``."""
-    ids = [f"w{i}" for i in range(length)]
-    schema = ", ".join(f"{c} long" for c in ["place", *ids, "n"])
-    groups = relation.mapInArrow(partial(_count_groups, length=length - 1), schema)
-    same = Window.partitionBy(*ids)
-    summed = groups.select("place", *ids, F.sum("n").over(same).alias("f"), F.min("place").over(same).alias("first"))
-    once = F.col("place") == F.col("first")
-    return summed.where(F.col("f") >= least).select("place", *(F.when(once, F.col(c)).alias(c) for c in [*ids, "f"]))
+    """``FREQUENT`` phrases of ``length`` words, and their codes in the blocks."""
+    parts = max(LEAST_SUMS, relation.count() // BLOCKS_SUMMED)
+    lists = relation.mapInArrow(partial(_count_groups, length=length - 1, parts=parts), LISTS)
+
+    def run(table: pa.Table) -> pa.Table:
+        return _sum_groups(table, length, least)
+
+    return lists.groupBy("part").applyInArrow(run, FREQUENT)
 
 
 # ---------------------------------------------------------------- scores

@@ -4,6 +4,8 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from sectorgauge.llm import phrases
@@ -91,3 +93,23 @@ def test_all_documents_against_brute_force(spark, documents):
 def test_slots_are_packed_without_loss():
     for slots in ([], [-1], [0, -1, 5, 70_000, 2**31 - 1, -1]):
         assert phrases.unpacked(phrases.packed(np.array(slots, np.int32))).tolist() == slots
+
+
+def test_groups_are_handed_on_in_lists():
+    """A row for each block and part, whatever the number of groups in it."""
+    rng = np.random.default_rng(8)
+    rows, want = [], Counter()
+    for block in range(6):
+        ids = np.sort(rng.choice(1 << 40, 300, replace=False))
+        slots = rng.integers(-1, 300, 20_000).astype(np.int32)
+        rows.append({"block": block, "slots": phrases.packed(slots), "grams": ids.tobytes()})
+        pairs = [(a, b) for a, b in zip(slots, slots[1:], strict=False) if a >= 0 and b >= 0]
+        want.update((int(ids[a]), int(ids[b])) for a, b in pairs)
+    batches = list(phrases._count_groups(iter([pa.RecordBatch.from_pylist(rows, phrases._RELATION)]), 1, 5))
+    lists = pa.Table.from_batches(batches)
+    assert lists.num_rows == 6 * 5
+    got = Counter()
+    for part in range(5):
+        found = phrases._sum_groups(lists.filter(pc.equal(lists["part"], part)), 2, 1).to_pylist()
+        got.update({tuple(r["gram"]): r["f"] for r in found if r["f"]})
+    assert got == want
