@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sectorgauge.llm.common import text_of
 from sectorgauge.sources.stages import stage
@@ -324,7 +325,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, per_index: int = ITEMS_PER_IND
     """Verified pairs of documents and test items, ``LEAKS``; clean documents have no row."""
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
-    result = spark.createDataFrame([], LEAKS)
+    # Rows given by Python, even none, would start a second set of Python workers.
+    result = spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(LEAKS)))
     for index in item_indexes(items, per_index):
         sent = spark.sparkContext.broadcast(index)
 

@@ -35,9 +35,11 @@ from sectorgauge.sources.stages import stage
 
 BLOCK_IDS = 1 << 16
 #: Bytes of text that are encoded at once.
-GATHER = 4 << 20
-#: Words whose ids a worker remembers; it starts anew when they are so many.
-WORDS_KEPT = 1_000_000
+GATHER = 2 << 20
+#: Words whose ids a worker remembers from one lot of texts to the next, about so many.
+WORDS_KEPT = 1 << 18
+#: Words that are encoded at once.
+LEARNED = 1 << 12
 
 BLOCKS = (
     "file int, block int, first long, n_ids int, bits int, payload binary, "
@@ -106,6 +108,10 @@ class WordEncoder:
     ids in a row. Texts are cut into words and dictionary-encoded together; each word is
     encoded once and remembered. Where the tokenizer also keeps a closing comma or full
     stop apart from a letter or digit before it, so does this, and words are fewer.
+
+    Words are remembered in two halves. When the newer one is full it becomes the older
+    and the older is forgotten; a word that is met again moves to the newer, so frequent
+    words stay and a worker's memory is bounded.
     """
 
     _SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
@@ -120,6 +126,7 @@ class WordEncoder:
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.type = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.kept = kept
         ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
         if ids("Ab") != ids("ab") or ids("ab cd") != ids("ab") + ids(" cd "):
@@ -127,16 +134,20 @@ class WordEncoder:
         self.apart = all(ids(f"{a}{b}") == ids(a) + ids(b) for a in ("ab", "7", "x7") for b in ",.")
 
     def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for word, coded in zip(words, found, strict=True):
-            self.known[word] = np.array(coded.ids, self.type).tobytes()
+        for at in range(0, len(words), LEARNED):
+            part = words[at : at + LEARNED]
+            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            for word, coded in zip(part, found, strict=True):
+                self.known[word] = np.array(coded.ids, self.type).tobytes()
 
     def _ids_of(self, words: list[bytes]) -> list[bytes]:
         """Ids of distinct words."""
+        if len(self.known) > self.kept // 2:
+            self.older, self.known = self.known, {}
         found = list(map(self.known.get, words))
         if None in found:
-            if len(self.known) > self.kept:
-                self.known.clear()
+            older = self.older
+            self.known.update((w, older[w]) for w in words if w in older)
             self._learn([w for w in words if w not in self.known])
             found = [self.known[w] for w in words]
         return found
@@ -281,6 +292,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, by_word:
         rows = ((i, t) for b in batches for i, t in zip(b.column(0).to_pylist(), _bytes_of(b.column(1)), strict=True))
         for block in _blocks(_pieces(rows, coder, end), bits_for(max(coder.vocabulary, end + 1)), file, limit):
             yield pa.RecordBatch.from_pylist([block], _BLOCKS)
+        pa.default_memory_pool().release_unused()
 
     slim = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"), F.xxhash64("text").alias("h"))
     dealt = slim.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text")

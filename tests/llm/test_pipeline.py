@@ -74,6 +74,16 @@ def test_leaks_go_by_row(spark, tmp_path):
     assert sorted(r["text"] for r in left.collect()) == sorted([long_text(6), long_text(7)])
 
 
+def test_leaks_need_no_second_set_of_python_workers(spark, tmp_path):
+    """No rows come from a Python RDD, whose workers would stay beside those of the texts."""
+    docs = written(spark, tmp_path, [(1, "a")])
+    for items in (spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet"), spark.createDataFrame([], "item_id long, text string")):
+        found = decontaminate.find_leaks(docs, items)
+        assert "ExistingRDD" not in found._jdf.queryExecution().toString()
+        assert found.count() == 0
+        assert found.columns == ["doc_id", "item_id", "n_passages", "score", "question_overlap", "answer_overlap"]
+
+
 def test_chain_takes_empty_tables_and_clashing_columns(spark, tmp_path, odd_documents):
     folder = "/root/testdata/sf0.001"
     for docs in (odd_documents, odd_documents.where("doc_id > 99")):

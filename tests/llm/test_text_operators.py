@@ -57,6 +57,20 @@ def test_word_encoder_where_case_and_signs_matter():
     assert [ids.tolist() for ids in by_word.encode([t.encode() for t in texts])] == want
 
 
+def test_word_encoder_remembers_a_bounded_number_of_words(monkeypatch):
+    """Rare words are forgotten, frequent ones are encoded once, and ids stay right."""
+    tokenizer, by_word = Tokenizer.from_file(PATH), token_files.WordEncoder(PATH, kept=2000)
+    learned = Counter()
+    learn = by_word._learn
+    monkeypatch.setattr(by_word, "_learn", lambda words: (learned.update(words), learn(words)))
+    for lot in range(40):
+        text = "often, seen " + " ".join(f"w{lot}x{k}" for k in range(500))
+        ids = by_word.encode([text.encode()])[0].tolist()
+        assert lot % 13 or ids == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(by_word.known) + len(by_word.older) <= 2000 + 2 * 600
+    assert learned[b"often"] == learned[b"seen"] == 1
+
+
 def test_parts_of_a_text_are_cut_at_white_space():
     by_word = token_files.WordEncoder(PATH)
     text = b"one two, three.four five" * 3
