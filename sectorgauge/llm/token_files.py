@@ -215,9 +215,9 @@ class TextEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, by_word: bool) -> WordEncoder | TextEncoder:
+def encoder(path: str, by_word: bool, kept: int = WORDS_KEPT) -> WordEncoder | TextEncoder:
     """One per Python worker, kept between tasks."""
-    return (WordEncoder if by_word else TextEncoder)(path)
+    return WordEncoder(path, kept) if by_word else TextEncoder(path)
 
 
 # ---------------------------------------------------------------- writing
@@ -226,7 +226,7 @@ def encoder(path: str, by_word: bool) -> WordEncoder | TextEncoder:
 Piece = tuple[int | None, np.ndarray, bool]
 
 
-def _pieces(texts: Iterable[tuple[int | None, bytes]], coder: WordEncoder | TextEncoder, end: int) -> Iterator[Piece]:
+def _pieces(texts: Iterable[tuple[int | None, bytes]], coder: WordEncoder | TextEncoder, end: int, gather: int = GATHER) -> Iterator[Piece]:
     """``doc_id``, ids and whether they are the document's last, in order."""
     held: list[tuple[int | None, bytes, bool]] = []
     size = 0
@@ -236,11 +236,11 @@ def _pieces(texts: Iterable[tuple[int | None, bytes]], coder: WordEncoder | Text
             yield doc_id, np.append(ids, np.uint32(end)) if last else ids, last
 
     for doc_id, text in texts:
-        parts = list(coder.parts(text))
+        parts = list(coder.parts(text, gather))
         for k, part in enumerate(parts, 1):
             held.append((doc_id, part, k == len(parts)))
             size += len(part) + 1
-            if size >= GATHER:
+            if size >= gather:
                 yield from encoded()
                 held, size = [], 0
     if held:
@@ -281,16 +281,17 @@ def _bytes_of(texts: pa.Array) -> Iterator[bytes]:
         yield text.as_py() or b""
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, by_word: bool = False, limit: int = BLOCK_IDS) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, by_word: bool = False, limit: int = BLOCK_IDS, kept: int = WORDS_KEPT, gather: int = GATHER) -> None:
     """Encode every text and write the blocks to ``path``, file by ascending id.
 
-    ``by_word`` is for tokenizers that drop white space and saves most of the time.
+    ``by_word`` is for tokenizers that drop white space and saves most of the time; a worker
+    then remembers about ``kept`` words and encodes ``gather`` bytes of text at once.
     """
 
     def encoded(batches):
-        coder, file = encoder(tokenizer, by_word), TaskContext.get().partitionId()
+        coder, file = encoder(tokenizer, by_word, kept), TaskContext.get().partitionId()
         rows = ((i, t) for b in batches for i, t in zip(b.column(0).to_pylist(), _bytes_of(b.column(1)), strict=True))
-        for block in _blocks(_pieces(rows, coder, end), bits_for(max(coder.vocabulary, end + 1)), file, limit):
+        for block in _blocks(_pieces(rows, coder, end, gather), bits_for(max(coder.vocabulary, end + 1)), file, limit):
             yield pa.RecordBatch.from_pylist([block], _BLOCKS)
         pa.default_memory_pool().release_unused()
 
