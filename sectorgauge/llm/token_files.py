@@ -40,6 +40,8 @@ GATHER = 2 << 20
 WORDS_KEPT = 1 << 18
 #: Words that are encoded at once.
 LEARNED = 1 << 12
+#: Words of letters that the tokenizer gets as one text.
+TOGETHER = 64
 
 BLOCKS = (
     "file int, block int, first long, n_ids int, bits int, payload binary, "
@@ -109,14 +111,21 @@ class WordEncoder:
     encoded once and remembered. Where the tokenizer also keeps a closing comma or full
     stop apart from a letter or digit before it, so does this, and words are fewer.
 
+    Words of letters are encoded some dozens as one text if the vocabulary marks the ends
+    of words on bytes: each has one marked id at least, so when a text has as many as it
+    has words, every word ends at its own. Other texts and words are encoded word by word.
+
     Words are remembered in two halves. When the newer one is full it becomes the older
     and the older is forgotten; a word that is met again moves to the newer, so frequent
     words stay and a worker's memory is bounded.
     """
 
-    _SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
-    _CLOSING = np.isin(np.arange(256), list(b",."))
-    _BEFORE = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz0123456789"))
+    #: Kinds of bytes, for ``bytes.translate``.
+    _SPACE, _CLOSING, _BEFORE = 1, 2, 3
+    _KINDS = bytes(
+        1 if b in b" \t\n\x0b\x0c\r" else 2 if b in b",." else 3 if b in b"abcdefghijklmnopqrstuvwxyz0123456789" else 0
+        for b in range(256)
+    )
 
     def __init__(self, path: str, kept: int = WORDS_KEPT):
         from tokenizers import Tokenizer
@@ -132,24 +141,62 @@ class WordEncoder:
         if ids("Ab") != ids("ab") or ids("ab cd") != ids("ab") + ids(" cd "):
             raise ValueError("this tokenizer doesn't drop case and white space")
         self.apart = all(ids(f"{a}{b}") == ids(a) + ids(b) for a in ("ab", "7", "x7") for b in ",.")
+        self.last = self._last_of_words()
+
+    def _last_of_words(self) -> np.ndarray | None:
+        """Whether an id ends a word, if every byte has such an id and so no word goes without."""
+        from tokenizers import pre_tokenizers
+
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        signs = pre_tokenizers.ByteLevel.alphabet()
+        if not mark or "ByteLevel" not in repr(self.tokenizer.pre_tokenizer) or any(s + mark not in vocabulary for s in signs):
+            return None
+        last = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
+        last[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+        return last
 
     def _learn(self, words: list[bytes]) -> None:
         for at in range(0, len(words), LEARNED):
-            part = words[at : at + LEARNED]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, coded in zip(part, found, strict=True):
-                self.known[word] = np.array(coded.ids, self.type).tobytes()
+            single: list[str] = []
+            plain: list[str] = []
+            for word in words[at : at + LEARNED]:
+                text = word.decode()
+                (plain if self.last is not None and text.isalpha() else single).append(text)
+            parts = [plain[k : k + TOGETHER] for k in range(0, len(plain), TOGETHER)]
+            texts = [" ".join(part) for part in parts]
+            for part, coded in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.array(coded.ids, self.type)
+                ends = np.flatnonzero(self.last[ids]) + 1
+                if ends.size == len(part):
+                    self._remember(part, ids, ends)
+                else:
+                    single += part
+            if single:
+                coded = self.tokenizer.encode(single, is_pretokenized=True, add_special_tokens=False)
+                ends = np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(single)), "right")
+                self._remember(single, np.array(coded.ids, self.type), ends)
+
+    def _remember(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        """Words, their ids in a row, and where each word's end."""
+        raw, at = ids.tobytes(), 0
+        for word, to in zip(words, (ends * ids.itemsize).tolist(), strict=True):
+            self.known[word.encode()] = raw[at:to]
+            at = to
 
     def _ids_of(self, words: list[bytes]) -> list[bytes]:
         """Ids of distinct words."""
         if len(self.known) > self.kept // 2:
             self.older, self.known = self.known, {}
         found = list(map(self.known.get, words))
-        if None in found:
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        if missing:
             older = self.older
-            self.known.update((w, older[w]) for w in words if w in older)
-            self._learn([w for w in words if w not in self.known])
-            found = [self.known[w] for w in words]
+            absent = [words[k] for k in missing]
+            self.known.update((w, older[w]) for w in absent if w in older)
+            self._learn([w for w in absent if w not in self.known])
+            for k, word in zip(missing, absent, strict=True):
+                found[k] = self.known[word]
         return found
 
     def parts(self, text: bytes, size: int = GATHER) -> Iterator[bytes]:
@@ -157,7 +204,7 @@ class WordEncoder:
         at = 0
         while len(text) - at > size:
             to = at + size
-            more = self._SPACE[np.frombuffer(text, np.uint8, len(text) - to, to)]
+            more = np.frombuffer(text[to:].translate(self._KINDS), np.uint8) == self._SPACE
             hit = int(more.argmax())
             if not more[hit]:
                 break
@@ -170,15 +217,15 @@ class WordEncoder:
         # Lower case could make a special token of a word.
         plain = [t if b"<|" in t else t.lower() for t in texts]
         raw = b"\n".join(plain) + b"\n"
-        data = np.frombuffer(raw, np.uint8)
-        space = self._SPACE[data]
-        cut = np.empty(data.size, bool)
+        kind = np.frombuffer(raw.translate(self._KINDS), np.uint8)
+        space = kind == self._SPACE
+        cut = np.empty(kind.size, bool)
         cut[0] = True
         np.not_equal(space[1:], space[:-1], out=cut[1:])
         if self.apart:
-            cut[1:-1] |= self._CLOSING[data[1:-1]] & self._BEFORE[data[:-2]] & space[2:]
+            cut[1:-1] |= (kind[1:-1] == self._CLOSING) & (kind[:-2] == self._BEFORE) & space[2:]
         at = np.flatnonzero(cut)
-        edges = np.append(at, data.size).astype(np.int32)
+        edges = np.append(at, kind.size).astype(np.int32)
         segments = pa.Array.from_buffers(pa.binary(), at.size, [None, pa.py_buffer(edges), pa.py_buffer(raw)])
         word = np.flatnonzero(~space[at])
         coded = segments.take(pa.array(word)).dictionary_encode()

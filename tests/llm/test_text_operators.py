@@ -71,6 +71,48 @@ def test_word_encoder_remembers_a_bounded_number_of_words(monkeypatch):
     assert learned[b"often"] == learned[b"seen"] == 1
 
 
+class CountingTokenizer:
+    """A tokenizer that counts what it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts, self.singles = tokenizer, 0, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+    def encode(self, words, **options):
+        self.singles += len(words)
+        return self.tokenizer.encode(words, **options)
+
+
+def test_words_of_letters_are_encoded_together():
+    """One text holds many of them; words with signs or digits go on their own."""
+    tokenizer, by_word = Tokenizer.from_file(PATH), token_files.WordEncoder(PATH)
+    by_word.tokenizer = counting = CountingTokenizer(by_word.tokenizer)
+    words = ["".join("aéкß漢"[k // 5**d % 5] for d in range(5)) for k in range(5**5)]
+    text = " ".join([*words, "it's", "x5y", "a-b", "***"])
+    assert by_word.encode([text.encode()])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert counting.texts <= len(words) / token_files.TOGETHER + 1
+    assert counting.singles == 4
+
+
+def test_words_whose_ends_are_unclear_are_encoded_alone():
+    """Letters that the tokenizer takes apart or joins, next to words that it leaves whole."""
+    tokenizer, rng = Tokenizer.from_file(PATH), np.random.default_rng(4)
+    odd = ["İ", "aİb", "\u0958", "ǆ", "ŉ", "ſ", "각", "각", "𝒜b", "ª", "ⅷ", "e\u0301", "\u0301e", "\u0f43", "ﬃ", "\u3000", "it's", "½", "A\u030a", "ऀक"]
+    plain = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(200)]
+    for marked in (True, False):
+        by_word = token_files.WordEncoder(PATH, kept=50)
+        assert by_word.last is not None
+        if not marked:
+            by_word.last = None
+        for _ in range(20):
+            texts = [" ".join(rng.permutation([*rng.choice(odd, 6), *rng.choice(plain, 60)])) for _ in range(3)]
+            want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+            assert [ids.tolist() for ids in by_word.encode([t.encode() for t in texts])] == want
+
+
 def test_parts_of_a_text_are_cut_at_white_space():
     by_word = token_files.WordEncoder(PATH)
     text = b"one two, three.four five" * 3
